@@ -1,0 +1,45 @@
+"""Compares a Spark result with DuckDB's answer to the SQL beside it."""
+
+import os
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir):
+    db = duckdb.connect()
+    for name in TABLES:
+        path = os.path.join(sf_dir, f"{name}.parquet")
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+    return db
+
+
+def _kind(name):
+    name = str(name).lower()
+    for kind, words in {"int": ("int", "integer"), "long": ("bigint", "hugeint"),
+                        "text": ("string", "varchar"), "double": ("double",)}.items():
+        if name in words:
+            return kind
+    return name
+
+
+def compare(df, db, sql):
+    """None when columns, types and rows agree, else a short account of the difference."""
+    answer = db.sql(sql)
+    expected_types = {c: _kind(t) for c, t in zip(answer.columns, answer.types)}
+    actual_types = {f.name: _kind(f.dataType.simpleString()) for f in df.schema}
+    if expected_types != actual_types:
+        return f"types {actual_types} != {expected_types}"
+    names = sorted(actual_types)
+    actual = sorted(map(repr, (tuple(row[n] for n in names) for row in df.collect())))
+    order = [answer.columns.index(n) for n in names]
+    expected = sorted(map(repr, (tuple(row[i] for i in order) for row in answer.fetchall())))
+    if actual != expected:
+        extra = sorted(set(actual) - set(expected))[:3]
+        missing = sorted(set(expected) - set(actual))[:3]
+        return f"{len(actual)} rows != {len(expected)} rows; extra {extra}; missing {missing}"
+    return None
