@@ -25,11 +25,6 @@ def payload(value: Column) -> Column:
     return F.decode(value, "UTF-8")
 
 
-def without_last_tab(text: Column) -> Column:
-    """The text less exactly one tab at its end."""
-    return F.when(F.endswith(text, F.lit(TAB)), F.left(text, F.length(text) - 1)).otherwise(text)
-
-
 def first_line_filled(text: Column) -> Column:
     """True unless the first line is empty; blanks count as filled."""
     return F.substring_index(text, "\n", 1) != ""

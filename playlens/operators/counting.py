@@ -27,11 +27,6 @@ def since(events: DataFrame, start: Column, at: str = "ts") -> DataFrame:
     return events.filter(F.col(at) >= start)
 
 
-def known_users(events: DataFrame, users: DataFrame) -> DataFrame:
-    """Rows whose user is in the user table."""
-    return events.join(users.select("user_id"), "user_id", "left_semi")
-
-
 def unknown_users(counts: DataFrame, users: DataFrame) -> DataFrame:
     """(user_id, n) of users the user table does not hold; they are not counted."""
     return counts.join(users.select("user_id"), "user_id", "left_anti")

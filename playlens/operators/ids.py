@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from playlens.session import pin, shuffle_partitions
 
@@ -39,18 +40,15 @@ def dense_ids(df: DataFrame, key: str, id_name: str, start: int = 0,
     """Consecutive ids from ``start`` for the distinct values of ``key``, in key order.
 
     Same numbers as ``row_number() over (order by key)`` without sorting in one task. The
-    result is a written table, so that every reader sees the same ids.
+    result reads a written table, so that every reader sees the same ids.
     """
     partitions = partitions or shuffle_partitions(df.sparkSession)
     placed = numbered_in_order(distinct_keys(df, key), [key], partitions, f"keys-{id_name}")
-    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-    # One row per partition: small enough for one task and for a broadcast.
-    earlier = F.sum("_size").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
-    offsets = sizes.select("_part", F.coalesce(earlier, F.lit(0)).alias("_offset"))
-    ids = placed.join(F.broadcast(offsets), "_part").select(
-        key, (F.col("_offset") + F.col("_pos") + start).cast("bigint").alias(id_name)
-    )
-    return pin(ids, f"ids-{id_name}")
+    # One number per partition comes to the driver, and goes back as a constant: no join.
+    sizes = dict(placed.groupBy("_part").count().collect())
+    offsets = accumulate((sizes.get(part, 0) for part in range(partitions - 1)), initial=start)
+    constant = F.expr(f"array({', '.join(f'{offset}L' for offset in offsets)})")
+    return placed.select(key, (F.get(constant, "_part") + F.col("_pos")).alias(id_name))
 
 
 def gapped_ids(df: DataFrame, key: str, id_name: str) -> DataFrame:

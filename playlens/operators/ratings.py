@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playlens import constants
+from playlens.operators.ids import dense_ids
+from playlens.session import pin
 
 # Fixed values of the split hash. Products stay below 2^63 for ids in the int range.
 USER_FACTOR = 2654435761
@@ -34,31 +37,48 @@ def plays_by_pair(plays: DataFrame) -> DataFrame:
     )
 
 
-def rating_triples(plays: DataFrame, user_ids: DataFrame, artist_ids: DataFrame) -> DataFrame:
+def rating_triples(pairs: DataFrame, user_ids: DataFrame, artist_ids: DataFrame) -> DataFrame:
     """(user, item, plays) with the int ids the recommender needs; pairs without an id drop out.
 
-    Rows are summed per pair before the joins, which shrinks what the joins move. The id
-    tables are unique by key, so a frequent user or artist never multiplies rows.
+    ``pairs`` has one row per (user, artist), see ``plays_by_pair``. The id tables are unique
+    by key, so a frequent user or artist never multiplies rows.
     """
     return (
-        plays_by_pair(plays)
-        .join(user_ids, "user_id")
+        pairs.join(user_ids, "user_id")
         .join(artist_ids, "artist_id")
         .select(F.col("user").cast("int"), F.col("item").cast("int"), "plays")
     )
 
 
-def unrated_pairs(plays: DataFrame, user_ids: DataFrame, artist_ids: DataFrame) -> DataFrame:
+def unrated_pairs(pairs: DataFrame, user_ids: DataFrame, artist_ids: DataFrame) -> DataFrame:
     """Pairs ``rating_triples`` leaves out: the user or the artist has no id."""
     return (
-        plays_by_pair(plays)
-        .join(user_ids, "user_id", "left")
+        pairs.join(user_ids, "user_id", "left")
         .join(artist_ids, "artist_id", "left")
         .filter(F.col("user").isNull() | F.col("item").isNull())
         .select("user_id", "artist_id", "plays")
     )
 
 
+class Rated(NamedTuple):
+    """Rating triples and the id tables behind them."""
+
+    triples: DataFrame
+    user_ids: DataFrame
+    artist_ids: DataFrame
+
+
+def rate(plays: DataFrame) -> Rated:
+    """Number users and artists and rate their pairs, reading the play counts once.
+
+    The totals per pair are written first; ids and ratings come from that smaller table.
+    """
+    pairs = pin(plays_by_pair(plays), "pairs")
+    user_ids = dense_ids(pairs, "user_id", "user")
+    artist_ids = dense_ids(pairs, "artist_id", "item")
+    return Rated(rating_triples(pairs, user_ids, artist_ids), user_ids, artist_ids)
+
+
 def split_bucket(user: Column, item: Column, seed: int = constants.SPLIT_SEED) -> Column:
     """A bucket below 1000 that depends on the pair only, not on how rows are laid out."""
     mixed = (

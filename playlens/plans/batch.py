@@ -220,8 +220,7 @@ def plays_by_pair(t: Tables) -> DataFrame:
 
 
 def triples(t: Tables) -> DataFrame:
-    users = ids.dense_ids(t.plays, "user_id", "user")
-    return ratings.rating_triples(t.plays, users, ids.dense_ids(t.plays, "artist_id", "item"))
+    return ratings.rate(t.plays).triples
 
 
 @query(f"WITH {s.RATINGS_SQL} SELECT * FROM ratings")
@@ -236,7 +235,8 @@ def rating_triples(t: Tables) -> DataFrame:
     GROUP BY 1, 2""")
 def unrated_pairs(t: Tables) -> DataFrame:
     users = ids.dense_ids(t.users_with_age, "user_id", "user")
-    return ratings.unrated_pairs(t.plays, users, ids.dense_ids(t.plays, "artist_id", "item"))
+    pairs = pin(ratings.plays_by_pair(t.plays), "pairs")
+    return ratings.unrated_pairs(pairs, users, ids.dense_ids(pairs, "artist_id", "item"))
 
 
 def split_ratings(t: Tables) -> DataFrame:
@@ -283,10 +283,15 @@ def every_nth_banner(t: Tables) -> DataFrame:
     SELECT user_id, event_id, play_no, {MESSAGE_SQL}
     FROM numbered JOIN reduced USING (user_id) WHERE play_no % 10 = 0""")
 def every_nth_event(t: Tables) -> DataFrame:
-    """The event behind each banner; events of users without age count as unknown here."""
-    events = counting.known_users(t.events.select("event_id", "ts", "user_id"), t.users_with_age)
+    """The event behind each banner; users without age count as unknown here.
+
+    Unknown users leave after the numbering, when a tenth of the rows is left: they have no
+    influence on the numbers of others.
+    """
+    events = t.events.select("event_id", "ts", "user_id")
     due = counting.every_nth(counting.number_plays(events, ["ts", "event_id"]))
-    banners = match_banners(t.users, t.banners).select("user_id", "banner")
+    known = t.users.filter(F.col("age").isNotNull())
+    banners = match_banners(known, t.banners).select("user_id", "banner")
     return due.join(banners, "user_id").select(
         "user_id",
         "event_id",

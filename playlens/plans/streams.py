@@ -9,7 +9,7 @@ from playlens.functions.messages import payload
 from playlens.operators import ids, ratings, recommend
 from playlens.operators.banners import match_banners
 from playlens.plans import standins as s
-from playlens.plans.batch import EVERY_NTH_SQL, UNKNOWN_USERS_SQL, VALID_EVENTS_SQL, triples
+from playlens.plans.batch import EVERY_NTH_SQL, UNKNOWN_USERS_SQL, VALID_EVENTS_SQL, catalogue
 from playlens.plans.registry import query
 from playlens.plans.standins import Tables
 from playlens.session import ROCKSDB, pin, scratch_path, session_conf, shuffle_partitions
@@ -75,16 +75,11 @@ def stream_archive(t: Tables) -> DataFrame:
     return t.spark.read.text(path).select("value")
 
 
-def played_catalogue(t: Tables) -> DataFrame:
-    artist_ids = ids.dense_ids(t.plays, "artist_id", "item")
-    return pin(ids.artist_catalogue(t.plays, artist_ids), "catalogue")
-
-
-def emitted(t: Tables, catalogue: DataFrame, scorer: suggest.Scorer, **settings) -> DataFrame:
+def emitted(t: Tables, artists: DataFrame, scorer: suggest.Scorer, **settings) -> DataFrame:
     """What the recommender stream emits: a row per micro-batch."""
     path = scratch_path(t.spark, "recommendations")
     sink = suggest.files_by_batch(path)
-    run(t, suggest.suggestion_writer(published(t), catalogue, scorer, sink, **settings))
+    run(t, suggest.suggestion_writer(published(t), artists, scorer, sink, **settings))
     return t.spark.read.parquet(path)
 
 
@@ -99,23 +94,24 @@ def emitted(t: Tables, catalogue: DataFrame, scorer: suggest.Scorer, **settings)
     ORDER BY prediction DESC, item LIMIT 1""")
 def stream_top_item(t: Tables) -> DataFrame:
     """Popularity in the model's place: the best of the emitted rows is the best artist played."""
-    catalogue = played_catalogue(t)
-    items = catalogue.select("artist_id", "item").distinct()
+    artists = pin(catalogue(t), "catalogue")
+    items = artists.select("artist_id", "item").distinct()
     totals = pin(
         ratings.plays_by(t.plays, "artist_id").join(items, "artist_id").select(
             F.col("item").cast("int").alias("item"), F.col("plays").cast("double").alias("prediction")
         ),
         "popularity",
     )
-    rows = emitted(t, catalogue, lambda pairs: pairs.join(totals, "item"))
+    rows = emitted(t, artists, lambda pairs: pairs.join(totals, "item"))
     return recommend.top_item(rows).select("item", "prediction", "artist_name", "message")
 
 
 @query()
 def stream_als_top_item(t: Tables) -> DataFrame:
     """The trained model, scoring for the user of each event."""
-    users = ids.dense_ids(t.plays, "user_id", "user")
-    rated = pin(triples(t), "ratings")
-    model = recommend.train(rated, rank=8, iterations=5)
-    rows = emitted(t, played_catalogue(t), suggest.model_scorer(model), user_ids=users)
+    rated = ratings.rate(t.plays)
+    model = recommend.train(pin(rated.triples, "ratings"), rank=8, iterations=5)
+    artists = pin(ids.artist_catalogue(t.plays, rated.artist_ids), "catalogue")
+    scorer = suggest.model_scorer(model)
+    rows = emitted(t, artists, scorer, user_ids=rated.user_ids)
     return rows.select("user", "item", "prediction", "artist_name", "message", "batch_id")

@@ -31,8 +31,10 @@ def _parsed(lines: DataFrame, reason: Column, columns: list[Column]) -> Parsed:
     )
 
 
-def _split(lines: DataFrame, parts: Column) -> DataFrame:
-    return lines.filter(text.has_text(F.col("value"))).select("value", parts.alias("parts"))
+def _split(lines: DataFrame, parts: Column, keep=text.has_text) -> DataFrame:
+    """(value, parts). The explode of one element stops the optimizer from moving later filters
+    below the split, where they would split each line once more per condition."""
+    return lines.filter(keep(F.col("value"))).select("value", F.explode(F.array(parts)).alias("parts"))
 
 
 def _columns(ddl: str) -> list[Column]:
@@ -96,21 +98,22 @@ def parse_play_counts(lines: DataFrame) -> Parsed:
 
 def parse_events(lines: DataFrame) -> Parsed:
     """Event lines of a file: exactly six fields, any of which may be empty."""
-    split = lines.select("value", text.all_fields(F.col("value")).alias("parts"))
-    return _parsed(split, _six_fields(), _columns(schemas.EVENT))
+    split = _split(lines, text.all_fields(F.col("value")), lambda value: F.lit(True))
+    return _parsed(split, _six_fields(F.size("parts")), _columns(schemas.EVENT))
 
 
 def parse_wire(wire: DataFrame) -> Parsed:
     """Events as published: bytes in ``value`` with one tab more at the end than a file line."""
     payloads = wire.select(messages.payload(F.col("value")).alias("value"))
-    split = payloads.filter(messages.first_line_filled(F.col("value"))).select(
-        "value", text.all_fields(messages.without_last_tab(F.col("value"))).alias("parts")
-    )
-    return _parsed(split, _six_fields(), _columns(schemas.EVENT))
+    split = _split(payloads, text.all_fields(F.col("value")), messages.first_line_filled)
+    width = F.size("parts")
+    closed = text.field(F.col("parts"), width - 1) == ""
+    return _parsed(split, _six_fields(F.when(closed, width - 1).otherwise(width)),
+                   _columns(schemas.EVENT))
 
 
-def _six_fields() -> Column:
-    return F.when(F.size("parts") != 6, F.concat(F.lit("6 fields expected, got "), F.size("parts")))
+def _six_fields(width: Column) -> Column:
+    return F.when(width != 6, F.concat(F.lit("6 fields expected, got "), width))
 
 
 def read_users(spark: SparkSession, path: str) -> Parsed:
