@@ -12,7 +12,7 @@ from playlens.plans import standins as s
 from playlens.plans.batch import EVERY_NTH_SQL, UNKNOWN_USERS_SQL, VALID_EVENTS_SQL, catalogue
 from playlens.plans.registry import query
 from playlens.plans.standins import Tables
-from playlens.session import ROCKSDB, pin, scratch_path, session_conf, shuffle_partitions
+from playlens.session import pin, scratch_path, shuffle_partitions
 from playlens.sources import topics
 from playlens.streaming import archive, counter, replay, suggest
 
@@ -28,10 +28,8 @@ def published(t: Tables) -> DataFrame:
 
 
 def run(t: Tables, writer) -> None:
-    """Run a stream until its input is used up, with state in RocksDB."""
-    with session_conf(t.spark, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}):
-        stream = topics.start(writer, scratch_path(t.spark, "checkpoint"), available_now=True)
-    stream.awaitTermination()
+    """Run a stream until its input is used up."""
+    topics.start(t.spark, writer, scratch_path(t.spark, "checkpoint"), available_now=True).awaitTermination()
 
 
 def through_files(t: Tables, rows: DataFrame, label: str) -> DataFrame:
@@ -43,7 +41,9 @@ def through_files(t: Tables, rows: DataFrame, label: str) -> DataFrame:
 @query(EVERY_NTH_SQL)
 def stream_every_nth(t: Tables) -> DataFrame:
     users = pin(match_banners(t.users, t.banners).select("user_id", "banner"), "user-banner")
-    messages = through_files(t, counter.banner_stream(published(t), users), "banner-messages")
+    path, stream = scratch_path(t.spark, "banner-messages"), counter.banner_stream(published(t), users)
+    run(t, topics.batch_writer(stream, topics.files_by_batch(path), mode="update"))
+    messages = t.spark.read.schema(stream.schema).parquet(path)
     return messages.select("user_id", "play_no", "banner", F.col("value").alias("message"))
 
 
@@ -78,7 +78,7 @@ def stream_archive(t: Tables) -> DataFrame:
 def emitted(t: Tables, artists: DataFrame, scorer: suggest.Scorer, **settings) -> DataFrame:
     """What the recommender stream emits: a row per micro-batch."""
     path = scratch_path(t.spark, "recommendations")
-    sink = suggest.files_by_batch(path)
+    sink = topics.files_by_batch(path)
     run(t, suggest.suggestion_writer(published(t), artists, scorer, sink, **settings))
     return t.spark.read.parquet(path)
 

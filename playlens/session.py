@@ -24,7 +24,6 @@ def build_session(app: str = "playlens", master: str | None = None, **conf: str)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     )
     if master:
         builder = builder.master(master)

@@ -149,3 +149,13 @@ def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
 def read_id_map(spark: SparkSession, path: str) -> DataFrame:
     """Id map as written by ``write_id_map``."""
     return spark.read.csv(path, schema=schemas.ID_MAP, sep=text.TAB)
+
+
+def read_alias(spark: SparkSession, path: str, key: str, id_name: str) -> DataFrame:
+    """Aliases as written by ``write_alias``; the id is what follows the last comma."""
+    value = F.col("value")
+    return read_lines(spark, path).select(
+        F.substring(value, F.lit(1), F.length(value) - F.length(F.substring_index(value, ",", -1)) - 1)
+        .alias(key),
+        F.substring_index(value, ",", -1).cast("bigint").alias(id_name),
+    )

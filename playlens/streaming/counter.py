@@ -1,14 +1,18 @@
-"""Running play counter per user; a banner is due on every n-th play."""
+"""Running play counter per user; a banner is due on every n-th play.
+
+The counter is a streaming aggregation, so the state is Spark's own and no Python runs per user.
+It must know what the current micro-batch adds to a user, beside the total. To that end each
+micro-batch is first reduced to one row per user; then the row with the highest batch time is the
+current one.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from playlens import constants
 from playlens.functions.messages import banner_message, first_line_filled, payload
@@ -27,55 +31,77 @@ def event_users(wire: DataFrame) -> DataFrame:
     )
 
 
-def _count_in_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        counts = pa.Table.from_batches([batch]).group_by("user_id").aggregate([([], "count_all")])
-        yield from counts.rename_columns(["user_id", "n"]).to_batches()
-
-
 def partial_counts(users: DataFrame) -> DataFrame:
     """(user_id, n), summed within each Arrow batch before any shuffle.
 
     A user behind a third of the events then sends one row per Arrow batch to its task
     rather than one per event.
     """
-    return users.mapInArrow(_count_in_batch, "user_id string, n bigint")
-
-
-def counted(known: DataFrame, every: int) -> DataFrame:
-    """State per user over (user_id, banner, n): (user_id, banner, before, after) on a crossing."""
-
-    def advance(key: tuple[str], frames: Iterator[pd.DataFrame],
-                state: GroupState) -> Iterator[pd.DataFrame]:
-        before = state.get[0] if state.exists else 0
-        after, banner = before, None
-        for frame in frames:
-            after += int(frame["n"].sum())
-            banner = frame["banner"].iloc[0]
-        state.update((after,))
-        if after // every > before // every:
-            yield pd.DataFrame({"user_id": [key[0]], "banner": [banner],
-                                "before": [before], "after": [after]})
-
-    return known.groupBy("user_id").applyInPandasWithState(
-        advance,
-        "user_id string, banner string, before bigint, after bigint",
-        "plays bigint",
-        "append",
-        GroupStateTimeout.NoTimeout,
+
+    # Defined here so that it is shipped by value: workers need not have this package.
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = pa.Table.from_batches([batch]).group_by("user_id").aggregate([([], "count_all")])
+            yield from counts.rename_columns(["user_id", "n"]).to_batches()
+
+    return users.mapInArrow(count, "user_id string, n bigint")
+
+
+def batch_counts(users: DataFrame) -> DataFrame:
+    """(user_id, n) with exactly one row per user and micro-batch."""
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def add(tables: list[pa.Table]) -> pa.Table:
+            sums = pa.concat_tables(tables).group_by("user_id").aggregate([("n", "sum")])
+            return sums.rename_columns(["user_id", "n"])
+
+        # The sums are one row per user of this partition; what waits is at most as large again.
+        tables, waiting, limit = [], 0, 100_000
+        for batch in batches:
+            tables.append(pa.Table.from_batches([batch]))
+            waiting += batch.num_rows
+            if waiting > limit:
+                tables, waiting = [add(tables)], 0
+                limit = max(limit, tables[0].num_rows)
+        if tables:
+            yield from add(tables).combine_chunks().to_batches(max_chunksize=10_000)
+
+    return partial_counts(users).repartition("user_id").mapInArrow(add_up, "user_id string, n bigint")
+
+
+def running_counts(known: DataFrame, generation: int = 0) -> DataFrame:
+    """(user_id, banner, before, after) per user of the micro-batch, from (user_id, banner, n).
+
+    Batches are told apart by (generation, batch time). Should the clock ever step back
+    behind a batch already counted, the stream stops rather than miscount; start it again on the
+    same checkpoint with a higher ``generation``.
+    """
+    stamp = F.struct(F.lit(generation).alias("generation"), F.current_timestamp().alias("at"))
+    totals = known.withColumn("stamp", stamp).groupBy("user_id").agg(
+        F.sum("n").alias("after"),
+        F.max_by(F.struct("n", "banner"), "stamp").alias("latest"),
+        F.max("stamp").alias("seen"),
+    )
+    added = F.when(F.col("seen") == stamp, F.col("latest.n")).otherwise(
+        F.raise_error("the batch time went back: restart with a higher generation").cast("bigint")
+    )
+    return totals.select(
+        "user_id", F.col("latest.banner").alias("banner"), (F.col("after") - added).alias("before"), "after"
     )
 
 
-def banner_stream(wire: DataFrame, users: DataFrame,
-                  every: int = constants.PLAYS_PER_BANNER) -> DataFrame:
+def banner_stream(wire: DataFrame, users: DataFrame, every: int = constants.PLAYS_PER_BANNER,
+                  generation: int = 0) -> DataFrame:
     """(user_id, play_no, banner, message, key, value) for every n-th play of a known user.
 
     ``users`` (user_id, banner) has one row per user; a table bucketed by user_id spares the
     shuffle of it in each micro-batch. ``key`` is unique per message, so that a consumer can
     drop what a topic sink delivers twice. The messages do not depend on the order of events.
+    Write it in update mode.
     """
-    known = partial_counts(event_users(wire)).join(users.select("user_id", "banner"), "user_id")
-    due = crossings(counted(known, every), F.col("before"), F.col("after"), every, spread=False)
+    known = batch_counts(event_users(wire)).join(users.select("user_id", "banner"), "user_id")
+    due = crossings(running_counts(known, generation), F.col("before"), F.col("after"), every,
+                    spread=False)
     message = banner_message(F.col("user_id"), F.col("banner"))
     return due.select(
         "user_id",
