@@ -17,7 +17,7 @@ from playlens.sources import topics
 from playlens.streaming import archive, counter, replay, suggest
 
 # Micro-batches each stream query is fed in.
-MICRO_BATCHES = 4
+MICRO_BATCHES = 3
 
 
 def published(t: Tables) -> DataFrame:

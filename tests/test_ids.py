@@ -1,0 +1,76 @@
+import random
+
+import pytest
+from playlens.operators import ids
+from playlens.sources import files, lines
+
+
+def plays(spark, rows):
+    return spark.createDataFrame(rows, "user_id string, artist_id string, artist_name string, plays int")
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 16])
+@pytest.mark.parametrize("start", [0, 1])
+def test_dense_in_key_order(spark, partitions, start):
+    rng = random.Random(partitions)
+    keys = [str(rng.randrange(400)) for _ in range(2000)] + ["hot"] * 1000
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    found = {r.k: r.id for r in ids.dense_ids(df, "k", "id", start, partitions).collect()}
+    assert found == {k: i for i, k in enumerate(sorted(set(keys)), start)}
+
+
+def test_fewer_keys_than_partitions(spark):
+    df = spark.createDataFrame([("b",), ("a",)], "k string")
+    assert {tuple(r) for r in ids.dense_ids(df, "k", "id", 0, 8).collect()} == {("a", 0), ("b", 1)}
+
+
+def test_no_keys(spark):
+    assert ids.dense_ids(spark.createDataFrame([], "k string"), "k", "id").count() == 0
+
+
+def test_ids_do_not_change_between_reads(spark):
+    found = ids.dense_ids(spark.range(1000).selectExpr("cast(id as string) k"), "k", "id")
+    assert found.collect() == found.collect()
+
+
+def test_gapped_ids_are_unique(spark):
+    found = ids.gapped_ids(spark.range(5000).selectExpr("cast(id % 700 as string) k"), "k", "id")
+    assert found.count() == found.select("k").distinct().count() == found.select("id").distinct().count() == 700
+
+
+def test_catalogue_has_a_row_per_name(spark, tmp_path):
+    df = plays(spark, [("ua", "a1", "Name One", 1), ("ub", "a1", "Name 1", 5), ("ub", "a1", "Name 1", 6),
+                       ("ub", "a2", "Name, Two", 1)])
+    catalogue = ids.artist_catalogue(df, ids.dense_ids(df, "artist_id", "item"))
+    expected = [("a1", 0, "Name 1"), ("a1", 0, "Name One"), ("a2", 1, "Name, Two")]
+    assert sorted(tuple(r) for r in catalogue.collect()) == expected
+    path = str(tmp_path / "catalogue")
+    files.write_catalogue(catalogue, path)
+    assert sorted(r.value for r in spark.read.text(path).collect()) == [
+        "a1\t0\tName 1", "a1\t0\tName One", "a2\t1\tName, Two"]
+    assert sorted(tuple(r) for r in lines.read_catalogue(spark, path).collect()) == expected
+
+
+def test_map_and_alias_files(spark, tmp_path):
+    df = spark.createDataFrame([("x,y", 1), ("z", 2)], "user_id string, rank bigint")
+    maps, alias = str(tmp_path / "map"), str(tmp_path / "alias")
+    files.write_id_map(df, maps)
+    files.write_alias(df, alias)
+    assert sorted(r.value for r in spark.read.text(maps).collect()) == ["x,y\t1", "z\t2"]
+    assert sorted(r.value for r in spark.read.text(alias).collect()) == ["x,y,1", "z,2"]
+    assert sorted(tuple(r) for r in lines.read_id_map(spark, maps).collect()) == [("x,y", 1), ("z", 2)]
+    read = lines.read_alias(spark, alias, "user_id", "rank")
+    assert sorted(tuple(r) for r in read.collect()) == [("x,y", 1), ("z", 2)]
+    with pytest.raises(Exception, match="exist"):
+        files.write_alias(df, alias)
+    files.write_alias(df.limit(1), alias, mode="overwrite")
+    assert spark.read.text(alias).count() == 1
+
+
+def test_run_stamped_folders(spark, tmp_path, capsys):
+    base = str(tmp_path / "clean")
+    for stamp in (5, 7):
+        files.write_stamped(spark.range(stamp), base, stamp)
+    assert files.read_stamped(spark, base, 5).count() == 5
+    files.read_stamped(spark, base, 7).explain()
+    assert "PartitionFilters: [isnotnull(load_ts" in capsys.readouterr().out
