@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from playlens import constants
 from playlens.functions.messages import banner_message
 from playlens.operators.ids import numbered_in_order
-from playlens.session import pin
+from playlens.session import pin, shuffle_partitions
 
 # Users with more events than this are numbered over several tasks.
 HOT_EVENTS = 1_000_000
@@ -43,7 +43,9 @@ def crossings(counts: DataFrame, before: Column, after: Column, every: int, spre
         F.col("_first") <= F.col("_last")
     ).withColumn("_from", F.explode(F.sequence("_first", "_last", F.lit(CHUNK).cast("bigint"))))
     if spread:
-        chunked = chunked.repartition("user_id", "_from")
+        # A fixed number of partitions: adaptive execution would merge these small rows again.
+        partitions = shuffle_partitions(counts.sparkSession)
+        chunked = chunked.repartition(partitions, "user_id", "_from")
     until = F.least("_last", F.col("_from") + (CHUNK - 1))
     return chunked.withColumn("_multiple", F.explode(F.sequence("_from", until))).select(
         *counts.columns, (F.col("_multiple") * every).alias("play_no")

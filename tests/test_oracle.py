@@ -1,0 +1,50 @@
+"""Every registered query against the SQL beside it."""
+
+import functools
+
+import __spark_entry__ as driver
+import pytest
+from oracle import compare, connect
+from playlens.plans import QUERIES
+
+SMALL, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+connected = functools.cache(connect)
+CHECKED = sorted(driver.oracle_sql())
+BATCH = [name for name in CHECKED if not name.startswith(("stream_", "als_", "model_"))]
+
+
+@pytest.mark.parametrize("name", CHECKED)
+def test_small(spark, name):
+    assert compare(driver.queries()[name](spark, SMALL), connected(SMALL), driver.oracle_sql()[name]) is None
+
+
+@pytest.mark.parametrize("name", BATCH)
+def test_larger(spark, name):
+    assert compare(driver.queries()[name](spark, LARGER), connected(LARGER), driver.oracle_sql()[name]) is None
+
+
+@pytest.mark.parametrize("sf_dir,rows", [(SMALL, 94), (LARGER, 932)])
+def test_flagship_row_count(spark, sf_dir, rows):
+    assert driver.queries()["every_nth_banner"](spark, sf_dir).count() == rows
+
+
+def test_entry(spark):
+    assert driver.entry(spark).count() == 94
+
+
+def test_grid(spark):
+    rows = QUERIES["als_grid"].run(spark, SMALL).collect()
+    assert {(r["rank"], r["iterations"]) for r in rows} == {(8, 10), (8, 20), (12, 10), (12, 20)}
+    assert sum(r["test_rmse"] is not None for r in rows) == 1
+    best = min(rows, key=lambda r: (r["rmse"], r["rank"], r["iterations"]))
+    assert best["test_rmse"] is not None
+
+
+def test_top_item_per_user(spark):
+    rows = QUERIES["als_topk"].run(spark, SMALL).collect()
+    assert len(rows) == len({r["user"] for r in rows}) == 150
+
+
+def test_stream_with_model(spark):
+    rows = QUERIES["stream_als_top_item"].run(spark, SMALL).collect()
+    assert 1 <= len(rows) <= 4 and all(r.message.startswith("GRUPO RECOMENDADO >>>>> ") for r in rows)

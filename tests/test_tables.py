@@ -49,3 +49,14 @@ def test_lookup(spark):
     held = spark.createDataFrame([("a", "A", 7)], "user_id string, banner string, plays bigint")
     found = user_table.lookup_users(held, spark.createDataFrame([("a",), ("z",)], "user_id string"))
     assert sorted(found.collect(), key=str) == [("a", "A", 7), ("z", None, None)]
+
+
+def test_bucketed_table_is_not_shuffled(spark, table, tmp_path, capsys):
+    user_table.create_user_table(spark, table, str(tmp_path / "t"), buckets=4)
+    loaded = spark.range(100).selectExpr("cast(id as string) user_id", "'A' banner")
+    user_table.upsert_users(spark, table, loaded, 1)
+    events = spark.range(1000).selectExpr("cast(id % 150 as string) user_id")
+    joined = events.join(user_table.current_users(spark, table).hint("merge"), "user_id")
+    joined.explain()
+    assert capsys.readouterr().out.count("Exchange hashpartitioning") == 1
+    assert joined.count() == 700
