@@ -40,6 +40,12 @@ JOBS = {
         lambda spark, a: jobs.prepare_users(spark, a.users, a.banners, a.out, a.table, a.location),
         ["users", "banners", "out", "table", "location="],
     ),
+    "prepare-imported-users": (
+        lambda spark, a: jobs.prepare_users(
+            spark, a.users, a.banners, a.out, a.table, a.location, imported=True
+        ),
+        ["users", "banners", "out", "table", "location="],
+    ),
     "map-ids": (lambda spark, a: jobs.map_ids(spark, a.plays, a.out), ["plays", "out"]),
     "find-users": (_find, ["left", "right"]),
     "tune-model": (_tune, ["plays", "out", "parallelism:1"]),
@@ -50,6 +56,12 @@ JOBS = {
         ).awaitTermination(),
         ["servers", "table", "checkpoint", f"topics={constants.EVENT_TOPIC}", "starting=latest"],
     ),
+    "reject-events": (
+        lambda spark, a: jobs.reject_events(
+            spark, _topic(spark, a), a.table, a.out, a.checkpoint
+        ).awaitTermination(),
+        ["servers", "table", "out", "checkpoint", f"topics={constants.EVENT_TOPIC}", "starting=latest"],
+    ),
     "suggest": (
         lambda spark, a: jobs.suggest(
             spark, _topic(spark, a), a.trained, a.checkpoint, servers=a.servers

@@ -138,17 +138,17 @@ def banner_match(t: Tables) -> DataFrame:
 
 @query(f"WITH {s.PROFILES_SQL} SELECT * FROM pairs")
 def cohort_match(t: Tables) -> DataFrame:
-    return cohort.match_profiles(t.profile_side(0), t.profile_side(1))
+    return cohort.match_profiles(t.supplier_profiles, t.customer_profiles)
 
 
 @query(f"WITH {s.PROFILES_SQL} SELECT count(*) AS n_pairs FROM pairs")
 def cohort_pair_count(t: Tables) -> DataFrame:
-    return cohort.count_matches(t.profile_side(0), t.profile_side(1))
+    return cohort.count_matches(t.supplier_profiles, t.customer_profiles)
 
 
 @query(f"WITH {s.PROFILES_SQL} SELECT * FROM pairs ORDER BY a_id, b_id LIMIT 50")
 def cohort_first_50(t: Tables) -> DataFrame:
-    return cohort.first_matches(t.profile_side(0), t.profile_side(1), 50)
+    return cohort.first_matches(t.supplier_profiles, t.customer_profiles, 50)
 
 
 # Ids and catalogue.

@@ -9,6 +9,7 @@ job                 work
 ``tune_model``      try recommender settings, report the errors, write the aliases
 ``train_model``     fit the final recommender, write the artist catalogue
 ``check_events``    stream: a banner message on every tenth play
+``reject_events``   stream: the events it leaves out
 ``suggest``         stream: recommend the best artist of each micro-batch
 ``replay``          publish a file of events to a topic
 ``archive_topic``   keep the raw topic
@@ -33,10 +34,16 @@ from playlens.streaming import archive, counter, replay as replay_stream, sugges
 
 def prepare_users(spark: SparkSession, users_path: str, banners_path: str, out: str,
                   table: str = "user_banner", table_location: str | None = None,
-                  load_ts: int | None = None) -> int:
-    """Clean users and their banners under a run stamp, then into the user table."""
+                  load_ts: int | None = None, imported: bool = False) -> int:
+    """Clean users and their banners under a run stamp, then into the user table.
+
+    ``imported`` users are the parquet of ``import_table``, others are text lines.
+    """
     load_ts = files.now_millis() if load_ts is None else load_ts
-    users = lines.read_users(spark, users_path)
+    if imported:
+        users = lines.users_of_table(spark.read.parquet(users_path))
+    else:
+        users = lines.read_users(spark, users_path)
     banners = lines.read_banners(spark, banners_path)
     clean = files.write_stamped(users.rows, f"{out}/users", load_ts)
     files.write_stamped(users.rejects, f"{out}/user_rejects", load_ts)
@@ -112,19 +119,26 @@ def check_events(spark: SparkSession, wire: DataFrame, table: str, checkpoint: s
     return topics.start(spark, writer, checkpoint, **starting)
 
 
+def reject_events(spark: SparkSession, wire: DataFrame, table: str, out: str, checkpoint: str,
+                  **starting) -> StreamingQuery:
+    """Events ``check_events`` leaves out, as (user_id, n) files."""
+    rejects = counter.reject_stream(wire, user_table.current_users(spark, table))
+    return topics.start(spark, topics.file_writer(rejects, out), checkpoint, **starting)
+
+
 def suggest(spark: SparkSession, wire: DataFrame, trained: str, checkpoint: str, *,
             servers: str | None = None, sink: topics.Sink | None = None,
-            own_user: bool = False, **starting) -> StreamingQuery:
+            own_user: bool = False, rejects: topics.Sink | None = None, **starting) -> StreamingQuery:
     """A recommendation per micro-batch to the recommendation topic, or to ``sink``.
 
     ``trained`` is the folder ``train_model`` wrote; ``own_user`` scores for the user of the
-    event instead of the fixed user.
+    event instead of the fixed user; ``rejects`` gets the artists that cannot be scored.
     """
     catalogue = pin(lines.read_catalogue(spark, f"{trained}/catalogue"), "catalogue")
     scorer = suggest_stream.model_scorer(recommend.load_model(f"{trained}/model"))
     user_ids = lines.read_alias(spark, f"{trained}/user_alias", "user_id", "user") if own_user else None
     writer = suggest_stream.suggestion_writer(
-        wire, catalogue, scorer, sink or suggest_stream.to_topic(servers), user_ids
+        wire, catalogue, scorer, sink or suggest_stream.to_topic(servers), user_ids, rejects
     )
     return topics.start(spark, writer, checkpoint, **starting)
 

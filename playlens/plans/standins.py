@@ -4,7 +4,7 @@
 domain table   taken from
 =============  =====================================================================
 users          customer: gender from the market segment, age from the balance
-profiles       customer, even keys against odd keys
+profiles       supplier against customer: country and region, age and gender from the balance
 play counts    orders, lineitem and part: customer, part, part name, quantity
 play events    events: user, time, artist from the JSON property ``k``
 banners        fixed rows
@@ -58,20 +58,28 @@ class Tables:
     def users_with_age(self) -> DataFrame:
         return self.users.filter(F.col("age").isNotNull()).select("user_id")
 
-    @cached_property
-    def profiles(self) -> DataFrame:
-        return self.table("customer").select(
-            "c_custkey",
-            F.col("c_custkey").cast("string").alias("id"),
-            F.lower("c_mktsegment").alias("gender"),
-            F.floor(F.col("c_acctbal") / 1000).cast("string").alias("age"),
-            F.col("c_nationkey").cast("string").alias("country"),
-            F.concat(F.lit("seg-"), F.substring("c_mktsegment", 1, 3)).alias("registered"),
+    def profiles(self, table: str, letter: str) -> DataFrame:
+        """Profiles of customers or suppliers; ``letter`` starts the names of the columns."""
+        balance, place = F.col(f"{letter}_acctbal"), self.table("nation").join(
+            self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")
+        ).select("n_nationkey", "n_name", "r_name")
+        return self.table(table).join(
+            place, F.col(f"{letter}_nationkey") == F.col("n_nationkey")
+        ).select(
+            F.col(f"{letter}_name").alias("id"),
+            F.when(balance < 0, "f").otherwise("m").alias("gender"),
+            F.when(balance < 0, "").otherwise(F.floor(balance / 1000).cast("string")).alias("age"),
+            F.col("n_name").alias("country"),
+            F.col("r_name").alias("registered"),
         )
 
-    def profile_side(self, odd: int) -> DataFrame:
-        side = self.profiles.filter(F.pmod("c_custkey", F.lit(2)) == odd)
-        return side.select("id", "gender", "age", "country", "registered")
+    @cached_property
+    def supplier_profiles(self) -> DataFrame:
+        return self.profiles("supplier", "s")
+
+    @cached_property
+    def customer_profiles(self) -> DataFrame:
+        return self.profiles("customer", "c")
 
     @cached_property
     def plays(self) -> DataFrame:
@@ -193,20 +201,23 @@ USER_BANNER_SQL = f"""{BANNERS_SQL}, {USERS_SQL}, user_banner AS (
               OR (u.age IS NULL AND b.lo IS NULL AND b.hi IS NULL))
     GROUP BY u.user_id)"""
 
-PROFILES_SQL = """profiles AS (
-    SELECT c_custkey, CAST(c_custkey AS VARCHAR) AS id, lower(c_mktsegment) AS gender,
-           CAST(CAST(floor(c_acctbal / 1000) AS BIGINT) AS VARCHAR) AS age,
-           CAST(c_nationkey AS VARCHAR) AS country,
-           'seg-' || substr(c_mktsegment, 1, 3) AS registered
-    FROM customer),
-    pairs AS (
+def _profiles_sql(table: str, letter: str) -> str:
+    return f"""
+    SELECT {letter}_name AS id, CASE WHEN {letter}_acctbal < 0 THEN 'f' ELSE 'm' END AS gender,
+           CASE WHEN {letter}_acctbal < 0 THEN ''
+                ELSE CAST(CAST(floor({letter}_acctbal / 1000) AS BIGINT) AS VARCHAR) END AS age,
+           n_name AS country, r_name AS registered
+    FROM {table} JOIN nation ON {letter}_nationkey = n_nationkey
+         JOIN region ON n_regionkey = r_regionkey"""
+
+
+PROFILES_SQL = f"""pairs AS (
     SELECT a.id AS a_id, a.gender AS a_gender, a.age AS a_age, a.country AS a_country,
            a.registered AS a_registered, b.id AS b_id, b.gender AS b_gender, b.age AS b_age,
            b.country AS b_country, b.registered AS b_registered
-    FROM profiles a JOIN profiles b
+    FROM ({_profiles_sql("supplier", "s")}) a JOIN ({_profiles_sql("customer", "c")}) b
       ON a.registered = b.registered AND a.country = b.country AND a.gender = b.gender
-     AND a.age = b.age
-    WHERE a.c_custkey % 2 = 0 AND b.c_custkey % 2 = 1)"""
+     AND a.age = b.age)"""
 
 PLAYS_SQL = """plays AS (
     SELECT CAST(o_custkey AS VARCHAR) AS user_id, CAST(l_partkey AS VARCHAR) AS artist_id,

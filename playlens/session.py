@@ -24,6 +24,8 @@ def build_session(app: str = "playlens", master: str | None = None, **conf: str)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Compressed files are larger in memory: count that when deciding on a broadcast.
+        .config("spark.sql.sources.fileCompressionFactor", "3.0")
     )
     if master:
         builder = builder.master(master)

@@ -47,6 +47,19 @@ def _columns(ddl: str) -> list[Column]:
 
 def parse_users(lines: DataFrame) -> Parsed:
     """User lines: exactly five fields once empty ones at the end are gone; age may be empty."""
+    return _users(_split(lines, text.fields(F.col("value"))))
+
+
+def users_of_table(table: DataFrame) -> Parsed:
+    """Users of an imported table, columns by position, under the same rules as lines."""
+    filled = [text.or_empty(F.col(name).cast("string")) for name in table.columns]
+    last = F.greatest(*[F.when(cell != "", n).otherwise(0) for n, cell in enumerate(filled, 1)], F.lit(0))
+    row = table.select(F.array(*filled).alias("all"), last.alias("last"))
+    return _users(row.select(F.array_join("all", text.TAB).alias("value"),
+                             F.slice("all", F.lit(1), F.col("last")).alias("parts")))
+
+
+def _users(split: DataFrame) -> Parsed:
     parts = F.col("parts")
     age = text.field(parts, 2)
     reason = F.when(
@@ -54,7 +67,7 @@ def parse_users(lines: DataFrame) -> Parsed:
     ).when((age != "") & text.whole_number(age).isNull(), F.lit("age is not a whole number"))
     columns = _columns(schemas.USER)
     columns[2] = text.whole_number(age).alias("age")
-    return _parsed(_split(lines, text.fields(F.col("value"))), reason, columns)
+    return _parsed(split, reason, columns)
 
 
 def parse_banners(lines: DataFrame) -> Parsed:

@@ -20,14 +20,21 @@ Sink = Callable[[DataFrame, int], None]
 
 
 def read_topics(spark: SparkSession, servers: str, topics: Iterable[str],
-                starting: str = "latest", max_offsets: int | None = None) -> DataFrame:
-    """Stream of (key, value) bytes from one or more topics."""
+                starting: str = "latest", since_millis: int | None = None,
+                max_offsets: int | None = None) -> DataFrame:
+    """Stream of (key, value) bytes from one or more topics.
+
+    A new stream begins at ``since_millis`` if given, else at ``starting``. To count afresh,
+    begin a new checkpoint at a new ``since_millis``.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", ",".join(topics))
         .option("startingOffsets", starting)
     )
+    if since_millis is not None:
+        reader = reader.option("startingTimestamp", since_millis)
     if max_offsets:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets)
     return reader.load().select("key", "value")

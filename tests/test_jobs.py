@@ -54,12 +54,25 @@ def test_users_to_messages(spark, lines, save, tmp_path):
     found = spark.read.parquet(str(tmp_path / "messages")).collect()
     assert [r.message for r in found] == ["Usuario: u1. Banner: AC"]
 
+    left_out = str(tmp_path / "left-out")
+    jobs.reject_events(spark, stream, table, left_out, checkpoint + "4", available_now=True).awaitTermination()
+    assert {(r.user_id, r.n) for r in spark.read.parquet(left_out).groupBy("user_id").sum("n").toDF("user_id", "n").collect()} == {("zz", 16)}
+
     kept = str(tmp_path / "kept")
     jobs.archive_topic(spark, stream, kept, checkpoint + "3", available_now=True).awaitTermination()
     assert spark.read.text(kept).count() == 32
     spark.sql(f"DROP TABLE {table}")
 
 
+def test_imported_users(spark, save, tmp_path):
+    table, path = f"users_{uuid.uuid4().hex}", str(tmp_path / "imported")
+    spark.sql("SELECT 1 id, 'm' gender, 22 age, 'Japan' since, 'x' note").write.parquet(path)
+    banners = save("banners", "18→25→M→A")
+    jobs.prepare_users(spark, path, banners, str(tmp_path / "clean"), table, str(tmp_path / "t"), imported=True)
+    assert [tuple(r) for r in user_table.current_users(spark, table).collect()] == [("1", "A", 0)]
+    spark.sql(f"DROP TABLE {table}")
+
+
 def test_map_ids(spark, plays_path, tmp_path, capsys):
     out = str(tmp_path / "maps")
     jobs.map_ids(spark, plays_path, out)
@@ -143,14 +156,14 @@ class Database:
 
 def test_import_splits_on_the_key_range():
     db = Database((5, 104))
-    relational.read_table(db, "jdbc:x", "clientes", column="id", num_partitions=8, properties={"user": "u"})
+    relational.read_table(db, "jdbc:x", "customers", column="id", num_partitions=8, properties={"user": "u"})
     split, bounds = db.reads
-    assert bounds["dbtable"] == "(SELECT MIN(id) AS lo, MAX(id) AS hi FROM clientes) bounds"
-    assert split == {"url": "jdbc:x", "dbtable": "clientes", "fetchsize": "10000", "user": "u",
+    assert bounds["dbtable"] == "(SELECT MIN(id) AS lo, MAX(id) AS hi FROM customers) bounds"
+    assert split == {"url": "jdbc:x", "dbtable": "customers", "fetchsize": "10000", "user": "u",
                      "partitionColumn": "id", "lowerBound": "5", "upperBound": "105", "numPartitions": "8"}
 
 
 def test_import_without_key_or_rows_is_one_task():
     for db, settings in ((Database(None), {}), (Database((None, None)), {"column": "id", "num_partitions": 8})):
-        relational.read_table(db, "jdbc:x", "clientes", **settings)
-        assert any("partitionColumn" not in read and read["dbtable"] == "clientes" for read in db.reads)
+        relational.read_table(db, "jdbc:x", "customers", **settings)
+        assert any("partitionColumn" not in read and read["dbtable"] == "customers" for read in db.reads)

@@ -102,3 +102,14 @@ def test_files_by_glob(spark, lines, tmp_path):
     lines("u1→m→22→Japan→x").write.text(str(tmp_path / "a"))
     lines("u2→m→22→Japan→x").write.text(str(tmp_path / "b"))
     assert readers.read_users(spark, str(tmp_path / "*")).rows.count() == 2
+
+
+def test_users_of_an_imported_table(spark):
+    table = spark.createDataFrame(
+        [(1, "m", 22, "Japan", "x"), (2, "f", None, "Peru", "x\ty"), (3, "f", 30, "Chile", None),
+         (4, None, None, None, None)],
+        "id int, gender string, age int, since string, note string")
+    parsed = readers.users_of_table(table)
+    assert sorted((r.user_id, r.age, r.extra) for r in parsed.rows.collect()) == [("1", 22, "x"), ("2", None, "x\ty")]
+    assert sorted(r.reason for r in parsed.rejects.collect()) == [
+        "Error en Usuario, tamaño: 1", "Error en Usuario, tamaño: 4"]

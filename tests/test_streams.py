@@ -193,6 +193,9 @@ def test_artists_without_number(topic, spark):
     catalogue = spark.createDataFrame(CATALOGUE, "artist_id string, item bigint, artist_name string")
     missing = suggest.unlisted_artists(suggest.played(spark.read.parquet(topic.path)), catalogue)
     assert [tuple(r) for r in missing.collect()] == [("x", 2)]
+    out = str(topic.tmp_path / "unlisted")
+    assert suggestions(topic, spark, rejects=topics.files_by_batch(out)) == [(0, 0, "GRUPO RECOMENDADO >>>>> One")]
+    assert [(r.artist_id, r.n) for r in spark.read.parquet(out).collect()] == [("x", 2)]
 
 
 class Recorder:
@@ -219,9 +222,9 @@ class Recorder:
 
 def test_topic_settings():
     source = Recorder()
-    topics.read_topics(source, "h:1", ["in1", "in2"], "earliest", 500)
+    topics.read_topics(source, "h:1", ["in1", "in2"], "earliest", 99, 500)
     assert source.options == {"kafka.bootstrap.servers": "h:1", "subscribe": "in1,in2",
-                              "startingOffsets": "earliest", "maxOffsetsPerTrigger": 500}
+                              "startingOffsets": "earliest", "startingTimestamp": 99, "maxOffsetsPerTrigger": 500}
     assert ("format", "kafka") in source.calls and ("select", "key", "value") in source.calls
     sink = Recorder()
     topics.topic_writer(sink, "h:1", "out", mode="update")
