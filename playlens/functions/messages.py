@@ -12,17 +12,17 @@ EVENT_COLUMNS = schemas.names(schemas.EVENT)
 
 
 def wire_key(user_id: Column) -> Column:
-    return F.encode(F.concat(user_id, F.lit(TAB)), "UTF-8")
+    return F.concat(user_id, F.lit(TAB)).cast("binary")
 
 
 def wire_value() -> Column:
     """Six fields, each followed by a tab, as bytes."""
-    return F.encode(F.concat(F.concat_ws(TAB, *EVENT_COLUMNS), F.lit(TAB)), "UTF-8")
+    return F.concat(F.concat_ws(TAB, *EVENT_COLUMNS), F.lit(TAB)).cast("binary")
 
 
 def payload(value: Column) -> Column:
-    """Text of a wire value."""
-    return F.decode(value, "UTF-8")
+    """Text of a wire value; bytes that are no UTF-8 become the replacement character."""
+    return F.make_valid_utf8(value.cast("string"))
 
 
 def first_line_filled(text: Column) -> Column:

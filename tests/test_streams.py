@@ -95,6 +95,12 @@ def test_payloads_without_text_and_unknown_users(topic, spark):
     assert sorted((r.user_id, r.n) for r in spark.read.parquet(out).collect()) == [("", 1), ("  ", 1), ("x", 1)]
 
 
+def test_broken_bytes_do_not_stop_the_stream(topic, spark):
+    broken = [(None, bytearray(b"u\tx\xff\xfe")), (None, bytearray(b"\xff\tx")), (None, None)]
+    spark.createDataFrame(broken, "key binary, value binary").write.mode("append").parquet(topic.path)
+    assert count(topic, table(spark, "u"), every=1)[1] == [("u", 1)]
+
+
 def test_unknown_user_is_counted_from_when_known(topic, spark):
     topic.play(*["u"] * 3)
     assert count(topic, table(spark, "other"), every=2)[1] == []
