@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from playlens import constants
 from playlens.plans import jobs
-from playlens.session import build_session
+from playlens.session import build_session, clear_scratch
 from playlens.sources import files, relational, topics
 
 
@@ -103,7 +103,11 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    JOBS[args.job][0](build_session(f"playlens {args.job}"), args)
+    spark = build_session(f"playlens {args.job}")
+    try:
+        JOBS[args.job][0](spark, args)
+    finally:
+        clear_scratch(spark)
 
 
 if __name__ == "__main__":

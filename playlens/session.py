@@ -51,9 +51,20 @@ def shared_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The part of the shared root that belongs to this application."""
+    return os.path.join(shared_root(spark), "playlens", spark.sparkContext.applicationId)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared root."""
-    return os.path.join(shared_root(spark), "playlens", f"{label}-{uuid.uuid4().hex}")
+    """A new, unused path for this application."""
+    return os.path.join(scratch_root(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application pinned; DataFrames made from it cannot be read any more."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def pin(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -73,7 +84,7 @@ def use_checkpoints(spark: SparkSession) -> None:
     """Let iterative fits cut their lineage in the shared folder."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(os.path.join(shared_root(spark), "playlens", "checkpoints"))
+        context.setCheckpointDir(os.path.join(scratch_root(spark), "checkpoints"))
 
 
 @contextmanager
