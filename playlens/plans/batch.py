@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,6 +60,26 @@ def user_rejects(t: Tables) -> DataFrame:
     return lines.parse_users(t.user_lines).rejects
 
 
+@query("""
+    SELECT CAST(c_custkey AS VARCHAR) AS user_id, lower(c_mktsegment) AS gender,
+           CASE WHEN c_acctbal >= 0 THEN CAST(CAST(floor(c_acctbal / 100) AS INTEGER) AS VARCHAR)
+                ELSE '' END AS age,
+           CAST(c_nationkey AS VARCHAR) AS "date", c_name AS extra
+    FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'""")
+def imported_users(t: Tables) -> DataFrame:
+    """Users as a database has them: typed, some without the last column."""
+    balance, segment = F.col("c_acctbal"), F.col("c_mktsegment")
+    table = t.table("customer").select(
+        "c_custkey",
+        F.lower(segment),
+        F.when(balance >= 0, F.floor(balance / 100).cast("int")),
+        "c_nationkey",
+        F.when(segment != "HOUSEHOLD", F.col("c_name")),
+    )
+    table = table.toDF("id", "gender", "age", "since", "name")
+    return with_age_text(lines.users_of_table(table).rows)
+
+
 @query("""
     SELECT CAST(c_custkey AS VARCHAR) AS id, lower(c_mktsegment) AS gender,
            CASE WHEN c_acctbal < 0 THEN ''
@@ -249,6 +270,27 @@ def split_sizes(t: Tables) -> DataFrame:
     return ratings.split_sizes(ratings.assign_split(triples(t)))
 
 
+@query(f"WITH {s.RATINGS_SQL} SELECT count(*) AS n_rows, count(*) AS n_pairs FROM ratings")
+def random_split_sizes(t: Tables) -> DataFrame:
+    """Spark's own random split: the parts hold every rating once."""
+    parts = ratings.random_split(pin(triples(t), "ratings"))
+    together = reduce(DataFrame.unionAll, parts)
+    return together.groupBy("user", "item").agg(F.count(F.lit(1)).alias("n")).agg(
+        F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_pairs")
+    )
+
+
+@query(f"""
+    WITH {s.RATINGS_SQL}
+    SELECT "user", arg_max(item, plays * 10000000 - item) AS item, CAST(max(plays) AS DOUBLE) AS prediction
+    FROM ratings GROUP BY 1""")
+def top_artist_per_user(t: Tables) -> DataFrame:
+    """The artist each user plays most; the smaller number on ties."""
+    return recommend.top_item_per_user(
+        triples(t).select("user", "item", F.col("plays").cast("double").alias("prediction"))
+    )
+
+
 @query(f"""
     WITH {s.SPLIT_SQL},
     means AS (SELECT item, avg(plays) AS prediction FROM split WHERE split = 0 GROUP BY 1),

@@ -75,6 +75,11 @@ def test_event_file(lines):
     assert parsed.rejects.count() == 2
 
 
+def test_events_of_files(spark, lines, tmp_path):
+    lines(*EVENTS).write.text(str(tmp_path / "events"))
+    assert readers.read_events(spark, str(tmp_path / "events")).rows.count() == 2
+
+
 def test_event_wire_form(lines):
     wire = encode_lines(lines(*EVENTS))
     texts = wire.select(payload(F.col("key")), payload(F.col("value")))

@@ -23,7 +23,8 @@ def test_loads(spark, table, tmp_path):
     assert user_table.latest_load(spark, table) is None
     assert user_table.current_users(spark, table).count() == 0
     user_table.upsert_users(spark, table, spark.createDataFrame([("a", "A"), ("b", "B")], LOAD), 10)
-    user_table.upsert_users(spark, table, spark.createDataFrame([("b", "C"), ("c", None), ("d", "1"), ("d", "2")], LOAD), 11)
+    load = spark.createDataFrame([("b", "C"), ("c", None), ("d", "1"), ("d", "2")], LOAD)
+    user_table.upsert_users(spark, table, load, 11)
     assert user_table.latest_load(spark, table) == 11
     assert rows(user_table.current_users(spark, table).fillna("")) == [
         ("a", "A", 0), ("b", "C", 0), ("c", "", 0), ("d", "2", 0)]
