@@ -4,9 +4,10 @@ Words are lower-cased (A-Z) runs of letters, digits and non-ASCII characters. A
 consecutive words of an item; an item of fewer words is one window. The scan goes over every window
 of every text:
 
-1. A bit set of the window hashes, at most ``most_bits`` bits whatever the benchmark, is given
-   to the tasks and looks up each window of a text in place; a larger benchmark only lets more false hits by.
-2. The words of what is left are verified by joining them with the windows themselves. The planner
+1. The longest word of each benchmark window, and that word with its successor, go into two hash sets of at most
+   ``most_bits`` bits whatever the benchmark. Tasks look up each word of a text; windows around a word and
+   successor that are both there are candidates. A larger benchmark only lets more false candidates by.
+2. The words of the candidates are verified by joining them with the windows themselves. The planner
    broadcasts that table while it is below spark.sql.autoBroadcastJoinThreshold, and shuffles both
    sides beyond.
 3. Hits meet per document, of which no text is moved.
@@ -19,7 +20,7 @@ Without benchmark rows nothing is contaminated. Further columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.tables import table
@@ -59,32 +60,42 @@ def windows(items: DataFrame, size: int) -> DataFrame:
     )
 
 
-def bit_set(found: DataFrame, length: int, bits: int) -> DataFrame:
-    """One row with the longs of a set of ``bits`` bits: those of the hashes of the windows of this length."""
-    parts = F.split("window", " ")
-    place = F.pmod(_hash(parts, F.lit(1), length), F.lit(bits))
+def anchor(window: Column, length: int) -> Column:
+    """Place of the longest word of a window, among those that have a successor in it."""
+    parts = F.split(window, " ")
+    places = F.sequence(F.lit(1), F.lit(max(1, length - 1)))
+    return F.array_max(F.transform(places, lambda at: F.struct(F.length(F.get(parts, at - 1)), at.alias("at"))))["at"]
+
+
+def bit_set(spark: SparkSession, places: DataFrame, bits: int) -> DataFrame:
+    """One row with the longs of a set of ``bits`` bits, from their places."""
     longs = (
-        found.where(F.col("length") == length).select(place.alias("place")).distinct()
-        .groupBy(F.shiftrightunsigned("place", 6).cast("int").alias("at"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits"))
+        places.groupBy(F.shiftrightunsigned("place", 6).alias("at"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("long"))
     )
-    # A map is searched from end to end, so its values are laid out in an array once, here.
-    pairs = F.map_from_entries(F.collect_list(F.struct("at", "bits")))
-    return longs.agg(pairs.alias("pairs")).select(F.transform(
-        F.sequence(F.lit(0), F.lit(bits // 64 - 1)), lambda at: F.coalesce(F.col("pairs")[at], F.lit(0).cast("long"))
-    ).alias("longs"))
+    every = spark.range(bits // 64).withColumnRenamed("id", "at").join(longs, "at", "left")
+    pairs = F.array_sort(F.collect_list(F.struct("at", F.coalesce("long", F.lit(0)).alias("long"))))
+    return every.agg(F.transform(pairs, lambda pair: pair["long"]).alias("longs"))
+
 
+def _place(words: Column, at: Column, size: int, bits: int) -> Column:
+    return F.pmod(_hash(words, at, size), F.lit(bits))
 
-def _candidates(length: int, bits: int, name: str) -> Column:
-    """Place and words of the windows of ``words`` whose bit is set."""
+
+def _candidates(length: int, bits: int) -> Column:
+    """Place and words of the windows that hold an anchor: its word, then it and its successor, have their bits set."""
+    pair = min(2, length)
     starts = F.when(
-        F.size("words") >= length, F.sequence(F.lit(1), F.size("words") - (length - 1))
+        F.size("words") >= length, F.sequence(F.lit(1), F.size("words") - (pair - 1))
     ).otherwise(F.array().cast("array<int>"))
-    return F.transform(
-        F.filter(starts, lambda at: _bit(_hash(F.col("words"), at, length), bits, F.col(name))),
-        lambda at: F.struct(
-            at.alias("at"), F.lit(length).alias("length"), _text(F.col("words"), at, length).alias("window")),
-    )
+    found = F.filter(starts, lambda at: (
+        _bit(F.get("places", at - 1) % F.lit(bits), F.col(f"words_{length}"))
+        & _bit(_place(F.col("words"), at, pair, bits), F.col(f"pairs_{length}"))
+    ))
+    around = F.array_distinct(F.flatten(F.transform(found, lambda at: F.sequence(
+        F.greatest(F.lit(1), at - (length - pair)), F.least(at, F.size("words") - (length - 1))))))
+    return F.transform(around, lambda at: F.struct(
+        at.alias("at"), F.lit(length).alias("length"), _text(F.col("words"), at, length).alias("window")))
 
 
 def hit_documents(
@@ -101,13 +112,16 @@ def hit_documents(
     text_ = F.col(text).cast("string")
     base = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text_).alias("text_hash"), words_of(text_).alias("words")
-    )
-    maybe = []
+    ).withColumn("places", F.transform("words", lambda w: F.pmod(F.xxhash64(w), F.lit(most_bits))))
+    candidates = []
     for length, n in sorted(lengths.items()):
         bits = min(most_bits, max(1 << 12, 1 << (64 * n - 1).bit_length()))
-        maybe.append((length, bits, f"bits_{length}"))
-        base = base.withColumn(f"bits_{length}", bit_set(found, length, bits).scalar())
-    candidates = [_candidates(*which) for which in maybe]
+        at, parts = anchor(F.col("window"), length), F.split("window", " ")
+        anchored = found.where(F.col("length") == length).select(at.alias("at"), parts.alias("parts"))
+        for name, size in (("words", 1), ("pairs", min(2, length))):
+            places = anchored.select(_place(F.col("parts"), F.col("at"), size, bits).alias("place"))
+            base = base.withColumn(f"{name}_{length}", bit_set(docs.sparkSession, places, bits).scalar())
+        candidates.append(_candidates(length, bits))
     kind = "array<struct<at:int,length:int,window:string>>"
     scanned = base.select(
         "doc_id", "text_hash", F.size("words").cast("long").alias("n_words"),
@@ -140,8 +154,7 @@ def hit_documents(
     )
 
 
-def _bit(hashed: Column, bits: int, longs: Column) -> Column:
-    place = F.pmod(hashed, F.lit(bits))
+def _bit(place: Column, longs: Column) -> Column:
     long = F.get(longs, F.shiftrightunsigned(place, 6).cast("int"))
     shifted = F.call_function("shiftrightunsigned", long, place.bitwiseAND(F.lit(63)).cast("int"))
     return shifted.bitwiseAND(F.lit(1)) == 1
