@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from llm import blocklist, decontaminate, html, mixing, quality
+from llm import blocklist, decontaminate, html, mixing, ngram_join, quality, toxicity
 
 _QUERIES = (
+    ngram_join.op1_ngram_join,
     html.op2_html_extraction,
     blocklist.op3_url_filters,
     quality.op5_quality_rules,
+    toxicity.op6_toxicity,
     mixing.op7_mixing,
     decontaminate.op8_decontamination,
 )
