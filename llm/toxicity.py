@@ -1,19 +1,21 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick on folded text, normalised by length.
 
 Folding lower-cases, takes off accents, and turns look-alike letters of other scripts, digits and
-signs in the place of letters into plain letters. A match counts when no letter touches it, and not
-inside an exception phrase.
-
-The lexicon is learned from labels. The words of at most ``most_rows`` labelled documents (those
-with the least hash of their id) are counted by label; of the ``candidates`` words with the highest
-log odds those are taken, one by one, that explain most toxic documents not yet explained by a word
-before, while they explain enough of them. So a word that only keeps company with others is left
-out. A word's weight is its share of toxic documents among those that have it.
-
-Score: w / (w + 1/2 + words / ``per_words``), w being the summed weights of the matches. No match,
-and so a null or empty text, has score 0. A null id has no remainder and is held out of training.
-Rows repeat as given. Without labels the lexicon is empty and every score 0. Further columns are
-ignored; language and source are never read.
+signs in the place of letters into plain letters. Entries are word beginnings, so that inflected
+forms match; a match counts when no letter stands before it and it isn't inside an exception phrase.
+
+The lexicon is learned from labels. The beginnings of the words of at most ``most_rows`` labelled
+documents (those with the least hash of their id) are counted by label; of the ``candidates`` with
+the highest log odds times rows those are taken, one by one, that explain most toxic documents not
+yet explained by one before, while they explain enough of them. So a word that only keeps company
+with others is left out. An entry weighs the log of how much more often toxic words begin with it
+than others do.
+
+The score is logistic in the summed weights w and in w per thousand words, both as log(1 + x),
+fitted to the same rows. A text without a match, and so a null or empty one, has the score of w = 0,
+below the threshold. A null id has no remainder and is held out of training. Rows repeat as given.
+Without labels of both kinds the lexicon is empty and every score 0. Further columns are ignored;
+language and source are never read.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from llm.tables import by_batch, table, typed
 
 MOST_ROWS = 20_000
 CANDIDATES = 400
-PER_WORDS = 4000
+BEGINNINGS = range(4, 10)
 THRESHOLD = 0.3
 
 #: Look-alikes of Latin letters.
@@ -77,132 +79,195 @@ def fold(text: str) -> str:
 
 
 class Lexicon(NamedTuple):
-    words: tuple[str, ...]
-    weights: tuple[float, ...]
+    entries: tuple[str, ...] = ()
+    weights: tuple[float, ...] = ()
+    #: Logistic: constant, of log(1 + w), of log(1 + 1000 w / words).
+    fit: tuple[float, float, float] = (-30.0, 0.0, 0.0)
     exceptions: tuple[str, ...] = EXCEPTIONS
 
     def automaton(self):
         machine = ahocorasick.Automaton()
-        for word, weight in zip(self.words, self.weights, strict=True):
-            machine.add_word(word, (len(word), weight))
+        for entry, weight in zip(self.entries, self.weights, strict=True):
+            machine.add_word(entry, (len(entry), weight))
         for phrase in self.exceptions:
             machine.add_word(fold(phrase), (len(phrase), None))
         if len(machine):
             machine.make_automaton()
         return machine
 
+    def score(self, weight: np.ndarray, words: np.ndarray) -> np.ndarray:
+        z = np.stack((np.ones(len(weight)), np.log1p(weight), np.log1p(1000 * weight / np.maximum(words, 1))))
+        return 1 / (1 + np.exp(-np.clip(np.array(self.fit) @ z, -30, 30)))
+
 
 def matches(text: str, machine) -> float:
-    """Summed weight of the matches in a folded text."""
+    """Summed weight of the matches in a folded text; of those that begin at one place the longest counts."""
     if not len(machine):
         return 0.0
-    found, spared = [], []
+    found, spared = {}, []
     for end, (length, weight) in machine.iter(text):
         begin = end + 1 - length
-        if (begin and text[begin - 1].isalpha()) or text[end + 1:end + 2].isalpha():
+        if begin and text[begin - 1].isalpha():
             continue
         if weight is None:
             spared.append((begin, end))
         else:
-            found.append((begin, end, weight))
-    return sum(w for a, b, w in found if not any(c <= a and b <= d for c, d in spared))
+            found[begin] = (end, weight)  # a longer one ends later, so it comes later
+    return sum(w for a, (b, w) in found.items() if not any(c <= a and b <= d for c, d in spared))
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(True))
 
 
+def _features(text: str | None) -> tuple[int, dict[str, int]]:
+    """Number of words, and how often one begins with each beginning."""
+    words = _WORD.findall(fold(text or ""))
+    found: dict[str, int] = {}
+    for word in words:
+        for k in BEGINNINGS:
+            if k > len(word):
+                break
+            found[word[:k]] = found.get(word[:k], 0) + 1
+    return len(words), found
+
+
 def _count(docs: DataFrame) -> DataFrame:
-    """word, toxic, n: rows of each label that have the word, per batch."""
+    """entry, toxic, once, twice, hits: rows of each label where it occurs, where it does twice or more, and how often."""
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        counts: list[dict[str, int]] = [{}, {}]
+        counts: list[dict[str, list[int]]] = [{}, {}]
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
             own = counts[toxic]
-            for word in set(_WORD.findall(fold(text or ""))):
-                own[word] = own.get(word, 0) + 1
+            for entry, n in _features(text)[1].items():
+                row = own.setdefault(entry, [0, 0, 0])
+                row[0] += 1
+                row[1] += n > 1
+                row[2] += n
         for toxic, own in enumerate(counts):
+            numbers = np.array(list(own.values()), np.int64).reshape(len(own), 3)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(own.keys(), pa.string()), pa.array([toxic] * len(own), pa.int32()),
-                 pa.array(own.values(), pa.int64())], names=["word", "toxic", "n"])
+                 *(pa.array(numbers[:, k].copy()) for k in range(3))],
+                names=["entry", "toxic", "once", "twice", "hits"])
 
-    return by_batch(docs, "word string, toxic int, n long", make)
+    return by_batch(docs, "entry string, toxic int, once long, twice long, hits long", make)
 
 
 def learn(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic",
-    most_rows: int = MOST_ROWS, candidates: int = CANDIDATES, least_share: float = 0.005,
+    most_rows: int = MOST_ROWS, candidates: int = CANDIDATES, least_share: float = 0.01, least_odds: float = 5,
 ) -> Lexicon:
     """The lexicon of the labelled rows that aren't held out."""
-    id_ = F.col(doc_id).cast("long")
     known = (
-        labels.where(F.col(toxic).isin(0, 1)).select(id_.alias("doc_id"), F.col(toxic).cast("int").alias("toxic"))
+        labels.where(F.col(toxic).isin(0, 1))
+        .select(F.col(doc_id).cast("long").alias("doc_id"), F.col(toxic).cast("int").alias("toxic"))
         .where(~held_out(F.col("doc_id"))).distinct()
         .orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(most_rows)
     )
     rows = typed(docs, doc_id, text).join(F.broadcast(known), "doc_id")  # at most most_rows rows
     n = {row["toxic"]: row["count"] for row in rows.groupBy("toxic").count().collect()}
     if not n.get(1) or not n.get(0):
-        return Lexicon((), ())
-    in_toxic = F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0))
-    counted = _count(rows).groupBy("word").agg(in_toxic.alias("bad"), F.sum("n").alias("all"))
-    least = max(3, int(least_share * n[1]))
-    odds = (F.col("bad") + 0.5) / (n[1] + 1) / ((F.col("all") - F.col("bad") + 0.5) / (n[0] + 1))
+        return Lexicon()
+    least = max(2, int(least_share * n[1]))
+    sums = [
+        F.sum(F.when(F.col("toxic") == kind, F.col(c)).otherwise(0)).alias(f"{c}_{kind}")
+        for c in ("once", "twice", "hits") for kind in (0, 1)
+    ]
+
+    def odds(c: str) -> Column:
+        return (F.col(f"{c}_1") + 0.5) / (n[1] + 1) / ((F.col(f"{c}_0") + 0.5) / (n[0] + 1))
+
+    def worth(c: str) -> Column:
+        return F.when(odds(c) >= least_odds, F.col(f"{c}_1") * F.log(odds(c))).otherwise(0.0)
+
     best = (
-        counted.where((F.col("bad") >= least) & (F.length("word") >= 3) & (odds > 10))
-        .orderBy(odds.desc(), "word").limit(candidates).collect()
+        _count(rows).groupBy("entry").agg(*sums).where(F.col("once_1") >= least)
+        .withColumn("worth", F.greatest(worth("once"), worth("twice"))).where("worth > 0")
+        .withColumn("log_odds", F.greatest(*(F.when(odds(c) >= least_odds, F.log(odds(c))) for c in ("once", "twice"))))
+        .orderBy(F.col("worth").desc(), F.length("entry").desc(), "entry").limit(candidates).collect()
     )
-    words = [row["word"] for row in best]
-    weights = [row["bad"] / row["all"] for row in best]
-    return _cover(rows.where("toxic = 1"), words, weights, least)
+    return _choose(rows, best, least)
 
 
-def _cover(toxic: DataFrame, words: list[str], weights: list[float], least: int) -> Lexicon:
-    """Greedy choice of words; ``toxic`` has at most most_rows rows, of which a few numbers each are gathered."""
-    place = {word: i for i, word in enumerate(words)}
+def _choose(rows: DataFrame, best: list, least: int) -> Lexicon:
+    """Greedy choice of entries, and the fit; of each of the at most most_rows rows a few numbers are gathered."""
+    place = {row["entry"]: i for i, row in enumerate(best)}
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        has = [sorted({place[w] for w in _WORD.findall(fold(t or "")) if w in place}) for t in batch.column(0).to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(has, pa.list_(pa.int32()))], names=["has"])
-
-    has = [row["has"] for row in by_batch(toxic.select("text"), "has array<int>", make).collect()]
-    there = np.zeros((len(has), len(words)), bool)
-    for i, own in enumerate(has):
-        there[i, own] = True
-    chosen = []
-    open_rows = np.ones(len(has), bool)
-    while len(words):
-        gain = there[open_rows].sum(0)
-        k = int(np.lexsort((np.arange(len(words)), -gain))[0])
-        if gain[k] < least:
+        n, at, times = [], [], []
+        for text in batch.column("text").to_pylist():
+            words, found = _features(text)
+            own = [(place[e], k) for e, k in found.items() if e in place]
+            n.append(words)
+            at.append([i for i, _ in own])
+            times.append([k for _, k in own])
+        kind = pa.list_(pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("toxic"), pa.array(n, pa.int64()), pa.array(at, kind), pa.array(times, kind)],
+            names=["doc_id", "toxic", "words", "at", "times"])
+
+    got = by_batch(rows.select("doc_id", "toxic", "text"),
+                   "doc_id long, toxic int, words long, at array<int>, times array<int>", make)
+    got = sorted(got.collect(), key=lambda r: (r["doc_id"], r["toxic"], r["words"], r["at"]))
+    toxic, words = np.array([r["toxic"] for r in got]), np.array([r["words"] for r in got], float)
+    times = np.zeros((len(got), len(best)), np.int32)
+    for i, row in enumerate(got):
+        times[i, row["at"]] = row["times"]
+    # Unexplained toxic rows gained, times the log odds: by occurring, or by occurring twice.
+    log_odds = np.array([row["log_odds"] for row in best])
+    chosen: list[int] = []
+    unexplained = toxic == 1
+    while best:
+        gain = (times[unexplained] > 0).sum(0)
+        value = np.where(gain >= least, gain * log_odds, 0)
+        k = int(value.argmax())
+        if value[k] <= 0 or k in chosen:
             break
         chosen.append(k)
-        open_rows &= ~there[:, k]
-    # What explains as many rows as a chosen word, beside others, is of the lexicon too.
-    support = there.sum(0)
+        unexplained &= times[:, k] == 0
+    # An entry that alone is in as many toxic rows as those chosen belongs to the lexicon too, unless it lengthens one.
+    support = (times[toxic == 1] > 0).sum(0)
     if chosen:
-        floor = 0.5 * support[chosen[: max(1, len(chosen) // 2)]].min()
-        chosen = sorted(k for k in range(len(words)) if k in chosen or support[k] >= floor)
-    return Lexicon(tuple(words[k] for k in chosen), tuple(weights[k] for k in chosen))
+        floor = support[chosen].max() / 3
+        for k in np.argsort(-support, kind="stable"):
+            e = best[k]["entry"]
+            if support[k] >= floor and not any(e.startswith(best[c]["entry"]) or best[c]["entry"].startswith(e) for c in chosen):
+                chosen.append(int(k))
+    rate = [(best[k]["hits_1"] + 0.5) / (words[toxic == 1].sum() + 1) for k in chosen]
+    base = [(best[k]["hits_0"] + 0.5) / (words[toxic == 0].sum() + 1) for k in chosen]
+    weights = [float(np.clip(np.log(r / b), 0.5, 5)) for r, b in zip(rate, base, strict=True)]
+    lexicon = Lexicon(tuple(best[k]["entry"] for k in chosen), tuple(weights))
+    return lexicon._replace(fit=_logistic(times[:, chosen] @ np.array(weights), words, toxic))
+
+
+def _logistic(weight: np.ndarray, words: np.ndarray, toxic: np.ndarray, ridge: float = 1e-2) -> tuple[float, ...]:
+    """Newton's method; the ridge keeps separable rows finite."""
+    x = np.stack((np.ones(len(weight)), np.log1p(weight), np.log1p(1000 * weight / np.maximum(words, 1))), 1)
+    fit = np.zeros(3)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ fit, -30, 30)))
+        step = np.linalg.solve(
+            x.T @ (x * (p * (1 - p))[:, None]) + ridge * np.eye(3), x.T @ (toxic - p) - ridge * fit)
+        fit += step * min(1.0, 3 / max(np.abs(step).max(), 1e-9))
+    return tuple(map(float, fit))
 
 
 def score(
-    docs: DataFrame, lexicon: Lexicon, doc_id: str = "doc_id", text: str = "text",
-    per_words: int = PER_WORDS, threshold: float = THRESHOLD,
+    docs: DataFrame, lexicon: Lexicon, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted, weight of the matches."""
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         machine = lexicon.automaton()
-        weights, scores = [], []
+        weight, words = [], []
         for text in batch.column(1):
-            text = text.as_py() or ""
-            weights.append(matches(fold(text), machine))
-            words = text.count(" ") + 1
-            scores.append(weights[-1] / (weights[-1] + 0.5 + words / per_words))
+            folded = fold(text.as_py() or "")
+            weight.append(matches(folded, machine))
+            words.append(len(folded.split()))
+        weight, words = np.array(weight, float), np.array(words, float)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(scores, pa.float64()), pa.array(weights, pa.float64())],
-            names=["doc_id", "score", "weight"])
+            [batch.column(0), pa.array(lexicon.score(weight, words)), pa.array(weight)], names=["doc_id", "score", "weight"])
 
     return by_batch(typed(docs, doc_id, text), "doc_id long, score double, weight double", make).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
