@@ -12,7 +12,8 @@
    by bands of set size. Only sets of different components are compared.
 5. In each tile pairs pass the bounds on size and place, then the bitmap signatures: the bits in
    which two signatures differ bound the symmetric difference from below, so the overlap from above.
-   What is left is intersected exactly, on sorted arrays.
+   What is left is intersected exactly, on sorted arrays: the likeliest partner of each document
+   first, then the pairs that would still join two components.
 
 So every link between different sets is found, or its ends are already in one component, and no
 group of near copies is expanded into all its pairs. Null and empty texts have an empty set, are
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +42,8 @@ PERCENT = 75
 RARE = 2000
 BLOCK = 16
 TILE = 1024
-BITS = 1024
+#: Bits of the set of ids that thins out texts before a shuffle.
+ID_BITS = 1 << 23
 
 
 def shingle_sets(texts: Texts, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
@@ -74,29 +77,45 @@ _SALT = np.uint64(0xD6E8FEB86659FD93)
 
 
 def _classes(docs: DataFrame, size: int, rare: int) -> DataFrame:
-    """Per row: kind 0, id, set size, digest (d1, d2). Per batch: kind 1, count n of a locally frequent shingle d1."""
+    """Per row: kind 0, id, set size, digest (d1, d2), signature. Per batch: kind 1, count n of a locally frequent shingle d1."""
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         every = []
-        n, d1, d2 = [], [], []
+        n, d1, d2, bits = [], [], [], []
         for texts in chunks(batch.column(1)):
             row, value = shingle_sets(texts, size)
             every.append(value)
             n.append(np.bincount(row, minlength=len(texts)))
             d1.append(_sums(row, mix(value ^ _SALT), len(texts)))
             d2.append(_sums(row, mix(value + _SALT), len(texts)))
+            bits.extend(signatures(row, value, n[-1]))
         if not every:
             return
         value, count = np.unique(np.concatenate(every), return_counts=True)
         often = count >= max(3, 2 * batch.num_rows // rare)
         yield _table(kind=np.zeros(batch.num_rows, np.int32), doc_id=batch.column(0), n=np.concatenate(n),
-                     d1=signed(np.concatenate(d1)), d2=signed(np.concatenate(d2)))
+                     d1=signed(np.concatenate(d1)), d2=signed(np.concatenate(d2)), signature=pa.array(bits, pa.binary()))
         if often.any():
             k = int(often.sum())
             yield _table(kind=np.ones(k, np.int32), doc_id=pa.nulls(k, pa.int64()), n=count[often],
-                         d1=signed(value[often]), d2=np.zeros(k, np.int64))
+                         d1=signed(value[often]), d2=np.zeros(k, np.int64), signature=pa.nulls(k, pa.binary()))
 
-    return by_batch(docs, "kind int, doc_id long, n long, d1 long, d2 long", make)
+    return by_batch(docs, "kind int, doc_id long, n long, d1 long, d2 long, signature binary", make)
+
+
+def signatures(row: np.ndarray, value: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """A bitmap per row, of the least power of two of bits that is twice the set size or more."""
+    sizes = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(2 * n, 1))).astype(np.int64))
+    starts = np.concatenate(([0], np.cumsum(sizes)))
+    marks = np.zeros(starts[-1], np.uint8)
+    marks[starts[row] + (value & (sizes[row] - 1).astype(np.uint64)).astype(np.int64)] = 1
+    packed, ends = np.packbits(marks).tobytes(), (starts // 8).tolist()
+    return [packed[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def folded(signature: np.ndarray, to: int) -> np.ndarray:
+    """Bitmaps, one per row of bytes, folded to ``to`` bytes: what they would be with as many bits."""
+    return np.bitwise_or.reduce(signature.reshape(len(signature), signature.shape[-1] // to, to), axis=1)
 
 
 def _table(**columns) -> pa.RecordBatch:
@@ -210,50 +229,75 @@ def _diagonal(postings: DataFrame, percent: int, block: int) -> DataFrame:
     return postings.mapInArrow(work, "kind int, token long, a long, b long, n int")
 
 
-def _sets(docs: DataFrame, size: int, bits: int) -> DataFrame:
-    """Per row: id, set size, bitmap signature, sorted set."""
+def _sets(docs: DataFrame, size: int) -> DataFrame:
+    """doc_id, shingles: the sorted set."""
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for texts in chunks(batch.column(1)):
             row, value = shingle_sets(texts, size)
-            k = len(texts)
-            marks = np.zeros((k, bits), bool)
-            marks[row, (value % np.uint64(bits)).astype(np.int64)] = True
-            packed = np.packbits(marks, axis=1)
-            yield _table(
-                doc_id=batch.column(0).slice(texts.first, k), n=np.bincount(row, minlength=k),
-                signature=_binaries(np.repeat(np.arange(k), bits // 8), packed.ravel(), k),
-                shingles=_binaries(row, value, k))
+            yield _table(doc_id=batch.column(0).slice(texts.first, len(texts)), shingles=_binaries(row, value, len(texts)))
+
+    return by_batch(docs, "doc_id long, shingles binary", make)
 
-    return by_batch(docs, "doc_id long, n long, signature binary, shingles binary", make)
 
+def _overlap(a: np.ndarray, b: np.ndarray, na, nb) -> np.ndarray:
+    """Bound on the overlap, from above: bits that differ come from elements that only one has."""
+    width = min(a.shape[-1], b.shape[-1])
+    differ = np.bitwise_count(folded(a, width) ^ folded(b, width)).sum(-1, dtype=np.int64)
+    return (na + nb - differ) // 2
 
-def _matrix(column: pa.Array, bits: int) -> np.ndarray:
-    """Equally long binaries as rows of 64-bit numbers."""
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), bits // 64)
 
+def _enough(overlap: np.ndarray, na, nb, percent: int) -> np.ndarray:
+    return (100 + percent) * overlap >= percent * (na + nb)
 
-def _passes(sig_a, sig_b, na, nb, percent: int) -> np.ndarray:
-    """Does the bound on the overlap, from differing bits, reach what the similarity takes?"""
-    differ = np.bitwise_count(sig_a ^ sig_b).sum(-1, dtype=np.int64)
-    return (100 + percent) * (na + nb - differ) >= 2 * percent * (na + nb)
 
+def _bytes(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int, bits: int) -> DataFrame:
-    """The pairs (a, b) that are linked."""
-    short = sets.select("doc_id", "n", "signature")
-    left = short.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("signature").alias("sa"))
-    right = short.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("sb"))
+
+def _near(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """a, b, likeness: the pairs whose signatures let them be linked."""
+    left = marks.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("signature").alias("sa"))
+    right = marks.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("sb"))
 
     def bound(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        if batch.num_rows:
-            na, nb = np.asarray(batch.column("na")), np.asarray(batch.column("nb"))
-            fine = _passes(_matrix(batch.column("sa"), bits), _matrix(batch.column("sb"), bits), na, nb, percent)
-            yield batch.select(["a", "b"]).filter(pa.array(fine))
+        wide = [np.asarray(pc.binary_length(batch.column(c))) for c in ("sa", "sb")]
+
+        for wa, wb in set(zip(*(w.tolist() for w in wide), strict=True)):
+            part = batch.filter(pa.array((wide[0] == wa) & (wide[1] == wb)))
+            na, nb = np.asarray(part.column("na")), np.asarray(part.column("nb"))
+            most = _overlap(_bytes(part.column("sa")), _bytes(part.column("sb")), na, nb)
+            fine = _enough(most, na, nb, percent)
+            yield _table(a=part.column("a"), b=part.column("b"), likeness=most / (na + nb)).filter(pa.array(fine))
+
+    met = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "sa", "sb")
+    return by_batch(met, "a long, b long, likeness double", bound)
 
-    near = by_batch(pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "sa", "sb"),
-                    "a long, b long", bound)
-    near = pin(near, "near")
+
+def _some(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with one of the ids.
+
+    A bit set of the ids, of a fixed size, drops most others before the shuffle; the join is exact.
+    """
+    places = ids.select(F.pmod(F.xxhash64("doc_id"), F.lit(ID_BITS)).alias("place"))
+    longs = places.groupBy(F.shiftrightunsigned("place", 6).alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("long")).collect()
+    bits = np.zeros(ID_BITS // 64, np.int64)
+    for at, long in longs:  # at most ID_BITS / 64 rows
+        bits[at] = long
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        place = np.asarray(batch.column("place"))
+        there = (shared.value[place >> 6] >> (place & 63)) & 1
+        yield batch.select(["doc_id", "text"]).filter(pa.array(there.astype(bool)))
+
+    placed = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(ID_BITS)).alias("place"))
+    return by_batch(placed, "doc_id long, text string", make).join(ids, "doc_id", "left_semi")
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that are linked, by exact intersection."""
 
     def intersect(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         linked = np.zeros(batch.num_rows, bool)
@@ -267,16 +311,35 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int, bits: int) -> DataF
                 linked[i] = 100 * both >= percent * (len(x) + len(y) - both)
         yield batch.select(["a", "b"]).filter(pa.array(linked))
 
-    whole_sets = sets.select("doc_id", "shingles")
     met = (
-        near.join(whole_sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("xa")), "a")
-        .join(whole_sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("xb")), "b")
+        pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("xa")), "a")
+        .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("xb")), "b")
         .select("a", "b", "xa", "xb")
     )
     return pin(by_batch(met, "a long, b long", intersect), "linked")
 
 
-def _off_diagonal(rows: DataFrame, percent: int, tile: int, bits: int) -> DataFrame:
+def _merged(parts: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components of the links, and of those found before."""
+    if parts is None:
+        return components(links)
+    return components(parts.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b")).union(links))
+
+
+def _verify(near: DataFrame, parts: DataFrame | None, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Components after the links among ``near`` pairs. The likeliest partner of each document is
+    tried first; then only pairs that would still join two components."""
+    ids = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
+    sets = pin(_sets(_some(docs, ids), size), "sets")
+    best = near.groupBy("b").agg(F.max_by("a", F.struct("likeness", "a")).alias("a")).select("a", "b")
+    parts = _merged(parts, _linked(best, sets, percent))
+    of = [parts.select(F.col("doc_id").alias(c), F.col("component_id").alias(f"part_{c}")) for c in "ab"]
+    rest = near.join(best, ["a", "b"], "left_anti").join(of[0], "a", "left").join(of[1], "b", "left").where(
+        F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).select("a", "b")
+    return _merged(parts, _linked(rest, sets, percent))
+
+
+def _off_diagonal(rows: DataFrame, percent: int, tile: int) -> DataFrame:
     """From rows (token, doc, n, component, signature) of long postings: pairs of different components that pass the bounds.
 
     A tile has the sets of a size band against those of that band and the next, both cut into blocks by a hash.
@@ -301,13 +364,16 @@ def _off_diagonal(rows: DataFrame, percent: int, tile: int, bits: int) -> DataFr
 
     def compare(group: pa.Table) -> pa.Table:
         side, doc, n, band, part = (np.asarray(group.column(c)) for c in ("side", "doc", "n", "band", "component"))
-        sig = _matrix(group.column("signature"), bits)
+        held = group.column("signature").combine_chunks()
+        width = pc.min(pc.binary_length(held)).as_py()
+        sig = np.concatenate([folded(np.frombuffer(x.as_buffer(), np.uint8)[None], width) for x in held])
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i in left:
             js = right[(part[right] != part[i]) & ((band[right] != band[i]) | (doc[right] > doc[i]))]
             js = js[100 * np.minimum(n[js], n[i]) >= percent * np.maximum(n[js], n[i])]
-            js = js[_passes(sig[js], sig[i], n[js].astype(np.int64), np.int64(n[i]), percent)]
+            size, own = n[js].astype(np.int64), np.int64(n[i])
+            js = js[_enough(_overlap(sig[js], sig[i:i + 1], size, own), size, own, percent)]
             a.append(np.minimum(doc[js], doc[i]))
             b.append(np.maximum(doc[js], doc[i]))
         return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
@@ -317,10 +383,9 @@ def _off_diagonal(rows: DataFrame, percent: int, tile: int, bits: int) -> DataFr
 
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT,
-    rare: int = RARE, block: int = BLOCK, tile: int = TILE, bits: int = BITS,
+    rare: int = RARE, block: int = BLOCK, tile: int = TILE,
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, class_id (representative of equal sets), n_links
-    (links found of the representative)."""
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, class_id (representative of equal sets)."""
     spark = docs.sparkSession
     docs = typed(docs, doc_id, text)
     classes = pin(_classes(docs, size, rare), "classes")
@@ -338,28 +403,23 @@ def near_duplicates(
     ordered = _postings(prefixes.select("doc_id", "n", "prefix")).repartition("token").sortWithinPartitions("token", "n", "doc")
     found = pin(_diagonal(ordered, percent, block), "tiles")
     pairs = found.where("kind = 0").select("a", "b").distinct()
+    marks = classes.where("kind = 0").select("doc_id", "n", "d1", "d2", "signature").join(
+        alone, ["doc_id", "d1", "d2"], "left_semi").select("doc_id", "n", "signature")
+    parts = _verify(pin(_near(pairs, marks, percent), "near"), None, docs, size, percent)
     longer = found.where("kind = 1").select("token", F.col("a").alias("doc"), "n")
-    active = pairs.select("a").union(pairs.select("b")).union(longer.select("doc")).distinct().withColumnRenamed("a", "doc_id")
-    sets = pin(_sets(docs.join(active, "doc_id", "left_semi"), size, bits), "sets")
-    links = _verify(pairs, sets, percent, bits)
-    parts = components(links)
     placed = longer.join(parts.withColumnRenamed("doc_id", "doc"), "doc", "left").withColumn(
         "component", F.coalesce("component_id", "doc")).drop("component_id")
     mixed = placed.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     rows = placed.join(mixed.select("token"), "token", "left_semi").join(
-        sets.select(F.col("doc_id").alias("doc"), "signature"), "doc")
-    more = _verify(_off_diagonal(rows, percent, tile, bits), sets, percent, bits)
-    links = links.union(more)
-    parts = components(parts.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b")).union(more))
-    degree = links.select("a").union(links.select("b")).groupBy("a").agg(F.count("*").alias("n_links"))
+        marks.select(F.col("doc_id").alias("doc"), "signature"), "doc")
+    near = pin(_near(_off_diagonal(rows, percent, tile), marks, percent), "near")
+    parts = _verify(near, parts, docs, size, percent)
     return (
-        members.alias("m")
-        .join(reps.alias("r"), ["n", "d1", "d2"], "left")
+        members.join(reps, ["n", "d1", "d2"], "left")
         .join(parts.withColumnRenamed("doc_id", "class_id"), "class_id", "left")
-        .join(degree.withColumnRenamed("a", "class_id"), "class_id", "left")
         .select(
             "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "class_id", "doc_id").alias("component_id"),
-            F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+            F.coalesce("class_id", "doc_id").alias("class_id"),
         )
     )
 
