@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
-from llm import blocklist, decontaminate, html, mixing, ngram_join, quality, toxicity
+from llm import (
+    blocklist,
+    decontaminate,
+    html,
+    line_dedup,
+    mixing,
+    ngram_join,
+    quality,
+    substring_dedup,
+    suffix_dedup,
+    toxicity,
+)
 
 _QUERIES = (
     ngram_join.op1_ngram_join,
     html.op2_html_extraction,
     blocklist.op3_url_filters,
+    substring_dedup.op4_substring_dedup,
     quality.op5_quality_rules,
     toxicity.op6_toxicity,
     mixing.op7_mixing,
     decontaminate.op8_decontamination,
+    line_dedup.op9_line_dedup,
+    suffix_dedup.op10_suffix_dedup,
 )
 
 QUERIES = {query.__name__: query for query in _QUERIES}
