@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from llm.tables import by_batch, table, typed
 from llm.words import chunks, signed, span_hashes, words
@@ -143,15 +144,19 @@ def _deletions(pairs: DataFrame, least_words: int) -> DataFrame:
     return by_batch(pairs, "doc_id long, gone array<int>", make)
 
 
-def _delete(marked: DataFrame) -> DataFrame:
-    """Texts without the lines in ``gone``."""
+def _delete(marked: DataFrame, text: str) -> DataFrame:
+    """All columns but the last, ``gone``, with the text without those lines; then n_lines with a word, n_removed of them."""
+    at = marked.columns.index(text)
+    fields = marked.schema.fields[:-1]
+    schema = T.StructType([*fields, T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         kept, n_lines, n_gone = [], [], []
-        for text, gone in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist(), strict=True):
-            gone, place, lines = set(gone or ()), 0, (text or "").split("\n")
+        texts = batch.column(at)
+        for own, gone in zip(texts.to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
+            gone, place = set(gone or ()), 0
             out = []
-            for line in lines:
+            for line in (own or "").split("\n"):
                 if line.encode().split():
                     place += 1
                     if place - 1 in gone:
@@ -159,17 +164,16 @@ def _delete(marked: DataFrame) -> DataFrame:
                 out.append(line)
             n_lines.append(place)
             n_gone.append(len(gone))
-            kept.append(text if not gone else "\n".join(out).strip("\n"))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(n_lines, pa.int64()), pa.array(n_gone, pa.int64()), pa.array(kept, pa.string())],
-            names=["doc_id", "n_lines", "n_removed", "text"])
+            kept.append(own if not gone else "\n".join(out).strip("\n"))
+        columns = [*batch.columns[:-1], pa.array(n_lines, pa.int64()), pa.array(n_gone, pa.int64())]
+        columns[at] = pa.array(kept, texts.type)
+        yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return by_batch(marked, "doc_id long, n_lines long, n_removed long, text string", make)
+    return marked.mapInArrow(lambda batches: (out for batch in batches for out in make(batch)), schema)
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_lines with a word, n_removed of them, and the text that is left."""
-    docs = typed(docs, doc_id, text)
+def common_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """doc_id, gone: places of the lines of ``docs`` (doc_id, text) that are to go, blank lines not counted."""
     hashed = pin(_hashed(docs.where("doc_id IS NOT NULL")), "lines")
     exploded = hashed.select("doc_id", F.explode("lines").alias("line"))
     rare = exploded.groupBy("doc_id", "line").agg(F.count("*").alias("n")).where("n = 1").select("doc_id", "line")
@@ -183,13 +187,20 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lea
     later = hashed.select(
         F.col("doc_id").alias("later"), F.col("lines").alias("later_lines"), F.col("sizes").alias("later_sizes"))
     gone = _deletions(pairs.join(earlier, "earlier").join(later, "later"), least_words)
-    gone = gone.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
-    return _delete(docs.join(gone, "doc_id", "left").select("doc_id", "text", "gone"))
+    return gone.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
+
+
+def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
+    """The rows of ``docs`` with all their columns, in ``text`` what is left; then n_lines with a word, n_removed of them."""
+    gone = common_lines(typed(docs, doc_id, text), least_words).select(F.col("doc_id").alias("__id"), F.col("gone").alias("__gone"))
+    columns = [docs[c] for c in docs.columns]
+    marked = docs.join(gone, docs[doc_id].cast("long") == gone["__id"], "left").select(*columns, "__gone")
+    return _delete(marked, text)
 
 
 def op9_line_dedup(spark, sf_dir: str) -> DataFrame:
     """The texts themselves are in ``dedup_lines``; here their digest."""
-    return dedup_lines(table(spark, sf_dir, "documents")).select(
+    return dedup_lines(typed(table(spark, sf_dir, "documents"))).select(
         "doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars_kept"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
