@@ -39,7 +39,7 @@ from playlens.session import pin
 
 SIZE = 5
 PERCENT = 75
-RARE = 2000
+RARE = 10_000
 BLOCK = 16
 TILE = 1024
 #: Bits of the set of ids that thins out texts before a shuffle.
@@ -104,8 +104,8 @@ def _classes(docs: DataFrame, size: int, rare: int) -> DataFrame:
 
 
 def signatures(row: np.ndarray, value: np.ndarray, n: np.ndarray) -> list[bytes]:
-    """A bitmap per row, of the least power of two of bits that is twice the set size or more."""
-    sizes = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(2 * n, 1))).astype(np.int64))
+    """A bitmap per row, of the least power of two of bits that is four times the set size or more."""
+    sizes = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(4 * n, 1))).astype(np.int64))
     starts = np.concatenate(([0], np.cumsum(sizes)))
     marks = np.zeros(starts[-1], np.uint8)
     marks[starts[row] + (value & (sizes[row] - 1).astype(np.uint64)).astype(np.int64)] = 1
@@ -343,11 +343,14 @@ def _off_diagonal(rows: DataFrame, percent: int, tile: int) -> DataFrame:
     """From rows (token, doc, n, component, signature) of long postings: pairs of different components that pass the bounds.
 
     A tile has the sets of a size band against those of that band and the next, both cut into blocks by a hash.
+    A pair that meets in the tiles of several tokens comes from the least of them only.
     """
     ratio = float(np.log(100 / percent))
     counts = rows.groupBy("token").agg(F.count("*").alias("rows"))
+    # At most as many as a prefix has.
+    tokens = rows.groupBy("doc").agg(F.collect_list("token").alias("tokens"))
     banded = (
-        rows.join(counts, "token")
+        rows.join(counts, "token").join(tokens, "doc")
         .withColumn("blocks", F.ceil(F.col("rows") / tile).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
         # Rounded down a little, so that no two sizes in range are two bands apart.
@@ -356,11 +359,11 @@ def _off_diagonal(rows: DataFrame, percent: int, tile: int) -> DataFrame:
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     left = banded.select("*", others.alias("other")).select(
         "token", F.col("band").alias("low"), F.col("block").alias("i"), F.col("other").alias("j"), F.lit(0).alias("side"),
-        "doc", "n", "band", "component", "signature")
+        "doc", "n", "band", "component", "signature", "tokens")
     right = banded.select("*", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("low")).select(
         "*", others.alias("other")).select(
         "token", "low", F.col("other").alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"),
-        "doc", "n", "band", "component", "signature")
+        "doc", "n", "band", "component", "signature", "tokens")
 
     def compare(group: pa.Table) -> pa.Table:
         side, doc, n, band, part = (np.asarray(group.column(c)) for c in ("side", "doc", "n", "band", "component"))
@@ -368,12 +371,16 @@ def _off_diagonal(rows: DataFrame, percent: int, tile: int) -> DataFrame:
         width = pc.min(pc.binary_length(held)).as_py()
         sig = np.concatenate([folded(np.frombuffer(x.as_buffer(), np.uint8)[None], width) for x in held])
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        token, tokens = group.column("token")[0].as_py(), group.column("tokens").to_pylist()
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i in left:
             js = right[(part[right] != part[i]) & ((band[right] != band[i]) | (doc[right] > doc[i]))]
             js = js[100 * np.minimum(n[js], n[i]) >= percent * np.maximum(n[js], n[i])]
             size, own = n[js].astype(np.int64), np.int64(n[i])
             js = js[_enough(_overlap(sig[js], sig[i:i + 1], size, own), size, own, percent)]
+            if len(js):
+                less = {x for x in tokens[i] if x < token}
+                js = js[[less.isdisjoint(tokens[j]) for j in js]]
             a.append(np.minimum(doc[js], doc[i]))
             b.append(np.maximum(doc[js], doc[i]))
         return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
