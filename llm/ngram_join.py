@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.components import components
+from llm.idset import among, bit_set
 from llm.tables import by_batch, table, typed
 from llm.words import LOWER, Texts, chunks, mix, runs, signed, span_hashes, whole, words
 from playlens.session import pin
@@ -42,8 +43,6 @@ PERCENT = 75
 RARE = 10_000
 BLOCK = 16
 TILE = 1024
-#: Bits of the set of ids that thins out texts before a shuffle.
-ID_BITS = 1 << 23
 
 
 def shingle_sets(texts: Texts, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
@@ -274,28 +273,6 @@ def _near(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     return by_batch(met, "a long, b long, likeness double", bound)
 
 
-def _some(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with one of the ids.
-
-    A bit set of the ids, of a fixed size, drops most others before the shuffle; the join is exact.
-    """
-    places = ids.select(F.pmod(F.xxhash64("doc_id"), F.lit(ID_BITS)).alias("place"))
-    longs = places.groupBy(F.shiftrightunsigned("place", 6).alias("at")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("long")).collect()
-    bits = np.zeros(ID_BITS // 64, np.int64)
-    for at, long in longs:  # at most ID_BITS / 64 rows
-        bits[at] = long
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
-
-    def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        place = np.asarray(batch.column("place"))
-        there = (shared.value[place >> 6] >> (place & 63)) & 1
-        yield batch.select(["doc_id", "text"]).filter(pa.array(there.astype(bool)))
-
-    placed = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(ID_BITS)).alias("place"))
-    return by_batch(placed, "doc_id long, text string", make).join(ids, "doc_id", "left_semi")
-
-
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that are linked, by exact intersection."""
 
@@ -330,7 +307,8 @@ def _verify(near: DataFrame, parts: DataFrame | None, docs: DataFrame, size: int
     """Components after the links among ``near`` pairs. The likeliest partner of each document is
     tried first; then only pairs that would still join two components."""
     ids = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
-    sets = pin(_sets(_some(docs, ids), size), "sets")
+    wanted = among(docs, bit_set(ids), True).join(ids, "doc_id", "left_semi")
+    sets = pin(_sets(wanted, size), "sets")
     best = near.groupBy("b").agg(F.max_by("a", F.struct("likeness", "a")).alias("a")).select("a", "b")
     parts = _merged(parts, _linked(best, sets, percent))
     of = [parts.select(F.col("doc_id").alias(c), F.col("component_id").alias(f"part_{c}")) for c in "ab"]

@@ -10,13 +10,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from llm.idset import among, bit_set
 from llm.tables import by_batch
+from playlens.session import pin
 
 
 def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept (words left, joined by one space), kept_sha256 of each row of ``docs``.
 
     ``spans``: doc_id, at (first word, from 0), n (words). Rows of one id lose the same words; those with a null id none.
+    Texts without a span aren't shuffled.
     """
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -44,8 +47,13 @@ def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
              pa.array(kept, pa.binary()).cast(pa.string()), pa.array(digests, pa.string())],
             names=["doc_id", "n_words", "n_removed", "kept", "kept_sha256"])
 
-    per_doc = spans.groupBy("doc_id").agg(F.collect_list("at").alias("at"), F.collect_list("n").alias("n"))
-    marked = docs.join(per_doc, "doc_id", "left").select("doc_id", "text", "at", "n")
+    per_doc = pin(spans.groupBy("doc_id").agg(F.collect_list("at").alias("at"), F.collect_list("n").alias("n")), "spans")
+    touched = bit_set(per_doc)
+    none = F.lit(None).cast("array<int>")
+    marked = (
+        among(docs, touched, True).join(per_doc, "doc_id", "left").select("doc_id", "text", "at", "n")
+        .union(among(docs, touched, False).select("doc_id", "text", none, none))
+    )
     return by_batch(marked, "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string", make)
 
 

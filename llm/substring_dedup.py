@@ -30,12 +30,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from llm.anchors import anchored, marked, shared_keys
 from llm.spans import remove_spans, runs_of_words
 from llm.tables import by_batch, table, typed
-from llm.words import chunks, runs, signed, span_hashes
+from llm.words import chunks, range_hashes, runs, signed, span_hashes
 
 SIZE = 13
 GRAM = 6
@@ -97,7 +96,10 @@ class Automaton:
 
 
 def _pieces(docs: DataFrame, size: int, gram: int) -> DataFrame:
-    """route, doc_id, at (first word), words (16-bit ids): the pieces of (doc_id, text, keys, heavy)."""
+    """route, doc_id, at (first words), words (16-bit ids): the pieces of (doc_id, text, keys, heavy).
+
+    A piece that a document has in several places is one row with all of them.
+    """
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids, keys, flags = np.asarray(batch.column(0)), batch.column(2), batch.column(3)
@@ -119,33 +121,46 @@ def _pieces(docs: DataFrame, size: int, gram: int) -> DataFrame:
             route = np.where(heavy[head], own[at], found.keys[head])
             first = found.words.offsets()[row[head]]
             word_ids = found.hashes.astype(np.uint16)
-            for low in range(0, len(head), 1 << 15):
+            digest = range_hashes(found.hashes, at, at + count + (size - 1))
+            order = np.lexsort((at, digest, route, row[head]))
+            new = np.ones(len(order), bool)
+            for column in (digest, route, row[head]):
+                new[1:] &= column[order][1:] == column[order][:-1]
+            new[1:] = ~new[1:]
+            groups = np.flatnonzero(new)
+            sizes = np.diff(np.append(groups, len(order)))
+            places = (at - first)[order].astype(np.int32)
+            one = order[groups]
+            for low in range(0, len(one), 1 << 15):
                 part = slice(low, low + (1 << 15))
+                own = one[part]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(route[part].copy())), pa.array(ids[texts.first + row[head[part]]]),
-                     pa.array((at[part] - first[part]).astype(np.int32)),
-                     runs_of_words(word_ids, at[part], count[part] + size - 1)],
+                    [pa.array(signed(route[own])), pa.array(ids[texts.first + row[head[own]]]),
+                     runs_of_words(places, groups[part], sizes[part]),
+                     runs_of_words(word_ids, at[own], count[own] + size - 1)],
                     names=["route", "doc_id", "at", "words"])
 
-    return by_batch(docs, "route long, doc_id long, at int, words binary", make)
+    return by_batch(docs, "route long, doc_id long, at binary, words binary", make)
 
 
-def _group_spans(doc: np.ndarray, at: np.ndarray, words: list[bytes], size: int) -> Iterator[tuple[int, int, int]]:
+def _group_spans(doc: np.ndarray, at: list[bytes], words: list[bytes], size: int) -> Iterator[tuple[int, int, int]]:
     """Spans (doc, at, n) of one shard's pieces, in order of documents, that stand in those of earlier ones."""
     machine = Automaton()
     first: dict[bytes, int] = {}
     waiting: list[list[int]] = []
     known: dict[bytes, list[tuple[int, int]]] = {}
     now = None
-    for d, place, piece in zip(doc.tolist(), at.tolist(), words, strict=True):
+    for d, places, piece in zip(doc.tolist(), at, words, strict=True):
         if d != now:
             for one in waiting:
                 machine.add(one)
             waiting, known, now = [], {}, d
         n = len(piece) // 2
+        places = np.frombuffer(places, np.int32).tolist()
         before = first.setdefault(piece, d)
         if before < d:
-            yield d, place, n
+            for place in places:
+                yield d, place, n
             continue
         if piece not in known:
             one = np.frombuffer(piece, np.uint16).tolist()
@@ -162,11 +177,23 @@ def _group_spans(doc: np.ndarray, at: np.ndarray, words: list[bytes], size: int)
             if covered < n - size + 1:
                 waiting.append(one)
         for a, b in known[piece]:
-            yield d, place + a, b - a
+            for place in places:
+                yield d, place + a, b - a
 
 
 def _matched(pieces: DataFrame, size: int) -> DataFrame:
-    """doc_id, at, n: spans of the pieces, which come sorted by (route, doc_id, at)."""
+    """doc_id, at, n: spans of the pieces, which come sorted by (route, doc_id)."""
+
+    def covered(doc, at, words, which) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pieces ``which``, whole, at all their places."""
+        times, lengths = (at.binary_length() // 4)[which], (words.binary_length() // 2)[which]
+        places = np.frombuffer(b"".join(at.array.filter(pa.array(which)).to_pylist()), np.int32)
+        return np.repeat(doc[which], times), places, np.repeat(lengths, times)
+
+    def batch_of(doc, at, n) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(doc.astype(np.int64)), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32))],
+            names=["doc_id", "at", "n"])
 
     def spans(route, doc, at, words) -> Iterator[pa.RecordBatch]:
         """Of complete shards."""
@@ -176,19 +203,15 @@ def _matched(pieces: DataFrame, size: int) -> DataFrame:
         sizes = np.diff(np.append(head, len(route)))
         alike = np.repeat(low == high, sizes)
         later = alike & (doc > np.repeat(doc[head], sizes))
-        lengths = np.asarray(words.binary_length()) // 2
-        out = [(doc[later], at[later], lengths[later])]
+        out = [covered(doc, at, words, later)]
         found = [
             span
             for a, n in zip(head[low != high], sizes[low != high], strict=True) if doc[a] != doc[a + n - 1]
-            for span in _group_spans(doc[a:a + n], at[a:a + n], words.slice(a, n).to_pylist(), size)
+            for span in _group_spans(doc[a:a + n], at.slice(a, n).to_pylist(), words.slice(a, n).to_pylist(), size)
         ]
         if found:
             out.append(tuple(np.array(c) for c in zip(*found, strict=True)))
-        doc_, at_, n_ = (np.concatenate(c) for c in zip(*out, strict=True))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(doc_.astype(np.int64)), pa.array(at_.astype(np.int32)), pa.array(n_.astype(np.int32))],
-            names=["doc_id", "at", "n"])
+        yield batch_of(*(np.concatenate(c) for c in zip(*out, strict=True)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -214,10 +237,7 @@ def _matched(pieces: DataFrame, size: int) -> DataFrame:
                 first = np.empty(len(digest), np.int64)
                 first[order] = order[np.maximum.accumulate(np.where(start, np.arange(len(order)), 0))]
                 later = doc > doc[first]
-                lengths = np.asarray(words.binary_length()) // 2
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc[later]), pa.array(at[later]), pa.array(lengths[later].astype(np.int32))],
-                    names=["doc_id", "at", "n"])
+                yield batch_of(*covered(doc, at, words, later))
                 held = held.filter(pa.array(~later)).combine_chunks()
         if held is not None and held.num_rows:
             yield from spans(*_columns(held))
@@ -226,9 +246,8 @@ def _matched(pieces: DataFrame, size: int) -> DataFrame:
 
 
 def _columns(rows: pa.Table):
-    words = rows["words"].combine_chunks()
-    words = words.chunk(0) if isinstance(words, pa.ChunkedArray) else words
-    return np.asarray(rows["route"]), np.asarray(rows["doc_id"]), np.asarray(rows["at"]), _Binary(words)
+    at, words = (_Binary(pa.concat_arrays(rows[c].chunks)) for c in ("at", "words"))
+    return np.asarray(rows["route"]), np.asarray(rows["doc_id"]), at, words
 
 
 class _Binary:
@@ -256,9 +275,10 @@ def _digests(words: _Binary) -> np.ndarray:
 
 def repeated_spans(docs: DataFrame, size: int = SIZE, gram: int = GRAM, heavy: int = HEAVY) -> DataFrame:
     """doc_id, at, n: the spans of ``docs`` (doc_id, text) that stand in earlier documents."""
-    keys = shared_keys(docs, size, gram, heavy)
-    pieces = _pieces(docs.join(keys, "doc_id").select("doc_id", "text", "keys", "heavy"), size, gram)
-    return _matched(pieces.repartition("route").sortWithinPartitions("route", "doc_id", "at"), size)
+    known = docs.where("doc_id IS NOT NULL")
+    keys = shared_keys(known, size, gram, heavy)
+    pieces = _pieces(known.join(keys, "doc_id").select("doc_id", "text", "keys", "heavy"), size, gram)
+    return _matched(pieces.repartition("route").sortWithinPartitions("route", "doc_id"), size)
 
 
 def dedup_substrings(
@@ -266,7 +286,7 @@ def dedup_substrings(
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept, kept_sha256."""
     docs = typed(docs, doc_id, text)
-    return remove_spans(docs, repeated_spans(docs.where(F.col("doc_id").isNotNull()), size, gram, heavy))
+    return remove_spans(docs, repeated_spans(docs, size, gram, heavy))
 
 
 def op4_substring_dedup(spark, sf_dir: str) -> DataFrame:

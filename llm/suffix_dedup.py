@@ -31,7 +31,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from llm.anchors import anchored, marked, shared_keys
 from llm.spans import remove_spans, runs_of_words
@@ -159,8 +158,9 @@ def _one(right, left, r_len, l_len, i: int, j: int) -> int:
 
 def repeated_passages(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
     """doc_id, at, n: words of ``docs`` (doc_id, text) in passages that an earlier document has."""
-    keys = shared_keys(docs, size, gram, heavy=0)
-    suffixes = _suffixes(docs.join(keys, "doc_id").select("doc_id", "text", "keys", "heavy"), size, gram)
+    known = docs.where("doc_id IS NOT NULL")
+    keys = shared_keys(known, size, gram, heavy=0)
+    suffixes = _suffixes(known.join(keys, "doc_id").select("doc_id", "text", "keys", "heavy"), size, gram)
     dealt = suffixes.repartition("key")
     forward, backward = (dealt.sortWithinPartitions("key", side, "doc_id", "at") for side in ("right", "left"))
     return _neighbours(forward, size, gram).union(_neighbours(backward, size, gram))
@@ -171,7 +171,7 @@ def dedup_passages(
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept, kept_sha256."""
     docs = typed(docs, doc_id, text)
-    return remove_spans(docs, repeated_passages(docs.where(F.col("doc_id").isNotNull()), size, gram))
+    return remove_spans(docs, repeated_passages(docs, size, gram))
 
 
 def op10_suffix_dedup(spark, sf_dir: str) -> DataFrame:

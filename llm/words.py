@@ -124,6 +124,13 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64))
 
 
+def range_hashes(hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each run of hashes."""
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * powers(_BASE, len(hashes)), out=sums[1:])
+    return mix((sums[end] - sums[start]) * powers(_INVERSE, len(hashes) + 1)[start] + (end - start).astype(np.uint64))
+
+
 def runs(hashes: np.ndarray, size: int) -> np.ndarray:
     """A hash of each ``size`` consecutive hashes, by place of the first."""
     n = len(hashes) - size + 1
