@@ -7,13 +7,15 @@ import argparse
 from pyspark.sql import SparkSession
 
 from playlens import constants
+from playlens.operators import recommend
 from playlens.plans import jobs
 from playlens.session import build_session, clear_scratch
-from playlens.sources import files, relational, topics
+from playlens.sources import files, relational, topics, user_table
 
 
 def _topic(spark: SparkSession, args: argparse.Namespace):
-    return topics.read_topics(spark, args.servers, args.topics.split(","), args.starting)
+    """The stream; ``--since`` (milliseconds) counts afresh from a time, on a new checkpoint."""
+    return topics.read_topics(spark, args.servers, args.topics.split(","), args.starting, args.since or None)
 
 
 def _import(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -22,63 +24,76 @@ def _import(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _find(spark: SparkSession, args: argparse.Namespace) -> None:
-    count, first = jobs.find_users(spark, args.left, args.right)
+    count, first = jobs.find_users(spark, args.left, args.right, args.out, mode=args.mode)
     print("size:", count)
     first.show(50, truncate=False)
 
 
 def _tune(spark: SparkSession, args: argparse.Namespace) -> None:
-    report = jobs.tune_model(spark, args.plays, args.out, parallelism=args.parallelism)
+    report = jobs.tune_model(spark, args.plays, args.out, args.mode,
+                             parallelism=args.parallelism, blocks=args.blocks)
     report.tuned.results.show(truncate=False)
     print(f"best: rank {report.tuned.rank}, iterations {report.tuned.iterations}, "
           f"validation RMSE {report.tuned.rmse}, test RMSE {report.test_rmse}")
 
 
+def _prepare(spark: SparkSession, args: argparse.Namespace, imported: bool) -> None:
+    jobs.prepare_users(spark, args.users, args.banners, args.out, args.location,
+                       imported=imported, buckets=args.buckets)
+
+
+def _suggest(spark: SparkSession, args: argparse.Namespace) -> None:
+    jobs.suggest(
+        spark, _topic(spark, args), args.trained, args.checkpoint, servers=args.servers,
+        own_user=args.own_user == "yes", rejects=topics.files_by_batch(args.rejects),
+    ).awaitTermination()
+
+
+TOPIC = ["servers", "checkpoint", f"topics={constants.EVENT_TOPIC}", "since:0"]
+USERS = ["users", "banners", "out", "location", f"buckets:{user_table.BUCKETS}"]
+BLOCKS = f"blocks:{recommend.BLOCKS}"
+
 JOBS = {
     "import-table": (_import, ["url", "table", "out", "column=", "partitions:1"]),
-    "prepare-users": (
-        lambda spark, a: jobs.prepare_users(spark, a.users, a.banners, a.out, a.table, a.location),
-        ["users", "banners", "out", "table", "location="],
-    ),
-    "prepare-imported-users": (
-        lambda spark, a: jobs.prepare_users(
-            spark, a.users, a.banners, a.out, a.table, a.location, imported=True
-        ),
-        ["users", "banners", "out", "table", "location="],
+    "prepare-users": (lambda spark, a: _prepare(spark, a, False), USERS),
+    "prepare-imported-users": (lambda spark, a: _prepare(spark, a, True), USERS),
+    "map-ids": (lambda spark, a: jobs.map_ids(spark, a.plays, a.out, a.mode), ["plays", "out", "mode=error"]),
+    "find-users": (_find, ["left", "right", "out", "mode=error"]),
+    "tune-model": (_tune, ["plays", "out", "mode=error", "parallelism:1", BLOCKS]),
+    "train-model": (
+        lambda spark, a: jobs.train_model(spark, a.plays, a.out, a.mode, blocks=a.blocks),
+        ["plays", "out", "mode=error", BLOCKS],
     ),
-    "map-ids": (lambda spark, a: jobs.map_ids(spark, a.plays, a.out), ["plays", "out"]),
-    "find-users": (_find, ["left", "right"]),
-    "tune-model": (_tune, ["plays", "out", "parallelism:1"]),
-    "train-model": (lambda spark, a: jobs.train_model(spark, a.plays, a.out), ["plays", "out"]),
     "check-events": (
         lambda spark, a: jobs.check_events(
-            spark, _topic(spark, a), a.table, a.checkpoint, servers=a.servers
+            spark, _topic(spark, a), a.location, a.checkpoint, servers=a.servers
         ).awaitTermination(),
-        ["servers", "table", "checkpoint", f"topics={constants.EVENT_TOPIC}", "starting=latest"],
+        [*TOPIC, "location", "starting=latest"],
     ),
     "reject-events": (
         lambda spark, a: jobs.reject_events(
-            spark, _topic(spark, a), a.table, a.out, a.checkpoint
+            spark, _topic(spark, a), a.location, a.out, a.checkpoint
         ).awaitTermination(),
-        ["servers", "table", "out", "checkpoint", f"topics={constants.EVENT_TOPIC}", "starting=latest"],
+        [*TOPIC, "location", "out", "starting=latest"],
     ),
-    "suggest": (
-        lambda spark, a: jobs.suggest(
-            spark, _topic(spark, a), a.trained, a.checkpoint, servers=a.servers
+    "count-plays": (
+        lambda spark, a: jobs.count_plays(
+            spark, _topic(spark, a), a.location, a.out, a.checkpoint
         ).awaitTermination(),
-        ["servers", "trained", "checkpoint", f"topics={constants.EVENT_TOPIC}", "starting=latest"],
+        [*TOPIC, "location", "out", "starting=latest"],
     ),
+    "suggest": (_suggest, [*TOPIC, "trained", "rejects", "own-user=no", "starting=latest"]),
     "replay": (
         lambda spark, a: jobs.replay(
-            spark, a.path, a.checkpoint, servers=a.servers
+            spark, a.path, a.checkpoint, servers=a.servers, max_files=a.max_files
         ).awaitTermination(),
-        ["path", "servers", "checkpoint"],
+        ["path", "servers", "checkpoint", "max-files:1"],
     ),
     "archive-topic": (
         lambda spark, a: jobs.archive_topic(
-            spark, _topic(spark, a), a.out, a.checkpoint
+            spark, _topic(spark, a), a.out, a.checkpoint, a.format
         ).awaitTermination(),
-        ["servers", "out", "checkpoint", f"topics={constants.EVENT_TOPIC}", "starting=earliest"],
+        [*TOPIC, "out", "format=text", "starting=earliest"],
     ),
 }
 

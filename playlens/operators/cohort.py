@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from playlens.constants import PROFILE_KEYS
 
+# Pairs of one key that a task makes before the key is dealt over more.
+PAIRS_PER_LANE = 1_000_000
+
 
 def _renamed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select([F.col(name).alias(prefix + name) for name in df.columns])
@@ -20,19 +23,34 @@ def _on(keys: Sequence[str]) -> list:
 
 def match_profiles(left: DataFrame, right: DataFrame,
                    keys: Sequence[str] = PROFILE_KEYS) -> DataFrame:
-    """All pairs equal in every key, columns prefixed ``a_`` and ``b_``; empty texts match."""
-    return _renamed(left, "a_").join(_renamed(right, "b_"), _on(keys))
+    """All pairs equal in every key, columns prefixed ``a_`` and ``b_``; empty texts match.
+
+    A key of m x n pairs is dealt over as many lanes as it has ``PAIRS_PER_LANE`` pairs: rows of
+    the left side go to one lane, those of the right to all lanes of their key. So the pairs of
+    a key that many rows share come from many tasks.
+    """
+    sizes = _sizes(left, right, keys).select(
+        *keys, F.least(F.ceil(F.col("n_left") * F.col("n_right") / PAIRS_PER_LANE), "n_left").cast("int").alias("_lanes"))
+    dealt = left.join(sizes, list(keys)).withColumn(
+        "_lane", F.pmod(F.xxhash64(*left.columns), F.col("_lanes")).cast("int"))
+    copies = right.join(sizes, list(keys)).withColumn("_lane", F.explode(F.sequence(F.lit(0), F.col("_lanes") - 1)))
+    on = [*_on(keys), F.col("a__lane") == F.col("b__lane")]
+    columns = [f"a_{name}" for name in left.columns] + [f"b_{name}" for name in right.columns]
+    return _renamed(dealt, "a_").join(_renamed(copies, "b_"), on).select(columns)
+
+
+def _sizes(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of both sides per key that both have; decimals, as their product can exceed a bigint."""
+    left_sizes = left.groupBy(*keys).agg(F.count(F.lit(1)).cast("decimal(19,0)").alias("n_left"))
+    right_sizes = right.groupBy(*keys).agg(F.count(F.lit(1)).cast("decimal(19,0)").alias("n_right"))
+    return left_sizes.join(right_sizes, list(keys))
 
 
 def count_matches(left: DataFrame, right: DataFrame,
                   keys: Sequence[str] = PROFILE_KEYS) -> DataFrame:
     """Number of pairs ``match_profiles`` has, from the sizes of the groups, without any pair."""
-    left_sizes = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_left"))
-    right_sizes = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_right"))
     pairs = F.sum(F.col("n_left") * F.col("n_right"))
-    return left_sizes.join(right_sizes, list(keys)).agg(
-        F.coalesce(pairs, F.lit(0)).alias("n_pairs")
-    )
+    return _sizes(left, right, keys).agg(F.coalesce(pairs, F.lit(0)).cast("bigint").alias("n_pairs"))
 
 
 def first_matches(left: DataFrame, right: DataFrame, n: int = 50,

@@ -72,19 +72,22 @@ def number_plays(events: DataFrame, order: list[str], hot_events: int = HOT_EVEN
     """``events`` with ``play_no``: 1, 2, ... within ``user_id`` in the given order.
 
     Most users fit a task and take one shuffle. Users above ``hot_events`` are cut into ranges
-    of (user, order), numbered within each, and shifted by what the earlier ranges hold. The
-    order must be free of ties, else the numbering within ties is arbitrary.
+    of (user, order), numbered within each, and shifted by what the earlier ranges hold. Ties of
+    the order are broken by the other columns, so both ways give the same numbers; rows equal in
+    all columns are interchangeable. Events without user are numbered as those of one user.
     """
+    order = [*order, *(name for name in events.columns if name not in (*order, "user_id"))]
     ranked = F.row_number().over(W.partitionBy("user_id").orderBy(*order))
     hot = pin(event_counts(events).filter(F.col("n") > hot_events), "hot-users")
     total = hot.agg(F.sum("n")).first()[0]
     if total is None:
         return events.withColumn("play_no", ranked.cast("bigint"))
-    cold = events.join(hot, "user_id", "left_anti").withColumn("play_no", ranked.cast("bigint"))
+    is_hot = events["user_id"].eqNullSafe(hot["user_id"])
+    cold = events.join(hot, is_hot, "left_anti").withColumn("play_no", ranked.cast("bigint"))
 
     partitions = -(-total // hot_events)
     placed = numbered_in_order(
-        events.join(hot, "user_id", "left_semi"), ["user_id", *order], partitions, "hot-events"
+        events.join(hot, is_hot, "left_semi"), ["user_id", *order], partitions, "hot-events"
     )
     runs = placed.groupBy("_part", "user_id").agg(
         F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_size")
@@ -97,8 +100,9 @@ def number_plays(events: DataFrame, order: list[str], hot_events: int = HOT_EVEN
         runs.select("_part", "user_id", "_first", F.coalesce(earlier, F.lit(0)).alias("_shift")),
         "hot-shifts",
     )
-    numbered = placed.join(shifts, ["_part", "user_id"]).select(
-        *events.columns, (F.col("_pos") - F.col("_first") + F.col("_shift") + 1).alias("play_no")
+    same_run = (placed["_part"] == shifts["_part"]) & placed["user_id"].eqNullSafe(shifts["user_id"])
+    numbered = placed.join(shifts, same_run).select(
+        *(placed[name] for name in events.columns), (F.col("_pos") - F.col("_first") + F.col("_shift") + 1).alias("play_no")
     )
     return cold.select(*events.columns, "play_no").unionByName(numbered)
 

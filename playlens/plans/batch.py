@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playlens import constants
 from playlens.functions.messages import payload
 from playlens.operators import cohort, counting, ids, ratings, recommend
 from playlens.operators.banners import match_banners
@@ -60,6 +61,25 @@ def user_rejects(t: Tables) -> DataFrame:
     return lines.parse_users(t.user_lines).rejects
 
 
+@query("""
+    SELECT DISTINCT CASE WHEN p_partkey % 5 <> 0 THEN p_size END AS min_age,
+           CASE WHEN p_partkey % 5 <> 0 THEN p_size + 10 END AS max_age, p_brand AS gender, p_type AS banner
+    FROM part WHERE p_partkey % 11 <> 0 AND (p_partkey % 5 = 0 OR p_partkey % 7 <> 0)""")
+def banner_parse(t: Tables) -> DataFrame:
+    return lines.parse_banners(t.banner_lines).rows
+
+
+@query("""
+    SELECT CASE WHEN p_partkey % 5 = 0 THEN '' WHEN p_partkey % 7 = 0 THEN 'x' ELSE CAST(p_size AS VARCHAR) END
+           || chr(9) || CASE WHEN p_partkey % 5 = 0 THEN '' ELSE CAST(p_size + 10 AS VARCHAR) END
+           || chr(9) || p_brand || CASE WHEN p_partkey % 11 = 0 THEN '' ELSE chr(9) || p_type END AS value,
+           CASE WHEN p_partkey % 11 = 0 THEN 'fewer than 4 fields'
+                ELSE 'age bound is not a whole number' END AS reason
+    FROM part WHERE p_partkey % 11 = 0 OR (p_partkey % 5 <> 0 AND p_partkey % 7 = 0)""")
+def banner_rejects(t: Tables) -> DataFrame:
+    return lines.parse_banners(t.banner_lines).rejects
+
+
 @query("""
     SELECT CAST(c_custkey AS VARCHAR) AS user_id, lower(c_mktsegment) AS gender,
            CASE WHEN c_acctbal >= 0 THEN CAST(CAST(floor(c_acctbal / 100) AS INTEGER) AS VARCHAR)
@@ -270,14 +290,22 @@ def split_sizes(t: Tables) -> DataFrame:
     return ratings.split_sizes(ratings.assign_split(triples(t)))
 
 
-@query(f"WITH {s.RATINGS_SQL} SELECT count(*) AS n_rows, count(*) AS n_pairs FROM ratings")
+@query(f"""
+    WITH {s.RATINGS_SQL}
+    SELECT count(*) AS n_rows, count(*) AS n_pairs, TRUE AS shares_fit FROM ratings""")
 def random_split_sizes(t: Tables) -> DataFrame:
-    """Spark's own random split: the parts hold every rating once."""
+    """Spark's own random split: the parts hold every rating once, in shares within five standard
+    deviations of the weights."""
     parts = ratings.random_split(pin(triples(t), "ratings"))
-    together = reduce(DataFrame.unionAll, parts)
-    return together.groupBy("user", "item").agg(F.count(F.lit(1)).alias("n")).agg(
-        F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_pairs")
-    )
+    together = reduce(DataFrame.unionAll, (part.withColumn("part", F.lit(n)) for n, part in enumerate(parts)))
+    weights = F.array(*map(F.lit, constants.SPLIT_WEIGHTS))
+    total = sum(constants.SPLIT_WEIGHTS)
+    share = F.get(weights, "part") / total
+    sizes = together.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    all_rows = together.groupBy("user", "item").agg(F.count(F.lit(1)).alias("n")).agg(
+        F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_pairs"))
+    fit = F.abs(F.col("n") - F.col("n_rows") * share) <= 5 * F.sqrt(F.col("n_rows") * share * (1 - share))
+    return sizes.join(F.broadcast(all_rows)).groupBy("n_rows", "n_pairs").agg(F.every(fit).alias("shares_fit"))
 
 
 @query(f"""
@@ -320,20 +348,18 @@ def every_nth_banner(t: Tables) -> DataFrame:
 
 
 @query(f"""
-    WITH {s.USER_BANNER_SQL}, {s.NUMBERED_SQL}, reduced AS (
-        SELECT b.user_id, banner FROM user_banner b JOIN users u USING (user_id) WHERE age IS NOT NULL)
+    WITH {s.USER_BANNER_SQL}, {s.NUMBERED_SQL}
     SELECT user_id, event_id, play_no, {MESSAGE_SQL}
-    FROM numbered JOIN reduced USING (user_id) WHERE play_no % 10 = 0""")
+    FROM numbered JOIN user_banner USING (user_id) WHERE play_no % 10 = 0""")
 def every_nth_event(t: Tables) -> DataFrame:
-    """The event behind each banner; users without age count as unknown here.
+    """The event behind each banner.
 
     Unknown users leave after the numbering, when a tenth of the rows is left: they have no
     influence on the numbers of others.
     """
     events = t.events.select("event_id", "ts", "user_id")
     due = counting.every_nth(counting.number_plays(events, ["ts", "event_id"]))
-    known = t.users.filter(F.col("age").isNotNull())
-    banners = match_banners(known, t.banners).select("user_id", "banner")
+    banners = match_banners(t.users, t.banners).select("user_id", "banner")
     return due.join(banners, "user_id").select(
         "user_id",
         "event_id",
@@ -348,6 +374,14 @@ def running_play_count(t: Tables) -> DataFrame:
     return counting.number_plays(events, ["ts", "event_id"]).drop("ts")
 
 
+@query(f"WITH {s.NUMBERED_SQL} SELECT event_id, user_id, play_no FROM numbered")
+def running_play_count_ranges(t: Tables) -> DataFrame:
+    """The same with a limit at the mean number of events, so that about half the users are cut into ranges."""
+    events = t.events.select("event_id", "ts", "user_id")
+    mean = counting.event_counts(events).agg(F.avg("n")).first()[0] or 1
+    return counting.number_plays(events, ["ts", "event_id"], hot_events=int(mean)).drop("ts")
+
+
 UNKNOWN_USERS_SQL = f"""
     WITH {s.USERS_SQL}
     SELECT CAST(user_id AS VARCHAR) AS user_id, count(*) AS n FROM events
@@ -436,16 +470,14 @@ def user_table_merge(t: Tables) -> DataFrame:
            CAST(0 AS BIGINT) AS plays
     FROM users u JOIN user_banner USING (user_id)""")
 def user_table_loads(t: Tables) -> DataFrame:
-    """Two loads into the user table of the catalog; the newest snapshot is read."""
-    table = f"playlens_users_{uuid.uuid4().hex}"
-    user_table.create_user_table(t.spark, table, scratch_path(t.spark, "user-table"))
-    user_table.create_user_table(t.spark, table)
-    user_table.upsert_users(t.spark, table, match_banners(t.users, t.banners), 1)
+    """Two loads into the user table, the second by a session of its own that knows the folder only."""
+    location = scratch_path(t.spark, "user-table")
+    user_table.upsert_users(t.spark, location, match_banners(t.users, t.banners), 1, buckets=4)
+    for (name,) in t.spark.sql("SHOW TABLES LIKE 'playlens_users_*'").select("tableName").collect():
+        t.spark.sql(f"DROP TABLE IF EXISTS {name}")  # files stay; the catalog of another program has none
     renewed = t.users.filter(F.col("gender") == "machinery")
-    user_table.upsert_users(t.spark, table, renewed.withColumn("banner", F.lit("NEW")), 2)
-    snapshot = pin(user_table.current_users(t.spark, table), "user-snapshot")
-    t.spark.sql(f"DROP TABLE {table}")
-    return snapshot
+    user_table.upsert_users(t.spark, location, renewed.withColumn("banner", F.lit("NEW")), 2, buckets=4)
+    return user_table.current_users(t.spark, location)
 
 
 @query(f"""
@@ -474,5 +506,27 @@ def user_lookup(t: Tables) -> DataFrame:
     SELECT banner, count(*) AS n FROM user_banner GROUP BY 1""")
 def sql_views(t: Tables) -> DataFrame:
     """Stand-ins as temporary views, asked in SQL."""
-    match_banners(t.users, t.banners).createOrReplaceTempView("user_banner")
-    return t.spark.sql("SELECT banner, count(*) AS n FROM user_banner GROUP BY banner")
+    name = f"user_banner_{uuid.uuid4().hex}"
+    match_banners(t.users, t.banners).createOrReplaceTempView(name)
+    counts = t.spark.sql(f"SELECT banner, count(*) AS n FROM {name} GROUP BY banner")
+    t.spark.catalog.dropTempView(name)  # the plan has what it needs
+    return counts
+
+
+@query(f"WITH {s.USER_BANNER_SQL} SELECT user_id, banner FROM user_banner")
+def user_banner_files(t: Tables) -> DataFrame:
+    """User and banner stored under the run stamp of now, beside an empty earlier run."""
+    path, stamp = scratch_path(t.spark, "user-banner"), files.now_millis()
+    matched = match_banners(t.users, t.banners).select("user_id", "banner")
+    files.write_stamped(matched.limit(0), path, stamp - 1)
+    files.write_stamped(matched, path, stamp)
+    return files.read_stamped(t.spark, path, stamp)
+
+
+@query(f'WITH {s.IDS_SQL} SELECT user_id AS id, "user" + 1 AS rank FROM user_ids')
+def replaced_files(t: Tables) -> DataFrame:
+    """A map written over another one: only the later is left."""
+    path = scratch_path(t.spark, "id-map")
+    files.write_id_map(ids.dense_ids(t.plays, "artist_id", "rank", start=1), path)
+    files.write_id_map(ids.dense_ids(t.plays, "user_id", "rank", start=1), path, mode="overwrite")
+    return lines.read_id_map(t.spark, path)

@@ -10,6 +10,7 @@ job                 work
 ``train_model``     fit the final recommender, write the artist catalogue
 ``check_events``    stream: a banner message on every tenth play
 ``reject_events``   stream: the events it leaves out
+``count_plays``     stream: the running total of each user
 ``suggest``         stream: recommend the best artist of each micro-batch
 ``replay``          publish a file of events to a topic
 ``archive_topic``   keep the raw topic
@@ -27,49 +28,62 @@ from pyspark.sql.streaming import StreamingQuery
 from playlens import constants
 from playlens.operators import cohort, ids, ratings, recommend
 from playlens.operators.banners import match_banners
-from playlens.session import pin
+from playlens.session import pin, session_conf
 from playlens.sources import files, lines, topics, user_table
 from playlens.streaming import archive, counter, replay as replay_stream, suggest as suggest_stream
 
 
 def prepare_users(spark: SparkSession, users_path: str, banners_path: str, out: str,
-                  table: str = "user_banner", table_location: str | None = None,
-                  load_ts: int | None = None, imported: bool = False) -> int:
-    """Clean users and their banners under a run stamp, then into the user table.
+                  location: str, load_ts: int | None = None, imported: bool = False,
+                  buckets: int = user_table.BUCKETS) -> int:
+    """Clean users and their banners under a run stamp, then into the user table at ``location``.
 
-    ``imported`` users are the parquet of ``import_table``, others are text lines.
+    ``imported`` users are the parquet of ``import_table``, others are text lines. Of several rows
+    of a user the one registered last counts.
     """
     load_ts = files.now_millis() if load_ts is None else load_ts
     if imported:
         users = lines.users_of_table(spark.read.parquet(users_path))
     else:
         users = lines.read_users(spark, users_path)
+    users = lines.landed(users, "users")
     banners = lines.read_banners(spark, banners_path)
     clean = files.write_stamped(users.rows, f"{out}/users", load_ts)
     files.write_stamped(users.rejects, f"{out}/user_rejects", load_ts)
     files.write_stamped(banners.rejects, f"{out}/banner_rejects", load_ts)
     # Read on from what was written: the text is not parsed again.
-    matched = match_banners(spark.read.schema(users.rows.schema).parquet(clean), banners.rows)
-    stamped = files.write_stamped(matched.select("user_id", "banner"), f"{out}/user_banner", load_ts)
-    user_table.create_user_table(spark, table, table_location)
-    user_table.upsert_users(spark, table, spark.read.parquet(stamped), load_ts)
+    matched = pin(match_banners(spark.read.schema(users.rows.schema).parquet(clean), banners.rows), "matched")
+    files.write_stamped(matched.select("user_id", "banner"), f"{out}/user_banner", load_ts)
+    user_table.upsert_users(
+        spark, location, matched, load_ts, order_by=F.struct("date", "extra", "banner"), buckets=buckets)
     return load_ts
 
 
+def _plays(spark: SparkSession, path: str, out: str, mode: str) -> DataFrame:
+    """Play counts, read and parsed once; the lines left out go to ``out/rejects``."""
+    parsed = lines.landed(lines.read_play_counts(spark, path), "plays")
+    files.write_rejects(parsed.rejects, f"{out}/rejects", mode)
+    return parsed.rows
+
+
 def map_ids(spark: SparkSession, plays_path: str, out: str, mode: str = "error") -> None:
     """Maps of users and artists to 1, 2, ... as tab-separated text; prints ten of each."""
-    plays = lines.read_play_counts(spark, plays_path).rows
+    plays = _plays(spark, plays_path, out, mode)
     for key, folder in (("user_id", "users"), ("artist_id", "artists")):
         ranks = ids.dense_ids(plays, key, "rank", start=1)
         ranks.orderBy("rank").show(10, truncate=False)
         files.write_id_map(ranks, f"{out}/{folder}", mode)
 
 
-def find_users(spark: SparkSession, left_path: str, right_path: str, n: int = 50) -> tuple[int, DataFrame]:
-    """Number of matching pairs, and the first ``n`` of them."""
-    left = lines.read_profiles(spark, left_path).rows
-    right = lines.read_profiles(spark, right_path).rows
-    return cohort.count_matches(left, right).first()[0], cohort.first_matches(left, right, n)
+def find_users(spark: SparkSession, left_path: str, right_path: str, out: str, n: int = 50,
+               mode: str = "error") -> tuple[int, DataFrame]:
+    """Number of matching pairs, and the first ``n`` of them; lines left out go to ``out/rejects_…``."""
+    sides = []
+    for name, path in (("left", left_path), ("right", right_path)):
+        parsed = lines.landed(lines.read_profiles(spark, path), f"profiles-{name}")
+        files.write_rejects(parsed.rejects, f"{out}/rejects_{name}", mode)
+        sides.append(parsed.rows)
+    return cohort.count_matches(*sides).first()[0], cohort.first_matches(*sides, n)
 
 
 class TuneReport(NamedTuple):
@@ -81,7 +95,7 @@ class TuneReport(NamedTuple):
 def tune_model(spark: SparkSession, plays_path: str, out: str, mode: str = "error",
                **settings) -> TuneReport:
     """Split the ratings, try the grid on the first two parts, judge the best on the third."""
-    rated = ratings.rate(lines.read_play_counts(spark, plays_path).rows)
+    rated = ratings.rate(_plays(spark, plays_path, out, mode))
     files.write_alias(rated.user_ids, f"{out}/user_alias", mode)
     files.write_alias(rated.artist_ids, f"{out}/artist_alias", mode)
     split = pin(ratings.assign_split(rated.triples), "ratings", partition_by=("split",))
@@ -97,7 +111,7 @@ def tune_model(spark: SparkSession, plays_path: str, out: str, mode: str = "erro
 def train_model(spark: SparkSession, plays_path: str, out: str, mode: str = "error",
                 **settings) -> recommend.ALSModel:
     """Final model in ``out/model``, catalogue in ``out/catalogue``, user ids in ``out/user_alias``."""
-    plays = lines.read_play_counts(spark, plays_path).rows
+    plays = _plays(spark, plays_path, out, mode)
     rated = ratings.rate(plays)
     files.write_catalogue(ids.artist_catalogue(plays, rated.artist_ids), f"{out}/catalogue", mode)
     files.write_alias(rated.user_ids, f"{out}/user_alias", mode)
@@ -106,24 +120,46 @@ def train_model(spark: SparkSession, plays_path: str, out: str, mode: str = "err
     return model
 
 
-def check_events(spark: SparkSession, wire: DataFrame, table: str, checkpoint: str, *,
+def _start_beside(spark: SparkSession, location: str, writer, checkpoint: str, **starting) -> StreamingQuery:
+    """Start a stream that joins the user table with as many partitions as the table has buckets:
+    the join then takes the table as it lies, without a shuffle or sort in each micro-batch."""
+    snapshot = user_table.latest(spark, location)
+    partitions = snapshot.buckets if snapshot else user_table.BUCKETS
+    settings = {
+        "spark.sql.shuffle.partitions": str(partitions),
+        # Else a scan by buckets is turned off again although the counter's state relies on its partitions.
+        "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
+    }
+    with session_conf(spark, settings):
+        return topics.start(spark, writer, checkpoint, **starting)
+
+
+def count_plays(spark: SparkSession, wire: DataFrame, location: str, out: str, checkpoint: str,
+                **starting) -> StreamingQuery:
+    """Running totals as (user_id, plays) files per micro-batch; ``counter.latest_plays`` reads them."""
+    totals = counter.plays_stream(wire, user_table.current_users(spark, location))
+    writer = topics.batch_writer(totals, topics.files_by_batch(out), mode="update")
+    return _start_beside(spark, location, writer, checkpoint, **starting)
+
+
+def check_events(spark: SparkSession, wire: DataFrame, location: str, checkpoint: str, *,
                  servers: str | None = None, sink: topics.Sink | None = None,
                  **starting) -> StreamingQuery:
     """Banner messages to the banner topic, or to ``sink``. Users are those of the table now."""
-    messages = counter.banner_stream(wire, user_table.current_users(spark, table))
+    messages = counter.banner_stream(wire, user_table.current_users(spark, location))
     if sink is None:
         keyed = messages.select("key", "value")
         writer = topics.topic_writer(keyed, servers, constants.BANNER_TOPIC, mode="update")
     else:
         writer = topics.batch_writer(messages, sink, mode="update")
-    return topics.start(spark, writer, checkpoint, **starting)
+    return _start_beside(spark, location, writer, checkpoint, **starting)
 
 
-def reject_events(spark: SparkSession, wire: DataFrame, table: str, out: str, checkpoint: str,
+def reject_events(spark: SparkSession, wire: DataFrame, location: str, out: str, checkpoint: str,
                   **starting) -> StreamingQuery:
     """Events ``check_events`` leaves out, as (user_id, n) files."""
-    rejects = counter.reject_stream(wire, user_table.current_users(spark, table))
-    return topics.start(spark, topics.file_writer(rejects, out), checkpoint, **starting)
+    rejects = counter.reject_stream(wire, user_table.current_users(spark, location))
+    return _start_beside(spark, location, topics.file_writer(rejects, out), checkpoint, **starting)
 
 
 def suggest(spark: SparkSession, wire: DataFrame, trained: str, checkpoint: str, *,
@@ -134,9 +170,12 @@ def suggest(spark: SparkSession, wire: DataFrame, trained: str, checkpoint: str,
     ``trained`` is the folder ``train_model`` wrote; ``own_user`` scores for the user of the
     event instead of the fixed user; ``rejects`` gets the artists that cannot be scored.
     """
-    catalogue = pin(lines.read_catalogue(spark, f"{trained}/catalogue"), "catalogue")
+    # Sorted by item, so that looking up one name reads a few row groups.
+    catalogue = pin(lines.read_catalogue(spark, f"{trained}/catalogue").orderBy("item"), "catalogue")
     scorer = suggest_stream.model_scorer(recommend.load_model(f"{trained}/model"))
-    user_ids = lines.read_alias(spark, f"{trained}/user_alias", "user_id", "user") if own_user else None
+    user_ids = None
+    if own_user:
+        user_ids = pin(lines.read_alias(spark, f"{trained}/user_alias", "user_id", "user"), "user-ids")
     writer = suggest_stream.suggestion_writer(
         wire, catalogue, scorer, sink or suggest_stream.to_topic(servers), user_ids, rejects
     )

@@ -134,6 +134,15 @@ class Tables:
         )
         return self.table("customer").select(line.alias("value"))
 
+    @cached_property
+    def banner_lines(self) -> DataFrame:
+        """Banners of parts: some without bounds, some with a bound that is no number, some cut short."""
+        key, size = F.col("p_partkey"), F.col("p_size")
+        low = F.when(key % 5 == 0, "").when(key % 7 == 0, "x").otherwise(size.cast("string"))
+        high = F.when(key % 5 == 0, "").otherwise((size + 10).cast("string"))
+        line = F.concat_ws(TAB, low, high, "p_brand", F.when(key % 11 != 0, F.col("p_type")))
+        return self.table("part").select(line.alias("value"))
+
     @cached_property
     def profile_lines(self) -> DataFrame:
         """Some with an id only, some cut after the age."""

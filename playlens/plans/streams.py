@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from playlens.functions.messages import payload
 from playlens.operators import ids, ratings, recommend
 from playlens.operators.banners import match_banners
+from playlens.plans import jobs
 from playlens.plans import standins as s
 from playlens.plans.batch import EVERY_NTH_SQL, UNKNOWN_USERS_SQL, VALID_EVENTS_SQL, catalogue
 from playlens.plans.registry import query
 from playlens.plans.standins import Tables
 from playlens.session import pin, scratch_path, shuffle_partitions
-from playlens.sources import topics
+from playlens.sources import topics, user_table
 from playlens.streaming import archive, counter, replay, suggest
 
 # Micro-batches each stream query is fed in.
@@ -47,6 +48,34 @@ def stream_every_nth(t: Tables) -> DataFrame:
     return messages.select("user_id", "play_no", "banner", F.col("value").alias("message"))
 
 
+@query(f"""
+    WITH {s.USERS_SQL}
+    SELECT CAST(e.user_id AS VARCHAR) AS user_id, count(*) AS plays
+    FROM events e JOIN users u ON CAST(e.user_id AS VARCHAR) = u.user_id GROUP BY 1""")
+def stream_play_counts(t: Tables) -> DataFrame:
+    """The readable counter: users by a load of the user table, totals from the files of the micro-batches."""
+    location, path = scratch_path(t.spark, "users"), scratch_path(t.spark, "totals")
+    user_table.upsert_users(t.spark, location, match_banners(t.users, t.banners), 1, buckets=4)
+    jobs.count_plays(
+        t.spark, published(t), location, path, scratch_path(t.spark, "checkpoint"), available_now=True
+    ).awaitTermination()
+    return counter.latest_plays(t.spark.read.schema("user_id string, plays bigint").parquet(path))
+
+
+@query(UNKNOWN_USERS_SQL)
+def stream_on_interval(t: Tables) -> DataFrame:
+    """As ``stream_unknown_users``, on the two-second trigger until all files are read."""
+    path = scratch_path(t.spark, "unknown-users")
+    rejects = counter.reject_stream(published(t), t.users_with_age)
+    running = topics.start(t.spark, topics.file_writer(rejects, path), scratch_path(t.spark, "checkpoint"))
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    found = t.spark.read.schema(rejects.schema).parquet(path)
+    return found.groupBy("user_id").agg(F.sum("n").alias("n"))
+
+
 @query(UNKNOWN_USERS_SQL)
 def stream_unknown_users(t: Tables) -> DataFrame:
     rejects = through_files(
@@ -106,12 +135,22 @@ def stream_top_item(t: Tables) -> DataFrame:
     return recommend.top_item(rows).select("item", "prediction", "artist_name", "message")
 
 
-@query()
+@query("SELECT TRUE AS emitted, CAST(0 AS BIGINT) AS n_wrong, TRUE AS best_found")
 def stream_als_top_item(t: Tables) -> DataFrame:
-    """The trained model, scoring for the user of each event."""
+    """The trained model, scoring for the user of each event: micro-batches emit rows, each with the
+    prediction of its user and item, and the best of them is the best of all events."""
     rated = ratings.rate(t.plays)
-    model = recommend.train(pin(rated.triples, "ratings"), rank=8, iterations=5)
+    model = recommend.train(pin(rated.triples, "ratings"))
     artists = pin(ids.artist_catalogue(t.plays, rated.artist_ids), "catalogue")
     scorer = suggest.model_scorer(model)
     rows = emitted(t, artists, scorer, user_ids=rated.user_ids)
-    return rows.select("user", "item", "prediction", "artist_name", "message", "batch_id")
+    all_pairs = suggest.pairs_to_score(
+        t.events.select("user_id", "artist_id"), suggest.artist_items(artists), rated.user_ids)
+    top = recommend.top_item(recommend.score_known(model, all_pairs)).select(F.col("prediction").alias("top"))
+    again = recommend.score_plainly(model, rows.select("user", "item", F.col("prediction").alias("emitted")))
+    wrong = F.abs(F.col("emitted") - F.col("prediction")) <= 1e-4
+    return again.join(F.broadcast(top)).agg(
+        (F.count(F.lit(1)) > 0).alias("emitted"),
+        F.count_if(~F.coalesce(wrong, F.lit(False))).alias("n_wrong"),
+        (F.abs(F.max("emitted") - F.max("top")) <= 1e-4).alias("best_found"),
+    )

@@ -36,5 +36,11 @@ def write_alias(ids: DataFrame, path: str, mode: str = "error") -> None:
 
 
 def write_catalogue(catalogue: DataFrame, path: str, mode: str = "error") -> None:
-    """(artist, index, name) as tab-separated lines."""
-    catalogue.select(F.concat_ws(TAB, "artist_id", "item", "artist_name")).write.mode(mode).text(path)
+    """(artist, index, name) as tab-separated lines; an artist without name has an empty one."""
+    name = F.coalesce("artist_name", F.lit(""))
+    catalogue.select(F.concat_ws(TAB, "artist_id", "item", name)).write.mode(mode).text(path)
+
+
+def write_rejects(rejects: DataFrame, path: str, mode: str = "error") -> None:
+    """(value, reason) of the lines a job left out."""
+    rejects.write.mode(mode).parquet(path)

@@ -9,13 +9,27 @@ from pyspark.sql import functions as F
 
 from playlens import constants, schemas
 from playlens.functions import messages, text
+from playlens.session import pin
 
 
 class Parsed(NamedTuple):
-    """``rows`` are typed; ``rejects`` are ``(value, reason)``. Both read the same lines."""
+    """``rows`` are typed; ``rejects`` are ``(value, reason)``. Both read the same lines.
+
+    ``judged`` has both in one pass: the columns of a row, and value and reason of a reject.
+    """
 
     rows: DataFrame
     rejects: DataFrame
+    judged: DataFrame
+
+
+def landed(parsed: Parsed, label: str) -> Parsed:
+    """The same, from a table written once: the lines are read and parsed a single time."""
+    rejected = F.col("reason").isNotNull()
+    written = pin(parsed.judged.withColumn("rejected", rejected), label, partition_by=("rejected",))
+    names = [name for name in parsed.judged.columns if name not in ("value", "reason")]
+    return Parsed(written.filter("NOT rejected").select(names),
+                  written.filter("rejected").select("value", "reason"), written.drop("rejected"))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -28,6 +42,7 @@ def _parsed(lines: DataFrame, reason: Column, columns: list[Column]) -> Parsed:
     return Parsed(
         judged.filter(F.col("reason").isNull()).select(*columns),
         judged.filter(F.col("reason").isNotNull()).select("value", "reason"),
+        judged.select(F.when(F.col("reason").isNotNull(), F.col("value")).alias("value"), "reason", *columns),
     )
 
 
@@ -153,9 +168,9 @@ def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
     """Artist catalogue as written by ``write_catalogue``."""
     parts = text.all_fields(F.col("value"))
     return read_lines(spark, path).select(
-        parts[0].alias("artist_id"),
-        parts[1].cast("bigint").alias("item"),
-        parts[2].alias("artist_name"),
+        text.field(parts, 0).alias("artist_id"),
+        text.field(parts, 1).try_cast("bigint").alias("item"),
+        F.nullif(text.field(parts, 2), F.lit("")).alias("artist_name"),
     )
 
 

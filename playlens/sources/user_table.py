@@ -1,48 +1,92 @@
-"""The user table: one row per user with banner and play counter, kept as snapshots per load."""
+"""The user table: one row per user with banner and play counter, as a folder of snapshots per load.
+
+The folder is the table, whatever program made it: ``load_ts=<stamp>/buckets=<n>`` holds a
+snapshot, complete once its success marker is there. Snapshots are bucketed and sorted by user, so
+a join on the user neither shuffles nor sorts the table.
+"""
 
 from __future__ import annotations
 
+import hashlib
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Buckets of a snapshot, and partitions of the streams that join it.
+BUCKETS = 64
+# Snapshots that stay: a stream may still read the one before the newest.
+KEPT = 3
+COLUMNS = "user_id STRING, banner STRING, plays BIGINT"
 
-def create_user_table(spark: SparkSession, table: str, location: str | None = None,
-                      buckets: int | None = None) -> None:
-    """Create the table unless it is there.
 
-    With as many ``buckets`` as a stream has shuffle partitions, the join of the stream with the
-    table need not shuffle the table in each micro-batch.
-    """
-    clustered = f"CLUSTERED BY (user_id) INTO {buckets} BUCKETS" if buckets else ""
-    where = f"LOCATION '{location}'" if location else ""
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} "
-        f"(user_id STRING, banner STRING, plays BIGINT, load_ts BIGINT) "
-        f"USING parquet PARTITIONED BY (load_ts) {clustered} {where}"
-    )
+class Snapshot(NamedTuple):
+    load_ts: int
+    buckets: int
+    path: str
 
 
-def latest_load(spark: SparkSession, table: str) -> int | None:
-    """Stamp of the newest snapshot, from the catalog's partition list."""
-    loads = spark.sql(f"SHOW PARTITIONS {table}").select(
-        F.max(F.split_part("partition", F.lit("="), F.lit(2)).cast("bigint"))
-    )
-    return loads.first()[0]
+def _folders(spark: SparkSession, path: str, prefix: str) -> list[tuple[int, str]]:
+    """(number, path) of the folders ``<prefix>=<number>`` in a folder that may not be there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(folder)]
+    numbers = [name.split("=")[1] for name in names if name.startswith(f"{prefix}=")]
+    return sorted((int(number), f"{path}/{prefix}={number}") for number in numbers if number.isdigit())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return file.getFileSystem(spark._jsc.hadoopConfiguration()).exists(file)
+
+
+def snapshots(spark: SparkSession, location: str) -> list[Snapshot]:
+    """Complete snapshots, oldest first."""
+    return [
+        Snapshot(load_ts, buckets, path)
+        for load_ts, folder in _folders(spark, location.rstrip("/"), "load_ts")
+        for buckets, path in _folders(spark, folder, "buckets")
+        if _exists(spark, f"{path}/_SUCCESS")
+    ]
 
 
-def current_users(spark: SparkSession, table: str) -> DataFrame:
-    """The newest snapshot; only its partition is read."""
-    stamp = latest_load(spark, table)
-    rows = spark.table(table)
-    rows = rows.filter(F.lit(False)) if stamp is None else rows.filter(F.col("load_ts") == stamp)
-    return rows.drop("load_ts")
+def latest(spark: SparkSession, location: str) -> Snapshot | None:
+    found = snapshots(spark, location)
+    return found[-1] if found else None
+
+
+def _catalog_name(snapshot: Snapshot) -> str:
+    """A name of this session's catalog; it only tells the planner of the buckets."""
+    return f"playlens_users_{hashlib.md5(snapshot.path.encode()).hexdigest()}"
+
+
+def current_users(spark: SparkSession, location: str) -> DataFrame:
+    """The newest snapshot; an empty table when there is none."""
+    snapshot = latest(spark, location)
+    if snapshot is None:
+        return spark.createDataFrame([], COLUMNS)
+    name = _catalog_name(snapshot)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({COLUMNS}) USING parquet "
+        f"CLUSTERED BY (user_id) SORTED BY (user_id) INTO {snapshot.buckets} BUCKETS LOCATION '{snapshot.path}'"
+    )
+    return spark.table(name)
 
 
 def merge_users(current: DataFrame, load: DataFrame, order_by: Column | None = None) -> DataFrame:
-    """``current`` with the users of ``load`` put in: last row per user, counter back to zero."""
-    order_by = F.col("banner") if order_by is None else order_by
-    last = load.groupBy("user_id").agg(F.max_by("banner", order_by).alias("new_banner"),
-                                       F.lit(True).alias("loaded"))
+    """``current`` with the users of ``load`` put in, counters back to zero.
+
+    The last row by ``order_by`` counts; without an order a user may come once only.
+    """
+    if order_by is None:
+        once = F.when(F.count(F.lit(1)) == 1, F.max("banner")).otherwise(F.raise_error(
+            F.concat(F.lit("the load has a user twice and no order: "), F.max(F.coalesce("user_id", F.lit("null"))))))
+        last = load.groupBy("user_id").agg(once.cast("string").alias("new_banner"), F.lit(True).alias("loaded"))
+    else:
+        last = load.groupBy("user_id").agg(
+            F.max_by("banner", order_by).alias("new_banner"), F.lit(True).alias("loaded"))
     loaded = F.col("loaded").isNotNull()
     return current.join(last, "user_id", "full_outer").select(
         "user_id",
@@ -51,13 +95,24 @@ def merge_users(current: DataFrame, load: DataFrame, order_by: Column | None = N
     )
 
 
-def upsert_users(spark: SparkSession, table: str, load: DataFrame, load_ts: int) -> None:
-    """Write the next snapshot, stamped ``load_ts``, beside the ones before."""
-    stamp = latest_load(spark, table)
-    if stamp is not None and load_ts <= stamp:
-        raise ValueError(f"load_ts {load_ts} is not newer than the last load {stamp}")
-    merged = merge_users(current_users(spark, table), load)
-    merged.withColumn("load_ts", F.lit(load_ts).cast("bigint")).write.insertInto(table)
+def upsert_users(spark: SparkSession, location: str, load: DataFrame, load_ts: int, *,
+                 order_by: Column | None = None, buckets: int = BUCKETS, keep: int = KEPT) -> None:
+    """Write the next snapshot, stamped ``load_ts``; the ``keep`` newest stay."""
+    before = latest(spark, location)
+    if before is not None and load_ts <= before.load_ts:
+        raise ValueError(f"load_ts {load_ts} is not newer than the last load {before.load_ts}")
+    merged = merge_users(current_users(spark, location), load, order_by)
+    new = Snapshot(load_ts, buckets, f"{location.rstrip('/')}/load_ts={load_ts}/buckets={buckets}")
+    name = f"{_catalog_name(new)}_new"
+    (
+        merged.repartition(buckets, "user_id").write.mode("overwrite").format("parquet")
+        .bucketBy(buckets, "user_id").sortBy("user_id").option("path", new.path).saveAsTable(name)
+    )
+    spark.sql(f"DROP TABLE {name}")  # the files stay
+    for old in snapshots(spark, location)[:-keep]:
+        spark.sql(f"DROP TABLE IF EXISTS {_catalog_name(old)}")
+        folder = spark._jvm.org.apache.hadoop.fs.Path(old.path).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def lookup_users(users: DataFrame, ids: DataFrame) -> DataFrame:

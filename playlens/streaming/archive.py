@@ -6,22 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from playlens.functions.messages import payload
 from playlens.sources.topics import file_writer
 
 
-def raw_lines(wire: DataFrame) -> DataFrame:
-    """(value, arrival_date): the payload as it came, and the day it came."""
-    return wire.select(
-        payload(F.col("value")).alias("value"), F.current_date().cast("string").alias("arrival_date")
-    )
+def raw_rows(wire: DataFrame, fmt: str) -> DataFrame:
+    """The bytes as they came, and the day they came: key and value, or for text a line per value."""
+    day = F.current_date().cast("string").alias("arrival_date")
+    if fmt == "text":
+        # A cast keeps every byte, also those that are no UTF-8.
+        return wire.select(F.col("value").cast("string").alias("value"), day)
+    return wire.select("key", "value", day)
 
 
 def archive_writer(wire: DataFrame, path: str, fmt: str = "text",
                    max_records_per_file: int = 50_000_000) -> DataStreamWriter:
-    """Text or parquet files below ``arrival_date=``, cut at a number of records only."""
+    """Text (values only) or parquet (keys and values) files below ``arrival_date=``, cut at a number of records only."""
     return (
-        file_writer(raw_lines(wire), path, fmt)
+        file_writer(raw_rows(wire, fmt), path, fmt)
         .partitionBy("arrival_date")
         .option("maxRecordsPerFile", max_records_per_file)
     )

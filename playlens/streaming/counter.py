@@ -55,7 +55,9 @@ def batch_counts(users: DataFrame) -> DataFrame:
             sums = pa.concat_tables(tables).group_by("user_id").aggregate([("n", "sum")])
             return sums.rename_columns(["user_id", "n"])
 
-        # The sums are one row per user of this partition; what waits is at most as large again.
+        # The sums are one row per user of the micro-batch in this partition (streams can't sort, so
+        # they can't be merged in passing); what waits is at most as large again. More buckets of
+        # the user table mean more partitions, and fewer users in each.
         tables, waiting, limit = [], 0, 100_000
         for batch in batches:
             tables.append(pa.Table.from_batches([batch]))
@@ -113,6 +115,17 @@ def banner_stream(wire: DataFrame, users: DataFrame, every: int = constants.PLAY
     )
 
 
+def plays_stream(wire: DataFrame, users: DataFrame, generation: int = 0) -> DataFrame:
+    """(user_id, plays): the running total of each known user a micro-batch brings events of. Write it in update mode."""
+    known = batch_counts(event_users(wire)).join(users.select("user_id", "banner"), "user_id")
+    return running_counts(known, generation).select("user_id", F.col("after").alias("plays"))
+
+
+def latest_plays(totals: DataFrame) -> DataFrame:
+    """The readable counter: totals only rise, so the highest of a user is the present one."""
+    return totals.groupBy("user_id").agg(F.max("plays").alias("plays"))
+
+
 def reject_stream(wire: DataFrame, users: DataFrame) -> DataFrame:
     """(user_id, n) of events whose user is unknown or empty, for a sink of its own."""
     return partial_counts(event_users(wire)).join(

@@ -51,3 +51,15 @@ def test_known_answers(spark, sf, n):
     even, odd = customers.filter("id % 2 = 0"), customers.filter("id % 2 = 1")
     assert cohort.count_matches(even, odd, keys).first()[0] == n
     assert cohort.match_profiles(even, odd, keys).count() == n
+
+
+def test_pairs_of_a_common_key_come_from_several_lanes(spark, monkeypatch):
+    monkeypatch.setattr(cohort, "PAIRS_PER_LANE", 50)
+    keys = ["gender", "age"]
+    left = spark.range(90).selectExpr("id", "if(id < 30, 'm', cast(id as string)) gender", "'20' age")
+    right = spark.range(60).selectExpr("id", "if(id < 20, 'm', cast(id as string)) gender", "'20' age")
+    pairs = cohort.match_profiles(left, right, keys)
+    assert pairs.columns == ["a_id", "a_gender", "a_age", "b_id", "b_gender", "b_age"]
+    found = [(r.a_id, r.b_id) for r in pairs.collect()]
+    assert len(found) == len(set(found)) == 30 * 20 + 30
+    assert cohort.count_matches(left, right, keys).first()[0] == 630

@@ -74,3 +74,10 @@ def test_run_stamped_folders(spark, tmp_path, capsys):
     assert files.read_stamped(spark, base, 5).count() == 5
     files.read_stamped(spark, base, 7).explain()
     assert "PartitionFilters: [isnotnull(load_ts" in capsys.readouterr().out
+
+
+def test_catalogue_keeps_missing_names(spark, tmp_path):
+    path = str(tmp_path / "catalogue")
+    rows = [("a1", 1, None), ("a2", 2, "Two")]
+    files.write_catalogue(spark.createDataFrame(rows, "artist_id string, item bigint, artist_name string"), path)
+    assert sorted(tuple(r) for r in lines.read_catalogue(spark, path).collect()) == rows

@@ -1,13 +1,13 @@
 """Whole jobs over small files."""
 
 import random
-import uuid
 
 import pytest
 from playlens import __main__ as cli
 from playlens.plans import jobs
 from playlens.sources import lines as readers
 from playlens.sources import relational, topics, user_table
+from playlens.streaming import counter
 from playlens.streaming import replay as encode
 
 
@@ -29,12 +29,12 @@ def plays_path(save):
 
 
 def test_users_to_messages(spark, lines, save, tmp_path):
-    table = f"users_{uuid.uuid4().hex}"
+    table = str(tmp_path / "table")
     users = save("users", "u1→m→22→Japan→x", "u2→f→→Peru→x", "u3→f→30→Chile→", "u6→m→abc→Spain→x")
     banners = save("banners", "18→25→M→A", "20→30→M→C", "→→F→N", "bad")
     out = str(tmp_path / "clean")
-    stamp = jobs.prepare_users(spark, users, banners, out, table, str(tmp_path / "table"))
-    jobs.prepare_users(spark, users, banners, out, table, str(tmp_path / "table"), load_ts=stamp + 1)
+    stamp = jobs.prepare_users(spark, users, banners, out, table, buckets=4)
+    jobs.prepare_users(spark, users, banners, out, table, load_ts=stamp + 1, buckets=4)
     assert sorted(tuple(r) for r in user_table.current_users(spark, table).collect()) == [
         ("u1", "AC", 0), ("u2", "N", 0)]
     assert spark.read.parquet(f"{out}/user_rejects").filter(f"load_ts = {stamp}").count() == 2
@@ -61,16 +61,41 @@ def test_users_to_messages(spark, lines, save, tmp_path):
     kept = str(tmp_path / "kept")
     jobs.archive_topic(spark, stream, kept, checkpoint + "3", available_now=True).awaitTermination()
     assert spark.read.text(kept).count() == 32
-    spark.sql(f"DROP TABLE {table}")
+
+    totals = str(tmp_path / "totals")
+    jobs.count_plays(spark, stream, table, totals, checkpoint + "5", available_now=True).awaitTermination()
+    assert [tuple(r) for r in counter.latest_plays(spark.read.parquet(totals)).collect()] == [("u1", 16)]
+
+
+def test_stream_takes_the_user_table_as_it_lies(spark, lines, save, tmp_path):
+    """In each micro-batch only the events are shuffled: the table is read by buckets, in their order."""
+    table, out = str(tmp_path / "table"), str(tmp_path / "clean")
+    jobs.prepare_users(spark, save("users", "u1→m→22→Japan→x"), save("banners", "18→25→M→A"), out, table, buckets=4)
+    wire = str(tmp_path / "wire")
+    encode.encode_lines(lines(*["u1→ts→a→n→t→T"] * 12)).write.parquet(wire)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        query = jobs.check_events(spark, topics.read_wire_files(spark, wire), table, str(tmp_path / "c"),
+                                  sink=topics.files_by_batch(str(tmp_path / "m")), available_now=True)
+        query.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    plan = query._jsq.explainInternal(False)
+    side = plan[plan.index("SortMergeJoin"):]
+    table_side = side[side.rindex("FileScan parquet"):]
+    assert "Bucketed: true" in table_side
+    before = side[:side.rindex("FileScan parquet")].rstrip().splitlines()
+    assert not any("Exchange" in line for line in before[-3:])
+    assert spark.read.parquet(str(tmp_path / "m")).count() == 1
 
 
 def test_imported_users(spark, save, tmp_path):
-    table, path = f"users_{uuid.uuid4().hex}", str(tmp_path / "imported")
+    table, path = str(tmp_path / "t"), str(tmp_path / "imported")
     spark.sql("SELECT 1 id, 'm' gender, 22 age, 'Japan' since, 'x' note").write.parquet(path)
     banners = save("banners", "18→25→M→A")
-    jobs.prepare_users(spark, path, banners, str(tmp_path / "clean"), table, str(tmp_path / "t"), imported=True)
+    jobs.prepare_users(spark, path, banners, str(tmp_path / "clean"), table, imported=True, buckets=2)
     assert [tuple(r) for r in user_table.current_users(spark, table).collect()] == [("1", "A", 0)]
-    spark.sql(f"DROP TABLE {table}")
 
 
 def test_map_ids(spark, plays_path, tmp_path, capsys):
@@ -79,15 +104,29 @@ def test_map_ids(spark, plays_path, tmp_path, capsys):
     users = readers.read_id_map(spark, f"{out}/users").collect()
     assert sorted(r.rank for r in users) == list(range(1, 26))
     assert "rank" in capsys.readouterr().out
+    assert {r.reason for r in spark.read.parquet(f"{out}/rejects").collect()} == {
+        "fewer than 4 fields", "plays is not a whole number"}
     with pytest.raises(Exception, match="exist"):
         jobs.map_ids(spark, plays_path, out)
+    jobs.map_ids(spark, plays_path, out, mode="overwrite")
+
+
+def test_rows_and_rejects_are_all_lines(spark, plays_path):
+    parsed = readers.read_play_counts(spark, plays_path)
+    once = readers.landed(parsed, "plays")
+    assert once.rows.count() + once.rejects.count() == spark.read.text(plays_path).count() == 402
+    assert sorted(once.rows.collect()) == sorted(parsed.rows.collect())
+    assert sorted(once.rejects.collect()) == sorted(parsed.rejects.collect())
 
 
-def test_find_users(spark, save):
+def test_find_users(spark, save, tmp_path):
     left = save("left", "1→m→20→Peru→2006", "2→f→→Peru→2006", "3")
     right = save("right", "x→m→20→Peru→2006", "y→m→20→Peru→2006", "z→f→→Peru→2006", "w→f→20")
-    count, first = jobs.find_users(spark, left, right, 2)
+    out = str(tmp_path / "found")
+    count, first = jobs.find_users(spark, left, right, out, 2)
     assert count == 3
+    assert spark.read.parquet(f"{out}/rejects_left").count() == 0
+    assert [r.value for r in spark.read.parquet(f"{out}/rejects_right").collect()] == ["w\tf\t20"]
     assert [(r.a_id, r.b_id) for r in first.collect()] == [("1", "x"), ("1", "y")]
 
 
@@ -97,6 +136,7 @@ def test_tune(spark, plays_path, tmp_path):
     pairs = readers.read_play_counts(spark, plays_path).rows.select("user_id", "artist_id").distinct().count()
     assert sum(report.sizes.values()) == pairs
     assert readers.read_alias(spark, str(tmp_path / "tuned/user_alias"), "u", "n").count() == 25
+    assert spark.read.parquet(str(tmp_path / "tuned/rejects")).count() == 2
 
 
 @pytest.mark.parametrize("own_user", [False, True])
@@ -109,7 +149,8 @@ def test_train_and_suggest(spark, plays_path, save, tmp_path, own_user):
     encode.encode_lines(spark.read.text(events)).write.parquet(wire)
     stream = topics.read_wire_files(spark, wire)
     jobs.suggest(spark, stream, trained, str(tmp_path / "c"), sink=topics.files_by_batch(out),
-                 own_user=own_user, available_now=True).awaitTermination()
+                 own_user=own_user, rejects=topics.files_by_batch(out + "-rejects"), available_now=True).awaitTermination()
+    assert [tuple(r)[:2] for r in spark.read.parquet(out + "-rejects").collect()] == [("none", 1)]
     row = spark.read.parquet(out).collect()
     assert len(row) == 1 and row[0].message == "GRUPO RECOMENDADO >>>>> Name"
 
@@ -117,8 +158,11 @@ def test_train_and_suggest(spark, plays_path, save, tmp_path, own_user):
 def test_command_line():
     args = cli.parser().parse_args(["tune-model", "--plays", "p", "--out", "o", "--parallelism", "3"])
     assert (args.job, args.plays, args.parallelism) == ("tune-model", "p", 3)
-    args = cli.parser().parse_args(["check-events", "--servers", "h:1", "--table", "t", "--checkpoint", "c"])
-    assert args.topics == "ineventos" and args.starting == "latest"
+    args = cli.parser().parse_args(["check-events", "--servers", "h:1", "--location", "t", "--checkpoint", "c"])
+    assert args.topics == "ineventos" and args.starting == "latest" and args.since == 0
+    args = cli.parser().parse_args(["suggest", "--servers", "h:1", "--trained", "t", "--rejects", "r", "--checkpoint", "c",
+                                    "--own-user", "yes"])
+    assert args.own_user == "yes" and args.rejects == "r"
     with pytest.raises(SystemExit):
         cli.parser().parse_args(["map-ids", "--plays", "p"])
 

@@ -144,8 +144,21 @@ def test_archive_keeps_every_payload(topic, spark):
         topic.run(archive.archive_writer(topic.read(), out, fmt), "c" + fmt)
         archived = spark.read.format(fmt).load(out)
         assert "arrival_date" in archived.columns
-        assert sorted(r.value for r in archived.collect()) == sorted(
-            [LINE.format("u", "a1") + "\t", LINE.format("v", "a1") + "\t", "broken", "\t"])
+        values = [r.value if fmt == "text" else bytes(r.value).decode() for r in archived.collect()]
+        assert sorted(values) == sorted([LINE.format("u", "a1") + "\t", LINE.format("v", "a1") + "\t", "broken", "\t"])
+
+
+def test_archive_keeps_keys_and_bytes_that_are_no_text(topic, spark):
+    import glob
+
+    spark.createDataFrame([(bytearray(b"k\xff"), bytearray(b"v\xfe\xff"))], "key binary, value binary").write.parquet(topic.path)
+    kept, text = str(topic.tmp_path / "kept"), str(topic.tmp_path / "text")
+    topic.run(archive.archive_writer(topic.read(), kept, "parquet"), "c1")
+    row = spark.read.parquet(kept).first()
+    assert (bytes(row.key), bytes(row.value)) == (b"k\xff", b"v\xfe\xff")
+    topic.run(archive.archive_writer(topic.read(), text, "text"), "c2")
+    (file,) = glob.glob(f"{text}/*/part-*")
+    assert open(file, "rb").read() == b"v\xfe\xff\n"
 
 
 def test_replay(topic, spark, tmp_path):

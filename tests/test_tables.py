@@ -1,43 +1,74 @@
-import uuid
+import os
+import subprocess
+import sys
 
 import pytest
 from playlens.sources import user_table
+from pyspark.sql import functions as F
 
 LOAD = "user_id string, banner string"
 
 
 @pytest.fixture
-def table(spark):
-    name = f"users_{uuid.uuid4().hex}"
-    yield name
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+def location(tmp_path):
+    return str(tmp_path / "users")
 
 
 def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_loads(spark, table, tmp_path):
-    user_table.create_user_table(spark, table, str(tmp_path / "t"))
-    user_table.create_user_table(spark, table, str(tmp_path / "t"))
-    assert user_table.latest_load(spark, table) is None
-    assert user_table.current_users(spark, table).count() == 0
-    user_table.upsert_users(spark, table, spark.createDataFrame([("a", "A"), ("b", "B")], LOAD), 10)
+def test_loads(spark, location):
+    assert user_table.latest(spark, location) is None
+    assert user_table.current_users(spark, location).count() == 0
+    user_table.upsert_users(spark, location, spark.createDataFrame([("a", "A"), ("b", "B")], LOAD), 10, buckets=2)
     load = spark.createDataFrame([("b", "C"), ("c", None), ("d", "1"), ("d", "2")], LOAD)
-    user_table.upsert_users(spark, table, load, 11)
-    assert user_table.latest_load(spark, table) == 11
-    assert rows(user_table.current_users(spark, table).fillna("")) == [
+    user_table.upsert_users(spark, location, load, 11, order_by=F.col("banner"), buckets=2)
+    assert user_table.latest(spark, location).load_ts == 11
+    assert rows(user_table.current_users(spark, location).fillna("")) == [
         ("a", "A", 0), ("b", "C", 0), ("c", "", 0), ("d", "2", 0)]
     with pytest.raises(ValueError, match="not newer"):
-        user_table.upsert_users(spark, table, spark.createDataFrame([], LOAD), 11)
+        user_table.upsert_users(spark, location, spark.createDataFrame([], LOAD), 11)
 
 
-def test_only_the_newest_snapshot_is_read(spark, table, tmp_path, capsys):
-    user_table.create_user_table(spark, table, str(tmp_path / "t"))
-    for stamp in (9, 10):
-        user_table.upsert_users(spark, table, spark.createDataFrame([("a", "A")], LOAD), stamp)
-    user_table.current_users(spark, table).explain()
-    assert "load_ts" in capsys.readouterr().out.split("PartitionFilters: [")[1].split("]")[0]
+def test_a_user_twice_needs_an_order(spark, location):
+    load = spark.createDataFrame([("d", "1"), ("d", "2")], LOAD)
+    with pytest.raises(Exception, match="twice"):
+        user_table.upsert_users(spark, location, load, 1, buckets=2)
+    assert user_table.latest(spark, location) is None  # what was begun has no marker
+
+
+def test_old_snapshots_go(spark, location):
+    for stamp in range(1, 6):
+        user_table.upsert_users(spark, location, spark.createDataFrame([(str(stamp), "A")], LOAD), stamp, buckets=2, keep=2)
+    assert [s.load_ts for s in user_table.snapshots(spark, location)] == [4, 5]
+    assert [r[0] for r in rows(user_table.current_users(spark, location))] == list("12345")
+
+
+PROGRAM = """
+import sys
+from playlens.session import build_session
+from playlens.sources import user_table
+spark = build_session("loads", "local[2]", spark__sql__shuffle__partitions="2", spark__ui__enabled="false")
+user = sys.argv[2]
+if user:
+    load = spark.createDataFrame([(user, "A")], "user_id string, banner string")
+    user_table.upsert_users(spark, sys.argv[1], load, int(sys.argv[3]), buckets=2)
+print("FOUND", *sorted(r.user_id for r in user_table.current_users(spark, sys.argv[1]).collect()))
+"""
+
+
+def test_table_outlives_programs(location, tmp_path):
+    def program(*args):
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        done = subprocess.run([sys.executable, "-c", PROGRAM, location, *args], capture_output=True, text=True, timeout=300,
+                              cwd=tmp_path, env=os.environ | {"PYTHONPATH": root})
+        assert "FOUND" in done.stdout, done.stderr[-2000:]
+        return done.stdout.split("FOUND")[1].split()
+
+    assert program("u1", "1") == ["u1"]
+    assert program("u2", "2") == ["u1", "u2"]
+    assert program("") == ["u1", "u2"]
 
 
 def test_merge_resets_loaded_counters_only(spark):
@@ -52,12 +83,11 @@ def test_lookup(spark):
     assert sorted(found.collect(), key=str) == [("a", "A", 7), ("z", None, None)]
 
 
-def test_bucketed_table_is_not_shuffled(spark, table, tmp_path, capsys):
-    user_table.create_user_table(spark, table, str(tmp_path / "t"), buckets=4)
+def test_bucketed_table_is_neither_shuffled_nor_sorted(spark, location, capsys):
     loaded = spark.range(100).selectExpr("cast(id as string) user_id", "'A' banner")
-    user_table.upsert_users(spark, table, loaded, 1)
+    user_table.upsert_users(spark, location, loaded, 1, buckets=4)
     events = spark.range(1000).selectExpr("cast(id % 150 as string) user_id")
-    joined = events.join(user_table.current_users(spark, table).hint("merge"), "user_id")
+    joined = events.join(user_table.current_users(spark, location).hint("merge"), "user_id")
     joined.explain()
     assert capsys.readouterr().out.count("Exchange hashpartitioning") == 1
     assert joined.count() == 700
