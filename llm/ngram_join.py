@@ -42,6 +42,8 @@ SIZE = 5
 PERCENT = 75
 RARE = 10_000
 BLOCK = 16
+WIDTH = 128
+FEW = 8
 TILE = 1024
 
 
@@ -317,16 +319,29 @@ def _verify(near: DataFrame, parts: DataFrame | None, docs: DataFrame, size: int
     return _merged(parts, _linked(rest, sets, percent))
 
 
+def _narrow(marks: DataFrame) -> DataFrame:
+    """doc_id, signature: bitmaps folded to WIDTH bytes at most."""
+
+    def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        short = []
+        for mark in batch.column("signature"):
+            bits = np.frombuffer(mark.as_buffer(), np.uint8)[None]
+            short.append(folded(bits, min(WIDTH, bits.shape[1])).tobytes())
+        yield _table(doc_id=batch.column("doc_id"), signature=pa.array(short, pa.binary()))
+
+    return by_batch(marks.select("doc_id", "signature"), "doc_id long, signature binary", make)
+
+
 def _off_diagonal(rows: DataFrame, percent: int, tile: int) -> DataFrame:
     """From rows (token, doc, n, component, signature) of long postings: pairs of different components that pass the bounds.
 
     A tile has the sets of a size band against those of that band and the next, both cut into blocks by a hash.
-    A pair that meets in the tiles of several tokens comes from the least of them only.
+    Rows carry their bitmap folded to ``WIDTH`` bytes at most, and their ``FEW`` least tokens: a pair that meets
+    in the tiles of several tokens is left to the least of them, as far as those tell.
     """
     ratio = float(np.log(100 / percent))
     counts = rows.groupBy("token").agg(F.count("*").alias("rows"))
-    # At most as many as a prefix has.
-    tokens = rows.groupBy("doc").agg(F.collect_list("token").alias("tokens"))
+    tokens = rows.groupBy("doc").agg(F.slice(F.sort_array(F.collect_list("token")), 1, FEW).alias("tokens"))
     banded = (
         rows.join(counts, "token").join(tokens, "doc")
         .withColumn("blocks", F.ceil(F.col("rows") / tile).cast("int"))
@@ -395,8 +410,8 @@ def near_duplicates(
     placed = longer.join(parts.withColumnRenamed("doc_id", "doc"), "doc", "left").withColumn(
         "component", F.coalesce("component_id", "doc")).drop("component_id")
     mixed = placed.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    rows = placed.join(mixed.select("token"), "token", "left_semi").join(
-        marks.select(F.col("doc_id").alias("doc"), "signature"), "doc")
+    rows = pin(placed.join(mixed.select("token"), "token", "left_semi").join(
+        _narrow(marks).withColumnRenamed("doc_id", "doc"), "doc"), "rows")
     near = pin(_near(_off_diagonal(rows, percent, tile), marks, percent), "near")
     parts = _verify(near, parts, docs, size, percent)
     return (
