@@ -3,7 +3,8 @@
 The standard library's streaming parser turns a page into lines, one per block of text. Each line
 has a ratio: characters of text over the tags met since the line before. The ratios are smoothed by
 a Gaussian, and a line is content when its smoothed ratio, or its own, reaches a share of the
-standard deviation; runs of content lines are the regions. What a page says itself goes before the
+standard deviation; runs of content lines are the regions. A line with more tags than half its
+characters, as lists of links are, is none, whatever its neighbours. What a page says itself goes before the
 ratio: text in menus, headers, footers, sidebars, notices, adverts, forms and reader comments (by
 element, role, class or id) is never content, and when there is an ``article`` or ``main``, what it
 holds is content and nothing else is.
@@ -182,7 +183,8 @@ def main_text(html: str | None, sigma: float = SIGMA, share: float = SHARE) -> s
     mean = sum(smoothed) / len(smoothed)
     limit = share * math.sqrt(sum((x - mean) ** 2 for x in smoothed) / len(smoothed))
     return "\n".join(
-        text for (text, _, _), own, near in zip(lines, ratios, smoothed, strict=True) if max(own, near) >= limit
+        text for (text, tags, _), own, near in zip(lines, ratios, smoothed, strict=True)
+        if max(own, near) >= limit and (tags < 4 or own >= 2)
     )
 
 
