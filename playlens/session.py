@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -48,6 +50,7 @@ def shared_root(spark: SparkSession) -> str:
     app = context.applicationId
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="playlens-")
+        atexit.register(shutil.rmtree, _local_roots[app], ignore_errors=True)
     return _local_roots[app]
 
 
