@@ -30,15 +30,23 @@ def bit_set(ids: DataFrame, bits: int = BITS):
     return ids.sparkSession.sparkContext.broadcast(found)
 
 
+def with_place(docs: DataFrame, shared) -> DataFrame:
+    """doc_id, text, and the place of the id's bit."""
+    return docs.select(
+        "doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(len(shared.value) * 64)).alias("place"))
+
+
+def has_bit(batch: pa.RecordBatch, shared) -> np.ndarray:
+    """Which rows have their bit set; null ids aren't in any set."""
+    place = np.asarray(batch.column("place"))
+    there = (shared.value[place >> 6] >> (place & 63)) & 1 == 1
+    return there & np.asarray(batch.column("doc_id").is_valid())
+
+
 def among(docs: DataFrame, shared, inside: bool) -> DataFrame:
-    """The rows of ``docs`` (doc_id, text) whose bit is set, or those whose isn't; null ids aren't in any set."""
+    """The rows of ``docs`` (doc_id, text) whose bit is set, or those whose isn't."""
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        place = np.asarray(batch.column("place"))
-        there = (shared.value[place >> 6] >> (place & 63)) & 1 == 1
-        there &= np.asarray(batch.column("doc_id").is_valid())
-        yield batch.select(["doc_id", "text"]).filter(pa.array(there == inside))
+        yield batch.select(["doc_id", "text"]).filter(pa.array(has_bit(batch, shared) == inside))
 
-    placed = docs.select(
-        "doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(len(shared.value) * 64)).alias("place"))
-    return by_batch(placed, "doc_id long, text string", make)
+    return by_batch(with_place(docs, shared), "doc_id long, text string", make)

@@ -33,10 +33,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.components import components
-from llm.idset import among, bit_set
+from llm.idset import bit_set, has_bit, with_place
 from llm.tables import by_batch, table, typed
 from llm.words import LOWER, Texts, chunks, mix, runs, signed, span_hashes, whole, words
-from playlens.session import pin
+from playlens.session import pin, session_conf
 
 SIZE = 5
 PERCENT = 75
@@ -45,6 +45,8 @@ BLOCK = 16
 WIDTH = 128
 FEW = 8
 TILE = 1024
+#: Rows in an Arrow batch of texts or whole sets, of which a worker holds one at a time.
+HEAVY_ROWS = 2000
 
 
 def shingle_sets(texts: Texts, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
@@ -92,14 +94,19 @@ def _classes(docs: DataFrame, size: int, rare: int) -> DataFrame:
             bits.extend(signatures(row, value, n[-1]))
         if not every:
             return
-        value, count = np.unique(np.concatenate(every), return_counts=True)
-        often = count >= max(3, 2 * batch.num_rows // rare)
+        value = np.concatenate(every)
+        every.clear()
+        value.sort()
+        least = max(3, 2 * batch.num_rows // rare)
+        later = value[least - 1:]
+        often = np.unique(later[later == value[:len(later)]])
+        count = np.searchsorted(value, often, "right") - np.searchsorted(value, often)
         yield _table(kind=np.zeros(batch.num_rows, np.int32), doc_id=batch.column(0), n=np.concatenate(n),
                      d1=signed(np.concatenate(d1)), d2=signed(np.concatenate(d2)), signature=pa.array(bits, pa.binary()))
-        if often.any():
-            k = int(often.sum())
-            yield _table(kind=np.ones(k, np.int32), doc_id=pa.nulls(k, pa.int64()), n=count[often],
-                         d1=signed(value[often]), d2=np.zeros(k, np.int64), signature=pa.nulls(k, pa.binary()))
+        if len(often):
+            k = len(often)
+            yield _table(kind=np.ones(k, np.int32), doc_id=pa.nulls(k, pa.int64()), n=count,
+                         d1=signed(often), d2=np.zeros(k, np.int64), signature=pa.nulls(k, pa.binary()))
 
     return by_batch(docs, "kind int, doc_id long, n long, d1 long, d2 long, signature binary", make)
 
@@ -230,15 +237,16 @@ def _diagonal(postings: DataFrame, percent: int, block: int) -> DataFrame:
     return postings.mapInArrow(work, "kind int, token long, a long, b long, n int")
 
 
-def _sets(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, shingles: the sorted set."""
+def _sets(docs: DataFrame, size: int, shared) -> DataFrame:
+    """doc_id, shingles: the sorted set of each document whose bit is set in ``shared``."""
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        batch = batch.filter(pa.array(has_bit(batch, shared)))
         for texts in chunks(batch.column(1)):
             row, value = shingle_sets(texts, size)
             yield _table(doc_id=batch.column(0).slice(texts.first, len(texts)), shingles=_binaries(row, value, len(texts)))
 
-    return by_batch(docs, "doc_id long, shingles binary", make)
+    return by_batch(with_place(docs, shared), "doc_id long, shingles binary", make)
 
 
 def _overlap(a: np.ndarray, b: np.ndarray, na, nb) -> np.ndarray:
@@ -309,14 +317,14 @@ def _verify(near: DataFrame, parts: DataFrame | None, docs: DataFrame, size: int
     """Components after the links among ``near`` pairs. The likeliest partner of each document is
     tried first; then only pairs that would still join two components."""
     ids = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
-    wanted = among(docs, bit_set(ids), True).join(ids, "doc_id", "left_semi")
-    sets = pin(_sets(wanted, size), "sets")
-    best = near.groupBy("b").agg(F.max_by("a", F.struct("likeness", "a")).alias("a")).select("a", "b")
-    parts = _merged(parts, _linked(best, sets, percent))
-    of = [parts.select(F.col("doc_id").alias(c), F.col("component_id").alias(f"part_{c}")) for c in "ab"]
-    rest = near.join(best, ["a", "b"], "left_anti").join(of[0], "a", "left").join(of[1], "b", "left").where(
-        F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).select("a", "b")
-    return _merged(parts, _linked(rest, sets, percent))
+    with session_conf(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(HEAVY_ROWS)}):
+        sets = pin(_sets(docs, size, bit_set(ids)), "sets")
+        best = near.groupBy("b").agg(F.max_by("a", F.struct("likeness", "a")).alias("a")).select("a", "b")
+        parts = _merged(parts, _linked(best, sets, percent))
+        of = [parts.select(F.col("doc_id").alias(c), F.col("component_id").alias(f"part_{c}")) for c in "ab"]
+        rest = near.join(best, ["a", "b"], "left_anti").join(of[0], "a", "left").join(of[1], "b", "left").where(
+            F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).select("a", "b")
+        return _merged(parts, _linked(rest, sets, percent))
 
 
 def _narrow(marks: DataFrame) -> DataFrame:

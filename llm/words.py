@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes worked on at once: bounds memory; a longer text is worked on by itself.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
