@@ -340,18 +340,21 @@ def _narrow(marks: DataFrame) -> DataFrame:
     return by_batch(marks.select("doc_id", "signature"), "doc_id long, signature binary", make)
 
 
-def _off_diagonal(rows: DataFrame, percent: int, tile: int) -> DataFrame:
-    """From rows (token, doc, n, component, signature) of long postings: pairs of different components that pass the bounds.
+def _off_diagonal(rows: DataFrame, narrow: DataFrame, percent: int, tile: int) -> DataFrame:
+    """From rows (token, doc, n, component) of long postings and bitmaps (doc, signature): pairs of different components
+    that pass the bounds.
 
-    A tile has the sets of a size band against those of that band and the next, both cut into blocks by a hash.
+    A tile has the sets of a size band against those of that band and the next, both cut into blocks by a hash;
+    a set that would be on both sides of its tile is sent once.
     Rows carry their bitmap folded to ``WIDTH`` bytes at most, and their ``FEW`` least tokens: a pair that meets
     in the tiles of several tokens is left to the least of them, as far as those tell.
     """
     ratio = float(np.log(100 / percent))
     counts = rows.groupBy("token").agg(F.count("*").alias("rows"))
     tokens = rows.groupBy("doc").agg(F.slice(F.sort_array(F.collect_list("token")), 1, FEW).alias("tokens"))
+    # Bitmaps come last, so that rows are short while they are shuffled by token.
     banded = (
-        rows.join(counts, "token").join(tokens, "doc")
+        rows.join(counts, "token").join(tokens.join(narrow, "doc"), "doc")
         .withColumn("blocks", F.ceil(F.col("rows") / tile).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
         # Rounded down a little, so that no two sizes in range are two bands apart.
@@ -362,7 +365,7 @@ def _off_diagonal(rows: DataFrame, percent: int, tile: int) -> DataFrame:
         "token", F.col("band").alias("low"), F.col("block").alias("i"), F.col("other").alias("j"), F.lit(0).alias("side"),
         "doc", "n", "band", "component", "signature", "tokens")
     right = banded.select("*", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("low")).select(
-        "*", others.alias("other")).select(
+        "*", others.alias("other")).where("low < band OR other <> block").select(
         "token", "low", F.col("other").alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"),
         "doc", "n", "band", "component", "signature", "tokens")
 
@@ -371,7 +374,9 @@ def _off_diagonal(rows: DataFrame, percent: int, tile: int) -> DataFrame:
         held = group.column("signature").combine_chunks()
         width = pc.min(pc.binary_length(held)).as_py()
         sig = np.concatenate([folded(np.frombuffer(x.as_buffer(), np.uint8)[None], width) for x in held])
-        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        left = np.flatnonzero(side == 0)
+        own_block = group.column("i")[0].as_py() == group.column("j")[0].as_py()
+        right = np.arange(len(side)) if own_block else np.flatnonzero(side == 1)
         token, tokens = group.column("token")[0].as_py(), group.column("tokens").to_pylist()
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i in left:
@@ -418,9 +423,9 @@ def near_duplicates(
     placed = longer.join(parts.withColumnRenamed("doc_id", "doc"), "doc", "left").withColumn(
         "component", F.coalesce("component_id", "doc")).drop("component_id")
     mixed = placed.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    rows = pin(placed.join(mixed.select("token"), "token", "left_semi").join(
-        _narrow(marks).withColumnRenamed("doc_id", "doc"), "doc"), "rows")
-    near = pin(_near(_off_diagonal(rows, percent, tile), marks, percent), "near")
+    rows = pin(placed.join(mixed.select("token"), "token", "left_semi"), "rows")
+    narrow = _narrow(marks).withColumnRenamed("doc_id", "doc")
+    near = pin(_near(_off_diagonal(rows, narrow, percent, tile), marks, percent), "near")
     parts = _verify(near, parts, docs, size, percent)
     return (
         members.join(reps, ["n", "d1", "d2"], "left")
