@@ -4,7 +4,8 @@
    occur once in a document are its rare lines. For each rare line of the corpus its first holder,
    the document with the least id, is found; every later holder makes a pair with it. So each
    holder makes one pair however many there are, and a line that a third of all documents share
-   makes no more pairs than others.
+   makes no more pairs than others. Short lines may have unrelated first holders, so the shortest runs of lines that
+   have ``least_words`` words are keys as well: every block that can go begins with such a run or with a long line.
 2. A pair's line hashes are aligned by patience diff: lines unique in both, put in order by a
    longest increasing run, are extended over equal neighbours, and the gaps between are aligned
    again.
@@ -31,14 +32,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from llm.tables import by_batch, table, typed
-from llm.words import chunks, signed, span_hashes, words
+from llm.words import chunks, range_hashes, signed, span_hashes, words
 from playlens.session import pin
 
 LEAST_WORDS = 10
 
 
-def _hashed(docs: DataFrame) -> DataFrame:
-    """doc_id, lines (hash, and words in each; in order, blank lines left out)."""
+def _hashed(docs: DataFrame, least_words: int) -> DataFrame:
+    """doc_id, lines (hash, and words in each; in order, blank lines left out), starts (hashes of the shortest runs of
+    two lines or more that have ``least_words`` words, one for each line that begins one)."""
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids = batch.column(0)
@@ -54,12 +56,20 @@ def _hashed(docs: DataFrame) -> DataFrame:
             hashes = signed(span_hashes(texts.data, found.start[first], found.end[last]))
             counts = np.bincount(found.row[first], minlength=len(texts))
             offsets = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
+            sizes = last - first + 1
+            before = np.concatenate(([0], np.cumsum(sizes)))
+            stop = np.searchsorted(before, before[:-1] + least_words)  # the run of line i is i to stop, without it
+            begins = np.flatnonzero((sizes < least_words) & (stop <= np.cumsum(counts)[found.row[first]]))
+            n_runs = np.bincount(found.row[first][begins], minlength=len(texts))
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(texts.first, len(texts)), pa.ListArray.from_arrays(offsets, pa.array(hashes)),
-                 pa.ListArray.from_arrays(offsets, pa.array((last - first + 1).astype(np.int32)))],
-                names=["doc_id", "lines", "sizes"])
+                 pa.ListArray.from_arrays(offsets, pa.array(sizes.astype(np.int32))),
+                 pa.ListArray.from_arrays(
+                     pa.array(np.concatenate(([0], np.cumsum(n_runs))).astype(np.int32)),
+                     pa.array(signed(range_hashes(hashes.view(np.uint64), begins, stop[begins]))))],
+                names=["doc_id", "lines", "sizes", "starts"])
 
-    return by_batch(docs, "doc_id long, lines array<long>, sizes array<int>", make)
+    return by_batch(docs, "doc_id long, lines array<long>, sizes array<int>, starts array<long>", make)
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
@@ -174,8 +184,8 @@ def _delete(marked: DataFrame, text: str) -> DataFrame:
 
 def common_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """doc_id, gone: places of the lines of ``docs`` (doc_id, text) that are to go, blank lines not counted."""
-    hashed = pin(_hashed(docs.where("doc_id IS NOT NULL")), "lines")
-    exploded = hashed.select("doc_id", F.explode("lines").alias("line"))
+    hashed = pin(_hashed(docs.where("doc_id IS NOT NULL"), least_words), "lines")
+    exploded = hashed.select("doc_id", F.explode(F.concat("lines", "starts")).alias("line"))
     rare = exploded.groupBy("doc_id", "line").agg(F.count("*").alias("n")).where("n = 1").select("doc_id", "line")
     first = rare.groupBy("line").agg(F.min("doc_id").alias("earlier"), F.max("doc_id").alias("last")).where("earlier < last")
     pairs = (

@@ -378,6 +378,15 @@ def test_line_blocks(spark):
         1: (docs[0][1], 3, 0), 2: ("own\n\nend", 4, 2), 3: (docs[2][1], 2, 0), 4: (docs[3][1], 2, 0), 5: ("", 1, 1)}
 
 
+def test_line_blocks_of_short_lines(spark):
+    """The lines of the block are each first held by a document of their own; only 3 has all of it."""
+    block = ["one two three four five", "six seven eight nine ten", "eleven twelve"]
+    docs = [(k, f"own {k} a\n{line}\nown {k} b") for k, line in enumerate(block)]
+    docs += [(3, "begin\n" + "\n".join(block) + "\nmiddle"), (4, "another\n" + "\n".join(block) + "\nend of it")]
+    got = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r.doc_id: r.text for r in got.collect()} == dict(docs) | {4: "another\nend of it"}
+
+
 def test_pipeline(spark):
     docs = {r["doc_id"]: r for r in rows_of(SMALL, "documents")}
     bench = [(r["item_id"], r["text"]) for r in rows_of(SMALL, "benchmark")]
