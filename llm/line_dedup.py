@@ -1,21 +1,22 @@
 """Line dedup by pairwise alignment: shared rare lines find overlapping documents, patience diff aligns them.
 
-1. Lines (parts between line feeds, with a word) are hashed, blanks at their ends aside. Lines that
-   occur once in a document are its rare lines. For each rare line of the corpus its first holder,
-   the document with the least id, is found; every later holder makes a pair with it. So each
-   holder makes one pair however many there are, and a line that a third of all documents share
+1. Lines (parts between line feeds, with a word) are hashed, blanks at their ends aside. For each line
+   of the corpus its first holder, the document with the least id, is found; every later holder makes
+   a pair with it, and with the first that has it just once, where that is another. So each
+   holder makes two pairs at most however many there are, and a line that a third of all documents share
    makes no more pairs than others. Short lines may have unrelated first holders, so the shortest runs of lines that
    have ``least_words`` words are keys as well: every block that can go begins with such a run or with a long line.
 2. A pair's line hashes are aligned by patience diff: lines unique in both, put in order by a
    longest increasing run, are extended over equal neighbours, and the gaps between are aligned
-   again.
-3. An aligned common block of ``least_words`` words or more is deleted from the later document.
+   again. Where none is unique in both, those of equal number (first, second, ...) in both take their place.
+3. An aligned common block of ``least_words`` words or more is deleted from the later document. What
+   is left is aligned again while more is found, so a block that the later document has twice goes twice.
    Pairs are judged on the texts as given, not on what is left. Since the first holder of a line
    keeps it, one copy of every line stays.
 
 A document that loses nothing keeps its text unchanged; otherwise the lines kept are joined by line
 feeds. Null and empty texts have no lines and lose nothing. Rows of one id are one document: a line
-in any of them is held by it, and they delete nothing from each other; rows with a null id are left
+in any of them is held by it, they delete nothing from each other, and each loses its own lines; rows with a null id are left
 alone. Whole copies lose all their lines and end empty. Further columns are ignored.
 """
 
@@ -39,7 +40,7 @@ LEAST_WORDS = 10
 
 
 def _hashed(docs: DataFrame, least_words: int) -> DataFrame:
-    """doc_id, lines (hash, and words in each; in order, blank lines left out), starts (hashes of the shortest runs of
+    """doc_id, version (hash of the text), lines (hash, and words in each; in order, blank lines left out), starts (hashes of the shortest runs of
     two lines or more that have ``least_words`` words, one for each line that begins one)."""
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -62,14 +63,16 @@ def _hashed(docs: DataFrame, least_words: int) -> DataFrame:
             begins = np.flatnonzero((sizes < least_words) & (stop <= np.cumsum(counts)[found.row[first]]))
             n_runs = np.bincount(found.row[first][begins], minlength=len(texts))
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(texts.first, len(texts)), pa.ListArray.from_arrays(offsets, pa.array(hashes)),
+                [ids.slice(texts.first, len(texts)), batch.column(2).slice(texts.first, len(texts)),
+                 pa.ListArray.from_arrays(offsets, pa.array(hashes)),
                  pa.ListArray.from_arrays(offsets, pa.array(sizes.astype(np.int32))),
                  pa.ListArray.from_arrays(
                      pa.array(np.concatenate(([0], np.cumsum(n_runs))).astype(np.int32)),
                      pa.array(signed(range_hashes(hashes.view(np.uint64), begins, stop[begins]))))],
-                names=["doc_id", "lines", "sizes", "starts"])
+                names=["doc_id", "version", "lines", "sizes", "starts"])
 
-    return by_batch(docs, "doc_id long, lines array<long>, sizes array<int>, starts array<long>", make)
+    versions = docs.select("doc_id", "text", F.xxhash64("text").alias("version"))
+    return by_batch(versions, "doc_id long, version long, lines array<long>, sizes array<int>, starts array<long>", make)
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
@@ -94,6 +97,9 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
         in_a, in_b = Counter(a[a0:a1]), Counter(b[b0:b1])
         where = {x: i for i, x in enumerate(b[b0:b1], b0) if in_b[x] == 1}
         anchors = _rising([(i, where[x]) for i, x in enumerate(a[a0:a1], a0) if in_a[x] == 1 and x in where])
+        if not anchors:
+            numbered = {x: i for i, x in _numbered(b, b0, b1)}
+            anchors = _rising([(i, numbered[x]) for i, x in _numbered(a, a0, a1) if x in numbered])
         if not anchors:
             continue
         for (i, j), (k, m) in zip([(a0, b0), *anchors], [*anchors, (a1, b1)], strict=True):
@@ -103,6 +109,14 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
     return _joined(sorted(out))
 
 
+def _numbered(lines: list[int], low: int, high: int) -> Iterator[tuple[int, tuple[int, int]]]:
+    """Place, and line with how often it came before, of the lines from ``low`` to ``high``."""
+    seen: Counter = Counter()
+    for i in range(low, high):
+        yield i, (lines[i], seen[lines[i]])
+        seen[lines[i]] += 1
+
+
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Longest run of pairs, sorted by their first number, in which the second rises."""
     tops: list[int] = []
@@ -133,25 +147,41 @@ def _joined(blocks: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     return out
 
 
+def common_places(own: list, sizes: list[int], other: list, least_words: int) -> list[int]:
+    """Places in ``own`` of the aligned blocks; found ones are taken out, and what they parted stays apart."""
+    found: list[int] = []
+    own = list(own)
+    while True:
+        new = [
+            place
+            for at, _, n in patience(own, other) if sum(sizes[at:at + n]) >= least_words
+            for place in range(at, at + n)
+        ]
+        if not new:
+            return found
+        found += new
+        for place in new:
+            own[place] = ~place, None  # equal to no line
+
+
 def _deletions(pairs: DataFrame, least_words: int) -> DataFrame:
-    """doc_id, gone: places of lines to delete, for each pair that has any."""
+    """doc_id, version, gone: places of lines to delete, for each pair that has any."""
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids, gone = [], []
-        columns = [batch.column(c).to_pylist() for c in ("later", "later_lines", "later_sizes", "earlier_lines")]
-        for later, own, sizes, other in zip(*columns, strict=True):
-            found = [
-                place
-                for at, _, n in patience(own, other) if sum(sizes[at:at + n]) >= least_words
-                for place in range(at, at + n)
-            ]
+        ids, versions, gone = [], [], []
+        columns = [
+            batch.column(c).to_pylist() for c in ("later", "version", "later_lines", "later_sizes", "earlier_lines")]
+        for later, version, own, sizes, other in zip(*columns, strict=True):
+            found = common_places(own, sizes, other, least_words)
             if found:
                 ids.append(later)
+                versions.append(version)
                 gone.append(found)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(gone, pa.list_(pa.int32()))], names=["doc_id", "gone"])
+            [pa.array(ids, pa.int64()), pa.array(versions, pa.int64()), pa.array(gone, pa.list_(pa.int32()))],
+            names=["doc_id", "version", "gone"])
 
-    return by_batch(pairs, "doc_id long, gone array<int>", make)
+    return by_batch(pairs, "doc_id long, version long, gone array<int>", make)
 
 
 def _delete(marked: DataFrame, text: str) -> DataFrame:
@@ -183,28 +213,34 @@ def _delete(marked: DataFrame, text: str) -> DataFrame:
 
 
 def common_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """doc_id, gone: places of the lines of ``docs`` (doc_id, text) that are to go, blank lines not counted."""
+    """doc_id, version, gone: places of the lines of ``docs`` (doc_id, text) that are to go, blank lines not counted."""
     hashed = pin(_hashed(docs.where("doc_id IS NOT NULL"), least_words), "lines")
     exploded = hashed.select("doc_id", F.explode(F.concat("lines", "starts")).alias("line"))
-    rare = exploded.groupBy("doc_id", "line").agg(F.count("*").alias("n")).where("n = 1").select("doc_id", "line")
-    first = rare.groupBy("line").agg(F.min("doc_id").alias("earlier"), F.max("doc_id").alias("last")).where("earlier < last")
+    held = exploded.groupBy("doc_id", "line").agg(F.count("*").alias("n"))
+    first = held.groupBy("line").agg(
+        F.min("doc_id").alias("earlier"), F.min(F.when(F.col("n") == 1, F.col("doc_id"))).alias("once"),
+        F.max("doc_id").alias("last"),
+    ).where("earlier < last")
     pairs = (
-        rare.join(first.select("line", "earlier"), "line").where("doc_id > earlier")
-        .select(F.col("doc_id").alias("later"), "earlier").distinct()
+        held.select("doc_id", "line").join(first.select("line", "earlier", "once"), "line").where("doc_id > earlier")
+        .select(F.col("doc_id").alias("later"), F.explode(F.array("earlier", "once")).alias("earlier"))
+        .where("later > earlier").distinct()
     )
     pairs = pin(pairs, "pairs")
     earlier = hashed.select(F.col("doc_id").alias("earlier"), F.col("lines").alias("earlier_lines"))
     later = hashed.select(
-        F.col("doc_id").alias("later"), F.col("lines").alias("later_lines"), F.col("sizes").alias("later_sizes"))
+        F.col("doc_id").alias("later"), "version", F.col("lines").alias("later_lines"), F.col("sizes").alias("later_sizes"))
     gone = _deletions(pairs.join(earlier, "earlier").join(later, "later"), least_words)
-    return gone.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
+    return gone.groupBy("doc_id", "version").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
     """The rows of ``docs`` with all their columns, in ``text`` what is left; then n_lines with a word, n_removed of them."""
-    gone = common_lines(typed(docs, doc_id, text), least_words).select(F.col("doc_id").alias("__id"), F.col("gone").alias("__gone"))
+    gone = common_lines(typed(docs, doc_id, text), least_words).select(
+        F.col("doc_id").alias("__id"), F.col("version").alias("__version"), F.col("gone").alias("__gone"))
     columns = [docs[c] for c in docs.columns]
-    marked = docs.join(gone, docs[doc_id].cast("long") == gone["__id"], "left").select(*columns, "__gone")
+    same = (docs[doc_id].cast("long") == gone["__id"]) & (F.xxhash64(docs[text].cast("string")) == gone["__version"])
+    marked = docs.join(gone, same, "left").select(*columns, "__gone")
     return _delete(marked, text)
 
 

@@ -387,6 +387,16 @@ def test_line_blocks_of_short_lines(spark):
     assert {r.doc_id: r.text for r in got.collect()} == dict(docs) | {4: "another\nend of it"}
 
 
+def test_lines_held_twice(spark):
+    """Lines that the first or the later holder has twice, doubled texts, and rows of one id."""
+    one, two = "a line of as many as ten words in all here", "another line of as many as ten words in all too"
+    docs = [(1, f"a\n{one}\nb\n{one}\nc"), (2, f"x\n{one}\ny"), (3, f"p\n{one}\nq\n{one}\nr"), (4, f"{one}\n{one}"),
+            (5, f"s\n{two}"), (5, f"s\n{two}"), (5, f"{two}\nt\n{one}"), (6, f"u\n{two}")]
+    got = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == [
+        (1, docs[0][1]), (2, "x\ny"), (3, "p\nq\nr"), (4, ""), (5, f"{two}\nt"), (5, docs[4][1]), (5, docs[4][1]), (6, "u")]
+
+
 def test_pipeline(spark):
     docs = {r["doc_id"]: r for r in rows_of(SMALL, "documents")}
     bench = [(r["item_id"], r["text"]) for r in rows_of(SMALL, "benchmark")]
