@@ -46,8 +46,9 @@ def anchored(texts: Texts, size: int, gram: int) -> Anchored:
     return Anchored(found, hashes, window, anchor[window], grams[anchor[window]])
 
 
-def shared_keys(docs: DataFrame, size: int, gram: int, heavy: int) -> DataFrame:
-    """doc_id, keys, heavy: the anchors of each document that another has too, and which of them more than ``heavy`` have.
+def shared_keys(docs: DataFrame, size: int, gram: int, heavy: int, places: bool = False) -> DataFrame:
+    """doc_id, keys, heavy: the anchors of each document that another has too, and which of them more than ``heavy`` have,
+    or with ``places`` stand in more than ``heavy`` places.
 
     One shuffle, of (key, doc_id); a document sends a key once.
     """
@@ -59,15 +60,16 @@ def shared_keys(docs: DataFrame, size: int, gram: int, heavy: int) -> DataFrame:
             row = found.words.row[found.window]
             new = np.ones(len(row), bool)
             new[1:] = (found.anchor[1:] != found.anchor[:-1]) | (row[1:] != row[:-1])
-            pairs = np.unique(np.rec.fromarrays((row[new], found.keys[new])))
+            pairs, times = np.unique(np.rec.fromarrays((row[new], found.keys[new])), return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(pairs["f1"].copy())), pa.array(ids[texts.first + pairs["f0"]])], names=["key", "doc_id"])
+                [pa.array(signed(pairs["f1"].copy())), pa.array(ids[texts.first + pairs["f0"]]),
+                 pa.array(times.astype(np.int32))], names=["key", "doc_id", "times"])
 
-    rows = by_batch(docs, "key long, doc_id long", make)
+    rows = by_batch(docs, "key long, doc_id long, times int", make)
     same = Window.partitionBy("key")
     return (
         rows.select("key", "doc_id", F.min("doc_id").over(same).alias("first"), F.max("doc_id").over(same).alias("last"),
-                    F.count("*").over(same).alias("n"))
+                    (F.sum("times") if places else F.count("*")).over(same).alias("n"))
         .where("first < last")
         .groupBy("doc_id").agg(F.collect_list("key").alias("keys"), F.collect_list(F.col("n") > heavy).alias("heavy"))
     )

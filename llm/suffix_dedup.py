@@ -13,12 +13,15 @@
    that is another, with the earliest document of the matches in progress, so that copies whose
    neighbours are all later still find the first.
 
+4. Where a k-gram stands in more than two places, others may be sorted between the two ends of a match in
+   both orders. Windows of ``size`` words at such k-grams are grouped by the window itself as well, and each
+   is removed from all documents but the first that has it.
+
 A longer passage is covered by the matches at all its minimisers, each of which reaches at most
-``size`` words to either side. A match can be missed only where others are sorted between its two
-ends in both orders, agreeing with them on one side and too little on the other; tests measure this
-against brute force. What is removed always stands, in full, in a document with a smaller id.
+``size`` words to either side, so nothing is missed. What is removed always stands, in full, in a document
+with a smaller id.
 
-Words are compared by 32-bit hashes, over ``size`` words and more. Null and empty texts have no words.
+Words are compared by 32-bit hashes, over ``size`` words and more; windows of step 4 by 64-bit hashes. Null and empty texts have no words.
 Rows of one id are one document. Rows with a null id keep all words and remove none. Further columns
 are ignored.
 """
@@ -31,11 +34,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from llm.anchors import anchored, marked, shared_keys
 from llm.spans import remove_spans, runs_of_words
 from llm.tables import by_batch, table, typed
-from llm.words import chunks, signed
+from llm.words import chunks, runs, signed
+from playlens.session import pin
 
 SIZE = 50
 GRAM = 8
@@ -156,14 +161,40 @@ def _one(right, left, r_len, l_len, i: int, j: int) -> int:
     return total
 
 
+def _windows(docs: DataFrame, size: int, gram: int) -> DataFrame:
+    """window (hash), doc_id, at (its first word): the windows whose anchor is flagged."""
+
+    def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        ids, keys, flags = np.asarray(batch.column(0)), batch.column(2), batch.column(3)
+        for texts in chunks(batch.column(1)):
+            found = anchored(texts, size, gram)
+            if not len(found.window):
+                continue
+            at = found.window[marked(found, texts, keys, flags)[1]]
+            row = found.words.row[at]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(signed(runs(found.hashes, size)[at])), pa.array(ids[texts.first + row]),
+                 pa.array((at - found.words.offsets()[row]).astype(np.int32))], names=["window", "doc_id", "at"])
+
+    return by_batch(docs, "window long, doc_id long, at int", make)
+
+
+def _later(windows: DataFrame, size: int) -> DataFrame:
+    """doc_id, at, n: the windows that an earlier document has."""
+    held = windows.groupBy("window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    return windows.join(held, "window").where("doc_id > first").select("doc_id", "at", F.lit(size).alias("n"))
+
+
 def repeated_passages(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
     """doc_id, at, n: words of ``docs`` (doc_id, text) in passages that an earlier document has."""
     known = docs.where("doc_id IS NOT NULL")
-    keys = shared_keys(known, size, gram, heavy=0)
-    suffixes = _suffixes(known.join(keys, "doc_id").select("doc_id", "text", "keys", "heavy"), size, gram)
+    keys = pin(shared_keys(known, size, gram, heavy=2, places=True), "keys")
+    shared = known.join(keys, "doc_id").select("doc_id", "text", "keys", "heavy")
+    suffixes = _suffixes(shared, size, gram)
     dealt = suffixes.repartition("key")
     forward, backward = (dealt.sortWithinPartitions("key", side, "doc_id", "at") for side in ("right", "left"))
-    return _neighbours(forward, size, gram).union(_neighbours(backward, size, gram))
+    between = _later(_windows(shared.where("exists(heavy, x -> x)"), size, gram), size)
+    return _neighbours(forward, size, gram).union(_neighbours(backward, size, gram)).union(between)
 
 
 def dedup_passages(

@@ -172,6 +172,27 @@ def test_suffix_dedup(spark):
     assert found >= 0.999 * there
 
 
+@pytest.mark.parametrize("kinds", [5, 10])
+def test_suffix_dedup_recombined(spark, kinds):
+    """Passages of 20 + 20 + 20 words whose ends are drawn from few: others lie between equal ones in both orders."""
+    import random
+
+    r = random.Random(kinds)
+
+    def fresh(n):
+        return [f"w{r.randrange(10 ** 9)}" for _ in range(n)]
+
+    befores, afters, middle = [fresh(20) for _ in range(kinds)], [fresh(20) for _ in range(kinds)], fresh(20)
+    rows = []
+    for i in range(300):
+        before = r.choice(befores) if r.random() < 0.6 else fresh(20)
+        after = r.choice(afters) if r.random() < 0.6 else fresh(20)
+        rows.append((i, " ".join(fresh(30) + before + middle + after + fresh(30))))
+    rows += [(300 + k, rows[k][1] + " " + " ".join(fresh(5)) + " " + rows[k + 1][1]) for k in range(20)]
+    got = suffix_dedup.dedup_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {x.doc_id: (x.n_words, x.n_removed, x.kept_sha256) for x in got.collect()} == brute_windows(rows, 50)
+
+
 def test_anchors_of_equal_windows_agree():
     import pyarrow as pa
     from llm.words import chunks
