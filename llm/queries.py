@@ -7,6 +7,7 @@ from llm import (
     decontaminate,
     html,
     line_dedup,
+    merkle,
     mixing,
     ngram_join,
     quality,
@@ -26,6 +27,7 @@ _QUERIES = (
     decontaminate.op8_decontamination,
     line_dedup.op9_line_dedup,
     suffix_dedup.op10_suffix_dedup,
+    merkle.op13_merkle_manifest,
 )
 
 QUERIES = {query.__name__: query for query in _QUERIES}
