@@ -9,8 +9,10 @@ from llm import (
     line_dedup,
     merkle,
     mixing,
+    neighbours,
     ngram_join,
     quality,
+    repair,
     substring_dedup,
     suffix_dedup,
     toxicity,
@@ -27,6 +29,8 @@ _QUERIES = (
     decontaminate.op8_decontamination,
     line_dedup.op9_line_dedup,
     suffix_dedup.op10_suffix_dedup,
+    neighbours.op11_nearest_neighbours,
+    repair.op12_conversation_repair,
     merkle.op13_merkle_manifest,
 )
 
