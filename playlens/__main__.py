@@ -38,8 +38,8 @@ def _tune(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _prepare(spark: SparkSession, args: argparse.Namespace, imported: bool) -> None:
-    jobs.prepare_users(spark, args.users, args.banners, args.out, args.location,
-                       imported=imported, buckets=args.buckets)
+    jobs.prepare_users(spark, args.users, args.banners, args.out, args.location, imported=imported, buckets=args.buckets,
+                       keep=args.keep, keep_millis=args.keep_hours * 3_600_000)
 
 
 def _suggest(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -50,7 +50,8 @@ def _suggest(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 TOPIC = ["servers", "checkpoint", f"topics={constants.EVENT_TOPIC}", "since:0"]
-USERS = ["users", "banners", "out", "location", f"buckets:{user_table.BUCKETS}"]
+USERS = ["users", "banners", "out", "location", f"buckets:{user_table.BUCKETS}", f"keep:{user_table.KEPT}",
+         f"keep-hours:{user_table.KEPT_MILLIS // 3_600_000}"]
 BLOCKS = f"blocks:{recommend.BLOCKS}"
 
 JOBS = {
@@ -66,10 +67,12 @@ JOBS = {
     ),
     "check-events": (
         lambda spark, a: jobs.check_events(
-            spark, _topic(spark, a), a.location, a.checkpoint, servers=a.servers
+            spark, _topic(spark, a), a.location, a.checkpoint, servers=a.servers, rejects=a.rejects
         ).awaitTermination(),
-        [*TOPIC, "location", "starting=latest"],
+        [*TOPIC, "location", "rejects=", "starting=latest"],
     ),
+    "present-plays": (
+        lambda spark, a: jobs.present_plays(spark, a.checkpoint, a.out, a.mode), ["checkpoint", "out", "mode=error"]),
     "reject-events": (
         lambda spark, a: jobs.reject_events(
             spark, _topic(spark, a), a.location, a.out, a.checkpoint

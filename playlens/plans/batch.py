@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -480,6 +481,23 @@ def user_table_loads(t: Tables) -> DataFrame:
     return user_table.current_users(t.spark, location)
 
 
+@query(f"""
+    WITH {s.USER_BANNER_SQL}, loads AS (
+        SELECT user_id, banner, k FROM user_banner, range(0, 5) r(k) WHERE CAST(user_id AS BIGINT) % 7 >= k)
+    SELECT user_id, CASE WHEN max(k) = 0 THEN max(banner) ELSE 'L' || max(k) END AS banner, CAST(0 AS BIGINT) AS plays
+    FROM loads GROUP BY user_id""")
+def user_table_deltas(t: Tables) -> DataFrame:
+    """Five loads, each of fewer users than the one before, with the deltas of three merged after the fourth."""
+    location, users = scratch_path(t.spark, "user-table"), pin(match_banners(t.users, t.banners), "matched")
+    for k in range(5):
+        load = users.filter(F.col("user_id").cast("bigint") % 7 >= k)
+        load = load.withColumn("banner", F.lit(f"L{k}")) if k else load
+        user_table.upsert_users(t.spark, location, load, k + 1, buckets=4, delta_share=100.0)
+        if k == 3:
+            user_table.compact(t.spark, location)
+    return user_table.current_users(t.spark, location)
+
+
 @query(f"""
     WITH {s.USER_BANNER_SQL}
     SELECT DISTINCT CAST(e.user_id AS VARCHAR) AS user_id, coalesce(b.banner, '?') AS banner,
@@ -523,6 +541,19 @@ def user_banner_files(t: Tables) -> DataFrame:
     return files.read_stamped(t.spark, path, stamp)
 
 
+@query(f'WITH {s.IDS_SQL} SELECT user_id AS id, "user" + 1 AS rank FROM user_ids')
+def failed_replacement(t: Tables) -> DataFrame:
+    """A map whose replacement fails in the middle of the write: the rows of before are still there."""
+    path, ranks = scratch_path(t.spark, "id-map"), ids.dense_ids(t.plays, "user_id", "rank", start=1)
+    files.write_id_map(ranks, path)
+    broken = ranks.withColumn("rank", F.when(F.col("rank") % 5 == 0, F.raise_error(F.lit("broken")).cast("bigint")).otherwise(0))
+    try:
+        files.write_id_map(broken, path, mode="overwrite")
+    except PySparkException:
+        return lines.read_id_map(t.spark, path)
+    raise AssertionError("the replacement should have failed")
+
+
 @query(f'WITH {s.IDS_SQL} SELECT user_id AS id, "user" + 1 AS rank FROM user_ids')
 def replaced_files(t: Tables) -> DataFrame:
     """A map written over another one: only the later is left."""

@@ -11,6 +11,7 @@ job                 work
 ``check_events``    stream: a banner message on every tenth play
 ``reject_events``   stream: the events it leaves out
 ``count_plays``     stream: the running total of each user
+``present_plays``   the counters a stream holds now
 ``suggest``         stream: recommend the best artist of each micro-batch
 ``replay``          publish a file of events to a topic
 ``archive_topic``   keep the raw topic
@@ -35,11 +36,11 @@ from playlens.streaming import archive, counter, replay as replay_stream, sugges
 
 def prepare_users(spark: SparkSession, users_path: str, banners_path: str, out: str,
                   location: str, load_ts: int | None = None, imported: bool = False,
-                  buckets: int = user_table.BUCKETS) -> int:
+                  buckets: int = user_table.BUCKETS, **loading) -> int:
     """Clean users and their banners under a run stamp, then into the user table at ``location``.
 
     ``imported`` users are the parquet of ``import_table``, others are text lines. Of several rows
-    of a user the one registered last counts.
+    of a user the one registered last counts. ``loading``: settings of ``user_table.upsert_users``.
     """
     load_ts = files.now_millis() if load_ts is None else load_ts
     if imported:
@@ -55,7 +56,8 @@ def prepare_users(spark: SparkSession, users_path: str, banners_path: str, out:
     matched = pin(match_banners(spark.read.schema(users.rows.schema).parquet(clean), banners.rows), "matched")
     files.write_stamped(matched.select("user_id", "banner"), f"{out}/user_banner", load_ts)
     user_table.upsert_users(
-        spark, location, matched, load_ts, order_by=F.struct("date", "extra", "banner"), buckets=buckets)
+        spark, location, matched, load_ts, order_by=F.struct("date", "extra", "banner"), buckets=buckets,
+        **loading)
     return load_ts
 
 
@@ -120,46 +122,100 @@ def train_model(spark: SparkSession, plays_path: str, out: str, mode: str = "err
     return model
 
 
-def _start_beside(spark: SparkSession, location: str, writer, checkpoint: str, **starting) -> StreamingQuery:
-    """Start a stream that joins the user table with as many partitions as the table has buckets:
-    the join then takes the table as it lies, without a shuffle or sort in each micro-batch."""
-    snapshot = user_table.latest(spark, location)
-    partitions = snapshot.buckets if snapshot else user_table.BUCKETS
+class Following(NamedTuple):
+    """A stream that lands plays of the users known at the time, and one that counts what has landed."""
+
+    landing: StreamingQuery
+    counting: StreamingQuery
+
+    def processAllAvailable(self) -> None:
+        self.landing.processAllAvailable()
+        self.counting.processAllAvailable()
+
+    def stop(self) -> None:
+        self.landing.stop()
+        self.counting.stop()
+
+    def awaitTermination(self) -> None:
+        """Wait for both; when one ends by an error, the other is stopped and the error raised."""
+        try:
+            while self.landing.isActive and self.counting.isActive:
+                self.landing.awaitTermination(1)
+            if not self.landing.isActive:
+                self.landing.awaitTermination()
+            self.counting.awaitTermination()
+        finally:
+            self.stop()
+
+
+def _land(spark: SparkSession, wire: DataFrame, location: str, out: str, checkpoint: str,
+          rejects: str | None = None, **starting) -> StreamingQuery:
+    """Start the landing stream, with as many partitions as the user table has buckets: a micro-batch then reads the
+    table as it lies, without a shuffle or sort."""
+    last = user_table.latest(spark, location)
     settings = {
-        "spark.sql.shuffle.partitions": str(partitions),
-        # Else a scan by buckets is turned off again although the counter's state relies on its partitions.
+        "spark.sql.shuffle.partitions": str(last.buckets if last else user_table.BUCKETS),
         "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
     }
+    sink = counter.landing_sink(location, out, rejects)
     with session_conf(spark, settings):
-        return topics.start(spark, writer, checkpoint, **starting)
+        return topics.start(spark, topics.batch_writer(counter.event_users(wire), sink), checkpoint, **starting)
+
+
+def _follow(spark: SparkSession, wire: DataFrame, location: str, checkpoint: str, writer, rejects: str | None = None,
+            **starting) -> Following:
+    """Land plays below ``checkpoint`` and count them; ``writer`` makes the counter's writer from what has landed."""
+    landed = f"{checkpoint}/landed"
+    landing = _land(spark, wire, location, landed, f"{checkpoint}/landing", rejects, **starting)
+    if starting.get("available_now"):
+        landing.awaitTermination()
+    counting = topics.start(spark, writer(counter.read_landed(spark, landed)), counter_checkpoint(checkpoint), **starting)
+    return Following(landing, counting)
+
+
+def counter_checkpoint(checkpoint: str) -> str:
+    """Where the counter of ``check_events`` or ``count_plays`` keeps its state, for ``counter.plays_in_state``."""
+    return f"{checkpoint}/counting"
 
 
 def count_plays(spark: SparkSession, wire: DataFrame, location: str, out: str, checkpoint: str,
-                **starting) -> StreamingQuery:
+                **starting) -> Following:
     """Running totals as (user_id, plays) files per micro-batch; ``counter.latest_plays`` reads them."""
-    totals = counter.plays_stream(wire, user_table.current_users(spark, location))
-    writer = topics.batch_writer(totals, topics.files_by_batch(out), mode="update")
-    return _start_beside(spark, location, writer, checkpoint, **starting)
+
+    def writer(landed: DataFrame):
+        return topics.batch_writer(counter.landed_plays_stream(landed), topics.files_by_batch(out), mode="update")
+
+    return _follow(spark, wire, location, checkpoint, writer, **starting)
 
 
 def check_events(spark: SparkSession, wire: DataFrame, location: str, checkpoint: str, *,
-                 servers: str | None = None, sink: topics.Sink | None = None,
-                 **starting) -> StreamingQuery:
-    """Banner messages to the banner topic, or to ``sink``. Users are those of the table now."""
-    messages = counter.banner_stream(wire, user_table.current_users(spark, location))
-    if sink is None:
-        keyed = messages.select("key", "value")
-        writer = topics.topic_writer(keyed, servers, constants.BANNER_TOPIC, mode="update")
-    else:
-        writer = topics.batch_writer(messages, sink, mode="update")
-    return _start_beside(spark, location, writer, checkpoint, **starting)
+                 servers: str | None = None, sink: topics.Sink | None = None, rejects: str | None = None,
+                 every: int = constants.PLAYS_PER_BANNER, **starting) -> Following:
+    """Banner messages to the banner topic, or to ``sink``.
+
+    Users are those of the newest load when a micro-batch is read: a load counts for the running
+    stream. Plays of others are not counted and go to ``rejects`` as (user_id, n), if asked for.
+    """
+
+    def writer(landed: DataFrame):
+        messages = counter.landed_banner_stream(landed, every)
+        if sink is None:
+            return topics.topic_writer(messages.select("key", "value"), servers, constants.BANNER_TOPIC, mode="update")
+        return topics.batch_writer(messages, sink, mode="update")
+
+    return _follow(spark, wire, location, checkpoint, writer, rejects, **starting)
 
 
 def reject_events(spark: SparkSession, wire: DataFrame, location: str, out: str, checkpoint: str,
                   **starting) -> StreamingQuery:
-    """Events ``check_events`` leaves out, as (user_id, n) files."""
-    rejects = counter.reject_stream(wire, user_table.current_users(spark, location))
-    return _start_beside(spark, location, topics.file_writer(rejects, out), checkpoint, **starting)
+    """Events ``check_events`` leaves out, as (user_id, n) files; users are those of the newest load."""
+    return _land(spark, wire, location, f"{checkpoint}/landed", f"{checkpoint}/landing", out, **starting)
+
+
+def present_plays(spark: SparkSession, checkpoint: str, out: str, mode: str = "error") -> None:
+    """The present counter of every user of a ``check_events`` or ``count_plays`` stream, as (user_id, plays)."""
+    plays = counter.plays_in_state(spark, counter_checkpoint(checkpoint))
+    files.put(plays, out, mode, lambda df, to, how: df.write.mode(how).parquet(to))
 
 
 def suggest(spark: SparkSession, wire: DataFrame, trained: str, checkpoint: str, *,

@@ -10,11 +10,11 @@ from playlens.operators import ids, ratings, recommend
 from playlens.operators.banners import match_banners
 from playlens.plans import jobs
 from playlens.plans import standins as s
-from playlens.plans.batch import EVERY_NTH_SQL, UNKNOWN_USERS_SQL, VALID_EVENTS_SQL, catalogue
+from playlens.plans.batch import EVERY_NTH_SQL, MESSAGE_SQL, UNKNOWN_USERS_SQL, VALID_EVENTS_SQL, catalogue
 from playlens.plans.registry import query
 from playlens.plans.standins import Tables
 from playlens.session import pin, scratch_path, shuffle_partitions
-from playlens.sources import topics, user_table
+from playlens.sources import storage, topics, user_table
 from playlens.streaming import archive, counter, replay, suggest
 
 # Micro-batches each stream query is fed in.
@@ -62,6 +62,53 @@ def stream_play_counts(t: Tables) -> DataFrame:
     return counter.latest_plays(t.spark.read.schema("user_id string, plays bigint").parquet(path))
 
 
+@query(f"""
+    WITH {s.USERS_SQL}
+    SELECT CAST(e.user_id AS VARCHAR) AS user_id, count(*) AS plays
+    FROM events e JOIN users u ON CAST(e.user_id AS VARCHAR) = u.user_id GROUP BY 1""")
+def counter_from_state(t: Tables) -> DataFrame:
+    """The readable counter out of the state of the stream that sends banners: no file of totals is written."""
+    location, checkpoint = scratch_path(t.spark, "users"), scratch_path(t.spark, "checkpoint")
+    user_table.upsert_users(t.spark, location, match_banners(t.users, t.banners), 1, buckets=4)
+    sink = topics.files_by_batch(scratch_path(t.spark, "messages"))
+    jobs.check_events(t.spark, published(t), location, checkpoint, sink=sink, available_now=True).awaitTermination()
+    return counter.plays_in_state(t.spark, jobs.counter_checkpoint(checkpoint))
+
+
+# Loads of users, and parts of the events, that come by turns.
+TURNS = 4
+
+
+@query(f"""
+    WITH {s.USER_BANNER_SQL}, counted AS (
+        SELECT u.user_id, banner, count(*) AS n
+        FROM events e JOIN user_banner u ON CAST(e.user_id AS VARCHAR) = u.user_id
+        WHERE e.event_id % {TURNS} >= CAST(u.user_id AS BIGINT) % {TURNS} GROUP BY ALL)
+    SELECT user_id, play_no * 10 AS play_no, banner, {MESSAGE_SQL}
+    FROM counted, range(1, (SELECT max(n) FROM counted) // 10 + 1) r(play_no) WHERE play_no * 10 <= n""")
+def stream_users_loaded_meanwhile(t: Tables) -> DataFrame:
+    """One running stream; between its micro-batches a quarter of the users is loaded, then a quarter of the events comes.
+    A user's plays count from the turn in which the user is loaded."""
+    spark = t.spark
+    location, topic, path = (scratch_path(spark, name) for name in ("users", "topic", "banner-messages"))
+    matched = pin(match_banners(t.users, t.banners), "matched")
+    storage.make_folder(spark, topic)
+    running = jobs.check_events(
+        spark, topics.read_wire_files(spark, topic), location, scratch_path(spark, "checkpoint"),
+        sink=topics.files_by_batch(path), interval="0 seconds")
+    try:
+        for turn in range(TURNS):
+            load = matched.filter(F.col("user_id").cast("bigint") % TURNS == turn)
+            user_table.upsert_users(spark, location, load, turn + 1, buckets=4)
+            lines = t.event_lines.filter(F.col("event_id") % TURNS == turn)
+            replay.encode_lines(lines).write.mode("append").parquet(topic)
+            running.processAllAvailable()
+    finally:
+        running.stop()
+    messages = spark.read.schema("user_id string, play_no bigint, banner string, message string").parquet(path)
+    return messages.select("user_id", "play_no", "banner", "message")
+
+
 @query(UNKNOWN_USERS_SQL)
 def stream_on_interval(t: Tables) -> DataFrame:
     """As ``stream_unknown_users``, on the two-second trigger until all files are read."""
