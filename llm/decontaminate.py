@@ -10,7 +10,7 @@ of every text:
 2. The words of the candidates are verified by joining them with the windows themselves. The planner
    broadcasts that table while it is below spark.sql.autoBroadcastJoinThreshold, and shuffles both
    sides beyond.
-3. Hits meet per document, of which no text is moved.
+3. Hits meet per document, of which no text is moved. Documents without a candidate take no part in the join.
 
 A null or empty text has no words, no hits and the digest of no items. Null and empty items are no
 windows. An id and text that occur in several rows are one document with one row; an id with
@@ -123,19 +123,23 @@ def hit_documents(
             base = base.withColumn(f"{name}_{length}", bit_set(docs.sparkSession, places, bits).scalar())
         candidates.append(_candidates(length, bits))
     kind = "array<struct<at:int,length:int,window:string>>"
-    scanned = base.select(
+    # Written, so that the texts are scanned once: every document goes on by itself, its candidates to the join.
+    scanned = pin(base.select(
         "doc_id", "text_hash", F.size("words").cast("long").alias("n_words"),
-        F.explode_outer(F.concat(*candidates).cast(kind) if candidates else F.array().cast(kind)).alias("c"),
-    )
+        (F.concat(*candidates).cast(kind) if candidates else F.array().cast(kind)).alias("candidates"),
+    ), "scanned")
     per_window = found.groupBy("length", "window").agg(F.collect_set("item_id").alias("items"))
-    verified = scanned.alias("s").join(
-        per_window.alias("w"), (F.col("s.c.window") == F.col("w.window")) & (F.col("s.c.length") == F.col("w.length")),
-        "left",
+    hits = (
+        scanned.where(F.size("candidates") > 0).select("doc_id", "text_hash", "n_words", F.explode("candidates").alias("c")).alias("s")
+        .join(per_window.alias("w"), (F.col("s.c.window") == F.col("w.window")) & (F.col("s.c.length") == F.col("w.length")))
+        .select("doc_id", "text_hash", "n_words", "items", F.struct(
+            F.col("c.at").alias("at"), (F.col("c.at") + F.col("c.length")).alias("to")).alias("hit"))
     )
-    hit = F.when(F.col("items").isNotNull(), F.struct(
-        F.col("c.at").alias("at"), (F.col("c.at") + F.col("c.length")).alias("to")))
-    met = verified.groupBy("doc_id", "text_hash", "n_words").agg(
-        F.sort_array(F.collect_set(hit)).alias("hits"),
+    none = scanned.select(
+        "doc_id", "text_hash", "n_words", F.lit(None).cast("array<string>").alias("items"),
+        F.lit(None).cast("struct<at:int,to:int>").alias("hit"))
+    met = none.unionByName(hits).groupBy("doc_id", "text_hash", "n_words").agg(
+        F.sort_array(F.collect_set("hit")).alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
     # Hits in order of place; the words that each adds to those before.
