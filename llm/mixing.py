@@ -10,8 +10,8 @@ its documents sorted by exponential key -ln(u) / quality, u being a hash of the
 of double quality is twice as likely to come next. A prefix sum of sizes runs until the rest is
 used up; the document at the border gives the words that are left of it.
 
-A source may hold a third of all rows, so the prefix sum has two levels: keys are dealt into
-``buckets`` in key order, summed within each, and shifted by the sums of the buckets before.
+A source may hold a third of all rows, so the prefix sum has two levels: rows are dealt into ranges of
+(source, key) of equal size, summed within each, and shifted by the sums of the source's ranges before.
 
 Null texts have size 0 and take 0. A null source is a source of its own. Rows with equal ids, or
 null ones, have equal keys and are ordered by size; equal rows share out what they take in any
@@ -25,10 +25,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm.tables import WORD, table
-from playlens.session import pin
+from playlens.operators.ids import numbered_in_order
+from playlens.session import pin, shuffle_partitions
 
 WEIGHTS = (5, 2, 1)
-BUCKETS = 1024
 
 
 def sizes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -85,35 +85,31 @@ def targets(per_source: DataFrame, weights: tuple[int, ...] = WEIGHTS, share_per
 def mix(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
     weights: tuple[int, ...] = WEIGHTS, share_percent: int = 150, most: int = 2,
-    quality: Column | None = None, buckets: int = BUCKETS,
+    quality: Column | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, source, size, source_size, target, taken."""
     key = -F.log(uniform()) / (quality if quality is not None else quality_weight())
-    keyed = (
-        sizes(docs, doc_id, text, source).withColumn("key", key)
-        # Rises with the key and spreads typical keys evenly.
-        .withColumn("bucket", F.floor(buckets * (1 - F.exp(-F.col("key")))).cast("int"))
-        .drop("symbols")
-    )
-    keyed = pin(keyed, "mix")
-    per_bucket = keyed.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
-    per_source = per_bucket.groupBy("source").agg(F.sum("bucket_size").alias("source_size"))
+    keyed = pin(sizes(docs, doc_id, text, source).withColumn("key", key).drop("symbols"), "mix")
+    # Cut at quantiles of the keys there are, whatever the quality weights.
+    keyed = numbered_in_order(
+        keyed, ["source", "key", "doc_id", "size"], shuffle_partitions(docs.sparkSession), "mix-ranges")
+    per_range = keyed.groupBy("source", "_part").agg(F.sum("size").alias("range_size"))
+    per_source = per_range.groupBy("source").agg(F.sum("range_size").alias("source_size"))
     budget = targets(per_source, weights, share_percent, most)
-    earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
-        per_bucket.withColumn("shift", F.coalesce(F.sum("bucket_size").over(earlier), F.lit(0))).alias("b")
+        per_range.withColumn("shift", F.coalesce(F.sum("range_size").over(earlier), F.lit(0))).alias("b")
         .join(budget.alias("t"), F.col("b.source").eqNullSafe(F.col("t.source")))
-        .select("b.source", "bucket", "shift", "source_size", "target")
+        .select("b.source", "_part", "shift", "source_size", "target")
     )
-    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(
-        Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
     keyed = keyed.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     budget_words = F.floor("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget_words / F.col("source_size"))).otherwise(0).cast("long")
     left = budget_words - epochs * F.col("source_size") - F.col("shift") - F.col("before")
     return (
         keyed.alias("k").join(shifts.alias("s"), F.col("k.source").eqNullSafe(F.col("s.source"))
-                              & (F.col("k.bucket") == F.col("s.bucket")))
+                              & (F.col("k._part") == F.col("s._part")))
         .select(
             "doc_id", "k.source", "size", "source_size", "target",
             (epochs * F.col("size") + F.greatest(F.lit(0), F.least("size", left))).cast("long").alias("taken"),
