@@ -427,13 +427,16 @@ def near_duplicates(
     narrow = _narrow(marks).withColumnRenamed("doc_id", "doc")
     near = pin(_near(_off_diagonal(rows, narrow, percent, tile), marks, percent), "near")
     parts = _verify(near, parts, docs, size, percent)
+    # Sets without shingles are linked with nothing and would all meet under one key.
+    empty = members.where("n = 0").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"))
     return (
-        members.join(reps, ["n", "d1", "d2"], "left")
+        members.where("n > 0").join(reps, ["n", "d1", "d2"], "left")
         .join(parts.withColumnRenamed("doc_id", "class_id"), "class_id", "left")
         .select(
             "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "class_id", "doc_id").alias("component_id"),
             F.coalesce("class_id", "doc_id").alias("class_id"),
-        )
+        ).unionByName(empty)
     )
 
 
