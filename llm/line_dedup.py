@@ -1,11 +1,11 @@
 """Line dedup by pairwise alignment: shared rare lines find overlapping documents, patience diff aligns them.
 
-1. Lines (parts between line feeds, with a word) are hashed, blanks at their ends aside. For each line
-   of the corpus its first holder, the document with the least id, is found; every later holder makes
-   a pair with it, and with the first that has it just once, where that is another. So each
-   holder makes two pairs at most however many there are, and a line that a third of all documents share
-   makes no more pairs than others. Short lines may have unrelated first holders, so the shortest runs of lines that
-   have ``least_words`` words are keys as well: every block that can go begins with such a run or with a long line.
+1. Lines (parts between line feeds, with a word) are hashed, blanks at their ends aside. Keys are the lines of
+   ``least_words`` words or more, and the shortest runs of lines that together have as many: every block that can go
+   begins with one. For each key its first holder, the document with the least id, is found; every later holder makes
+   a pair with it, and with the first that has it just once, where that is another. So each holder of a key
+   makes two pairs at most however many there are, and a line that a third of all documents share
+   makes no more pairs than others.
 2. A pair's line hashes are aligned by patience diff: lines unique in both, put in order by a
    longest increasing run, are extended over equal neighbours, and the gaps between are aligned
    again. Where none is unique in both, those of equal number (first, second, ...) in both take their place.
@@ -40,8 +40,8 @@ LEAST_WORDS = 10
 
 
 def _hashed(docs: DataFrame, least_words: int) -> DataFrame:
-    """doc_id, version (hash of the text), lines (hash, and words in each; in order, blank lines left out), starts (hashes of the shortest runs of
-    two lines or more that have ``least_words`` words, one for each line that begins one)."""
+    """doc_id, version (hash of the text), lines (hash, and words in each; in order, blank lines left out), keys (hashes of the shortest runs of
+    lines that have ``least_words`` words, one for each line that begins one; a line of as many words is a run)."""
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids = batch.column(0)
@@ -60,7 +60,7 @@ def _hashed(docs: DataFrame, least_words: int) -> DataFrame:
             sizes = last - first + 1
             before = np.concatenate(([0], np.cumsum(sizes)))
             stop = np.searchsorted(before, before[:-1] + least_words)  # the run of line i is i to stop, without it
-            begins = np.flatnonzero((sizes < least_words) & (stop <= np.cumsum(counts)[found.row[first]]))
+            begins = np.flatnonzero(stop <= np.cumsum(counts)[found.row[first]])
             n_runs = np.bincount(found.row[first][begins], minlength=len(texts))
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(texts.first, len(texts)), batch.column(2).slice(texts.first, len(texts)),
@@ -69,10 +69,10 @@ def _hashed(docs: DataFrame, least_words: int) -> DataFrame:
                  pa.ListArray.from_arrays(
                      pa.array(np.concatenate(([0], np.cumsum(n_runs))).astype(np.int32)),
                      pa.array(signed(range_hashes(hashes.view(np.uint64), begins, stop[begins]))))],
-                names=["doc_id", "version", "lines", "sizes", "starts"])
+                names=["doc_id", "version", "lines", "sizes", "keys"])
 
     versions = docs.select("doc_id", "text", F.xxhash64("text").alias("version"))
-    return by_batch(versions, "doc_id long, version long, lines array<long>, sizes array<int>, starts array<long>", make)
+    return by_batch(versions, "doc_id long, version long, lines array<long>, sizes array<int>, keys array<long>", make)
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
@@ -184,11 +184,12 @@ def _deletions(pairs: DataFrame, least_words: int) -> DataFrame:
     return by_batch(pairs, "doc_id long, version long, gone array<int>", make)
 
 
-def _delete(marked: DataFrame, text: str) -> DataFrame:
-    """All columns but the last, ``gone``, with the text without those lines; then n_lines with a word, n_removed of them."""
+def _delete(marked: DataFrame, text: str, counts: tuple[str, str]) -> DataFrame:
+    """All columns but the last, the places that go, with the text without those lines; then the ``counts``: lines with a word, and
+    those of them that went."""
     at = marked.columns.index(text)
     fields = marked.schema.fields[:-1]
-    schema = T.StructType([*fields, T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
+    schema = T.StructType([*fields, *(T.StructField(name, T.LongType()) for name in counts)])
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         kept, n_lines, n_gone = [], [], []
@@ -215,7 +216,7 @@ def _delete(marked: DataFrame, text: str) -> DataFrame:
 def common_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """doc_id, version, gone: places of the lines of ``docs`` (doc_id, text) that are to go, blank lines not counted."""
     hashed = pin(_hashed(docs.where("doc_id IS NOT NULL"), least_words), "lines")
-    exploded = hashed.select("doc_id", F.explode(F.concat("lines", "starts")).alias("line"))
+    exploded = hashed.select("doc_id", F.explode("keys").alias("line"))
     held = exploded.groupBy("doc_id", "line").agg(F.count("*").alias("n"))
     first = held.groupBy("line").agg(
         F.min("doc_id").alias("earlier"), F.min(F.when(F.col("n") == 1, F.col("doc_id"))).alias("once"),
@@ -234,14 +235,28 @@ def common_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     return gone.groupBy("doc_id", "version").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
 
 
+def free_names(taken: list[str], *names: str) -> list[str]:
+    """The names, with underscores before those that a table has already, whatever the case."""
+    lower, out = {name.lower() for name in taken}, []
+    for name in names:
+        while name.lower() in lower:
+            name = f"_{name}"
+        lower.add(name.lower())
+        out.append(name)
+    return out
+
+
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
-    """The rows of ``docs`` with all their columns, in ``text`` what is left; then n_lines with a word, n_removed of them."""
+    """The rows of ``docs`` with all their columns, in ``text`` what is left; then n_lines with a word, n_removed of them.
+
+    Where ``docs`` has columns of those two names, the new ones have underscores before theirs, as ``free_names`` says.
+    """
+    id_, version, places, *counts = free_names(docs.columns, "id", "version", "gone", "n_lines", "n_removed")
     gone = common_lines(typed(docs, doc_id, text), least_words).select(
-        F.col("doc_id").alias("__id"), F.col("version").alias("__version"), F.col("gone").alias("__gone"))
-    columns = [docs[c] for c in docs.columns]
-    same = (docs[doc_id].cast("long") == gone["__id"]) & (F.xxhash64(docs[text].cast("string")) == gone["__version"])
-    marked = docs.join(gone, same, "left").select(*columns, "__gone")
-    return _delete(marked, text)
+        F.col("doc_id").alias(id_), F.col("version").alias(version), F.col("gone").alias(places))
+    same = (docs[doc_id].cast("long") == gone[id_]) & (F.xxhash64(docs[text].cast("string")) == gone[version])
+    marked = docs.join(gone, same, "left").select(*[docs[c] for c in docs.columns], gone[places])
+    return _delete(marked, text, (counts[0], counts[1]))
 
 
 def op9_line_dedup(spark, sf_dir: str) -> DataFrame:
