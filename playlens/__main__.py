@@ -67,9 +67,10 @@ JOBS = {
     ),
     "check-events": (
         lambda spark, a: jobs.check_events(
-            spark, _topic(spark, a), a.location, a.checkpoint, servers=a.servers, rejects=a.rejects
+            spark, _topic(spark, a), a.location, a.checkpoint, servers=a.servers, rejects=a.rejects,
+            once_within=a.once_within
         ).awaitTermination(),
-        [*TOPIC, "location", "rejects=", "starting=latest"],
+        [*TOPIC, "location", "rejects=", "once-within=", "starting=latest"],
     ),
     "present-plays": (
         lambda spark, a: jobs.present_plays(spark, a.checkpoint, a.out, a.mode), ["checkpoint", "out", "mode=error"]),
@@ -98,6 +99,10 @@ JOBS = {
         ).awaitTermination(),
         [*TOPIC, "out", "format=text", "starting=earliest"],
     ),
+    "roll-archive": (
+        lambda spark, a: print("files:", jobs.roll_archive(spark, a.path, a.out, a.format, a.bytes, a.final == "yes")),
+        ["path", "out", "format=text", f"bytes:{constants.ROLL_BYTES}", "final=no"],
+    ),
 }
 
 

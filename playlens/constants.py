@@ -18,6 +18,9 @@ PLAYS_PER_BANNER = 10
 # Micro-batch interval of the streams.
 BATCH_INTERVAL = "2 seconds"
 
+# Bytes at which an archive file is full.
+ROLL_BYTES = 10_485_760_000
+
 # Recommender settings: tuning grid, final model, split weights, seed.
 GRID_RANKS = (8, 12)
 GRID_ITERATIONS = (10, 20)

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlens.constants import PROFILE_KEYS
+from playlens.session import pin
 
-# Pairs of one key that a task makes before the key is dealt over more.
-PAIRS_PER_LANE = 1_000_000
+# Pairs of one key that a task makes before the key is dealt over a grid of tasks.
+PAIRS_PER_CELL = 1_000_000
 
 
 def _renamed(df: DataFrame, prefix: str) -> DataFrame:
@@ -21,22 +22,39 @@ def _on(keys: Sequence[str]) -> list:
     return [F.col(f"a_{key}") == F.col(f"b_{key}") for key in keys]
 
 
-def match_profiles(left: DataFrame, right: DataFrame,
-                   keys: Sequence[str] = PROFILE_KEYS) -> DataFrame:
+def match_profiles(left: DataFrame, right: DataFrame, keys: Sequence[str] = PROFILE_KEYS,
+                   pairs_per_cell: int = PAIRS_PER_CELL) -> DataFrame:
     """All pairs equal in every key, columns prefixed ``a_`` and ``b_``; empty texts match.
 
-    A key of m x n pairs is dealt over as many lanes as it has ``PAIRS_PER_LANE`` pairs: rows of
-    the left side go to one lane, those of the right to all lanes of their key. So the pairs of
-    a key that many rows share come from many tasks.
+    A key of m x n pairs, more than ``pairs_per_cell``, is dealt over a grid: left rows by their hash
+    over r rows of cells, right rows over c columns, with r x c cells of about that many pairs.
+    Each left row goes to the c cells of its grid row and each right row to the r cells of its column. r and c
+    are chosen so that these copies, m x c + n x r, are fewest: about 2 m n / sqrt(pairs_per_cell). Other
+    keys have one cell, and their rows are not copied.
     """
-    sizes = _sizes(left, right, keys).select(
-        *keys, F.least(F.ceil(F.col("n_left") * F.col("n_right") / PAIRS_PER_LANE), "n_left").cast("int").alias("_lanes"))
-    dealt = left.join(sizes, list(keys)).withColumn(
-        "_lane", F.pmod(F.xxhash64(*left.columns), F.col("_lanes")).cast("int"))
-    copies = right.join(sizes, list(keys)).withColumn("_lane", F.explode(F.sequence(F.lit(0), F.col("_lanes") - 1)))
-    on = [*_on(keys), F.col("a__lane") == F.col("b__lane")]
+    grid = pin(_grid(_sizes(left, right, keys), keys, pairs_per_cell), "grid")
+    one = F.lit(1)
+
+    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+        """Each row with its place on its own side, and a copy for each place on the other."""
+        placed = rows.join(grid, list(keys), "left")
+        at = F.pmod(F.xxhash64(*rows.columns), F.coalesce(own, one)).cast("int").alias(own)
+        copies = F.explode(F.sequence(F.lit(0), (F.coalesce(other, one) - 1).cast("int"))).alias(other)
+        return placed.select(*rows.columns, at, copies)
+
+    on = [*_on(keys), F.col("a__row") == F.col("b__row"), F.col("a__col") == F.col("b__col")]
     columns = [f"a_{name}" for name in left.columns] + [f"b_{name}" for name in right.columns]
-    return _renamed(dealt, "a_").join(_renamed(copies, "b_"), on).select(columns)
+    return _renamed(dealt(left, "_row", "_col"), "a_").join(_renamed(dealt(right, "_col", "_row"), "b_"), on).select(columns)
+
+
+def _grid(sizes: DataFrame, keys: Sequence[str], pairs_per_cell: int) -> DataFrame:
+    """Grid rows and columns (_row, _col) of the keys of more than ``pairs_per_cell`` pairs."""
+    left, right = F.col("n_left").cast("double"), F.col("n_right").cast("double")
+    cells = F.ceil(left * right / pairs_per_cell)
+    rows = F.greatest(F.lit(1), F.least(left, F.round(F.sqrt(cells * left / right)))).cast("bigint")
+    columns = F.least(right, F.ceil(F.col("cells") / F.col("_row"))).cast("bigint")
+    return sizes.withColumn("cells", cells).where("cells > 1").withColumn("_row", rows).withColumn("_col", columns).select(
+        *keys, "_row", "_col")
 
 
 def _sizes(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -15,6 +15,7 @@ job                 work
 ``suggest``         stream: recommend the best artist of each micro-batch
 ``replay``          publish a file of events to a topic
 ``archive_topic``   keep the raw topic
+``roll_archive``    pack its files into large ones
 ==================  ==============================================================
 """
 
@@ -190,12 +191,15 @@ def count_plays(spark: SparkSession, wire: DataFrame, location: str, out: str, c
 
 def check_events(spark: SparkSession, wire: DataFrame, location: str, checkpoint: str, *,
                  servers: str | None = None, sink: topics.Sink | None = None, rejects: str | None = None,
-                 every: int = constants.PLAYS_PER_BANNER, **starting) -> Following:
+                 every: int = constants.PLAYS_PER_BANNER, once_within: str | None = None, **starting) -> Following:
     """Banner messages to the banner topic, or to ``sink``.
 
     Users are those of the newest load when a micro-batch is read: a load counts for the running
     stream. Plays of others are not counted and go to ``rejects`` as (user_id, n), if asked for.
+    Events delivered again are counted again, unless their bytes came at most ``once_within`` ago.
     """
+    if once_within:
+        wire = replay_stream.without_repeats(wire, once_within)
 
     def writer(landed: DataFrame):
         messages = counter.landed_banner_stream(landed, every)
@@ -249,3 +253,11 @@ def replay(spark: SparkSession, path: str, checkpoint: str, *, servers: str | No
 def archive_topic(spark: SparkSession, wire: DataFrame, out: str, checkpoint: str,
                   fmt: str = "text", **starting) -> StreamingQuery:
     return topics.start(spark, archive.archive_writer(wire, out, fmt), checkpoint, **starting)
+
+
+def roll_archive(spark: SparkSession, path: str, out: str, fmt: str = "text", target: int = constants.ROLL_BYTES,
+                 final: bool = False) -> int:
+    """Pack what ``archive_topic`` wrote to ``path`` into files of ``target`` bytes below ``out``, and delete what was packed
+    a day ago or before; ``archive.read_archive`` reads both."""
+    archive.drop_rolled(spark, path, out)
+    return archive.roll(spark, path, out, fmt, target, final)

@@ -14,8 +14,8 @@ from playlens.plans.batch import EVERY_NTH_SQL, MESSAGE_SQL, UNKNOWN_USERS_SQL,
 from playlens.plans.registry import query
 from playlens.plans.standins import Tables
 from playlens.session import pin, scratch_path, shuffle_partitions
-from playlens.sources import storage, topics, user_table
-from playlens.streaming import archive, counter, replay, suggest
+from playlens.sources import connections, storage, topics, user_table
+from playlens.streaming import archive, counter, progress, replay, suggest
 
 # Micro-batches each stream query is fed in.
 MICRO_BATCHES = 3
@@ -151,6 +151,75 @@ def stream_archive(t: Tables) -> DataFrame:
     return t.spark.read.text(path).select("value")
 
 
+@query(f"""
+    WITH {s.EVENTS_SQL}
+    SELECT head || tail || chr(9) AS value FROM event_lines""")
+def archive_rolled(t: Tables) -> DataFrame:
+    """Two runs of the archive, each rolled by bytes; rows are read from rolled files and from those still waiting."""
+    spark, wire = t.spark, published(t)
+    raw, rolled, checkpoint = (scratch_path(spark, name) for name in ("archive", "rolled", "checkpoint"))
+    topics.start(spark, archive.archive_writer(wire, raw), checkpoint, available_now=True).awaitTermination()
+    target = max(1, storage.size(spark, raw) // 3)
+    if not archive.roll(spark, raw, rolled, target=target):
+        raise AssertionError("a third of the bytes should fill a file")
+    return archive.read_archive(spark, raw, rolled).select("value")
+
+
+@query(f"""
+    WITH {s.EVENTS_SQL}
+    SELECT head || tail || chr(9) AS value FROM event_lines""")
+def stream_by_connection(t: Tables) -> DataFrame:
+    """Payloads sent over a connection per partition and micro-batch. The last micro-batch comes again, as after a crash, and
+    nothing is sent twice."""
+    spark = t.spark
+    out, checkpoint = scratch_path(spark, "sent"), scratch_path(spark, "checkpoint")
+    rows = published(t).select(payload(F.col("value")).alias("value"))
+    for _ in range(2):
+        writer = connections.connection_writer(rows, *connections.folder_connections(out))
+        topics.start(spark, writer, checkpoint, available_now=True).awaitTermination()
+        commits = [int(name) for name in storage.names(spark, f"{checkpoint}/commits") if name.isdigit()]
+        storage.delete(spark, f"{checkpoint}/commits/{max(commits)}")
+    return spark.read.schema("value string").json(out)
+
+
+@query("SELECT count(*) AS events, TRUE AS each_batch_once FROM events")
+def stream_progress(t: Tables) -> DataFrame:
+    """Events by the landed progress of the counting stream, one row a micro-batch."""
+    spark, path = t.spark, scratch_path(t.spark, "progress")
+    log = progress.ProgressLog(spark, path)
+    spark.streams.addListener(log)
+    try:
+        rejects = counter.reject_stream(published(t), t.users_with_age)
+        running = topics.start(spark, topics.file_writer(rejects, scratch_path(spark, "rejects")),
+                               scratch_path(spark, "checkpoint"), name="counting", available_now=True)
+        running.awaitTermination()
+        log.wait(str(running.runId))
+    finally:
+        spark.streams.removeListener(log)
+    events = F.col("metrics")[counter.EVENTS_METRIC]["events"].cast("bigint")
+    return progress.read_progress(spark, path).filter(F.col("query") == "counting").agg(
+        F.sum(events).alias("events"), (F.count_distinct("batch") == F.count(F.lit(1))).alias("each_batch_once"))
+
+
+@query(f"""
+    WITH {s.USERS_SQL}, {s.EVENTS_SQL}
+    SELECT l.user_id, count(DISTINCT head || tail) AS plays
+    FROM event_lines l JOIN users USING (user_id) GROUP BY 1""")
+def stream_redelivered(t: Tables) -> DataFrame:
+    """All events are published twice; the counters are those of one delivery."""
+    spark = t.spark
+    location, topic, checkpoint = (scratch_path(spark, name) for name in ("users", "topic", "checkpoint"))
+    user_table.upsert_users(spark, location, match_banners(t.users, t.banners), 1, buckets=4)
+    count = shuffle_partitions(spark)
+    for _ in range(2):
+        ranged = t.event_lines.repartitionByRange(count, "ts", "event_id")
+        replay.encode_lines(ranged).write.mode("append").parquet(topic)
+    wire = topics.read_wire_files(spark, topic, max_files=-(-2 * count // MICRO_BATCHES))
+    sink = topics.files_by_batch(scratch_path(spark, "messages"))
+    jobs.check_events(spark, wire, location, checkpoint, sink=sink, once_within="1 hour", available_now=True).awaitTermination()
+    return counter.plays_in_state(spark, jobs.counter_checkpoint(checkpoint))
+
+
 def emitted(t: Tables, artists: DataFrame, scorer: suggest.Scorer, **settings) -> DataFrame:
     """What the recommender stream emits: a row per micro-batch."""
     path = scratch_path(t.spark, "recommendations")

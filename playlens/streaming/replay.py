@@ -37,3 +37,13 @@ def publish_files(lines: DataFrame, order: list[str], path: str, files: int) ->
     """Write event lines in wire form as files, each of which covers a range of ``order``."""
     ranged = lines.repartitionByRange(files, *order).sortWithinPartitions(*order)
     encode_lines(ranged).write.parquet(path)
+
+
+def without_repeats(wire: DataFrame, within: str) -> DataFrame:
+    """A stream without events whose bytes came before, at most ``within`` ago by the clock of the micro-batches.
+
+    A topic delivers at least once, and a file may be published twice. The keys seen are state, which
+    ``within`` bounds: it is dropped when as old. No event is late, as the times are those of arrival.
+    """
+    arrived = wire.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", within)
+    return arrived.dropDuplicatesWithinWatermark(["key", "value"]).drop("_arrived")

@@ -1,0 +1,101 @@
+"""The archive rolled by bytes: readers see every row once, before, during and after a roll."""
+
+import glob
+import os
+
+import pytest
+from playlens.plans import jobs
+from playlens.sources import storage, topics
+from playlens.streaming import archive
+
+
+@pytest.fixture
+def raw(spark, tmp_path):
+    """An archive of many small files, and a function that adds to it."""
+    wire, out = str(tmp_path / "wire"), str(tmp_path / "raw")
+
+    def add(*values):
+        rows = [(bytearray(b"k"), bytearray(value)) for value in values]
+        spark.createDataFrame(rows, "key binary, value binary").repartition(len(rows)).write.mode("append").parquet(wire)
+        stream = topics.read_wire_files(spark, wire)
+        for fmt in ("text", "parquet"):
+            topics.start(spark, archive.archive_writer(stream, f"{out}-{fmt}", fmt), f"{out}-{fmt}-c", available_now=True).awaitTermination()
+
+    add(*(f"event {k} é".encode() for k in range(30)))
+    return out, add
+
+
+def values(frame):
+    return sorted(r.value if isinstance(r.value, str) else bytes(r.value).decode() for r in frame.collect())
+
+
+def data_files(path):
+    return [p for p in glob.glob(f"{path}/*/**", recursive=True) if os.path.basename(p).startswith("part-")]
+
+
+@pytest.mark.parametrize("fmt", ["text", "parquet"])
+def test_roll(spark, raw, tmp_path, fmt):
+    (out, add), rolled = raw, str(tmp_path / "rolled")
+    path = f"{out}-{fmt}"
+    expected = sorted(f"event {k} é" for k in range(30))
+    assert values(archive.read_archive(spark, path, rolled, fmt)) == expected
+    size = storage.size(spark, path)
+    made = archive.roll(spark, path, rolled, fmt, target=size // 3)
+    assert 1 <= made <= 3 and values(archive.read_archive(spark, path, rolled, fmt)) == expected
+    add(b"later 1", b"later 2")
+    more = sorted([*expected, "later 1", "later 2"])
+    assert values(archive.read_archive(spark, path, rolled, fmt)) == more
+    assert archive.roll(spark, path, rolled, fmt, target=1 << 30) == 0
+    archive.roll(spark, path, rolled, fmt, target=1 << 30, final=True)
+    assert values(archive.read_archive(spark, path, rolled, fmt)) == more
+    assert len(data_files(rolled)) < len(data_files(path)) / 2
+    if fmt == "text":
+        assert storage.size(spark, rolled) == storage.size(spark, path)
+    assert "arrival_date" in archive.read_archive(spark, path, rolled, fmt).columns
+
+
+def test_files_that_are_rolled_may_go(spark, raw, tmp_path):
+    (out, add), rolled, path = raw, str(tmp_path / "rolled"), f"{raw[0]}-text"
+    expected = values(archive.read_archive(spark, path, rolled))
+    assert archive.drop_rolled(spark, path, rolled, 0) == 0
+    archive.roll(spark, path, rolled, target=storage.size(spark, path) // 2)
+    assert archive.drop_rolled(spark, path, rolled) == 0  # someone may be reading them
+    assert archive.drop_rolled(spark, path, rolled, 0) > 0
+    assert values(archive.read_archive(spark, path, rolled)) == expected
+    add(b"later")
+    jobs.roll_archive(spark, path, rolled, target=1 << 30, final=True)
+    archive.drop_rolled(spark, path, rolled, 0)
+    assert data_files(path) == [] and values(archive.read_archive(spark, path, rolled)) == sorted([*expected, "later"])
+
+
+def test_roll_that_failed_leaves_no_trace(spark, raw, tmp_path, monkeypatch):
+    rolled, path = str(tmp_path / "rolled"), f"{raw[0]}-text"
+    expected = values(archive.read_archive(spark, path, rolled))
+
+    def broken(*args):
+        raise OSError("no space")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(archive.storage, "write_text", broken)
+        with pytest.raises(OSError, match="no space"):
+            archive.roll(spark, path, rolled, target=1)
+    assert data_files(rolled) and values(archive.read_archive(spark, path, rolled)) == expected
+    assert archive.roll(spark, path, rolled, target=1 << 30, final=True) == 1
+    assert len(data_files(rolled)) == 1 and values(archive.read_archive(spark, path, rolled)) == expected
+
+
+def test_packed():
+    files = [("arrival_date=1/a", 5), ("arrival_date=1/b", 6), ("arrival_date=1/c", 1), ("arrival_date=2/d", 10)]
+    names = [name for name, _ in files]
+    assert archive.packed(files, 10, False) == [names[:2], names[3:]]
+    assert archive.packed(files, 10, True) == [names[:2], names[2:3], names[3:]]
+    assert archive.packed([], 10, True) == []
+
+
+def test_manifests_appear_once(spark, tmp_path):
+    path = str(tmp_path / "m" / "1")
+    storage.make_folder(spark, str(tmp_path / "m"))
+    storage.write_text(spark, path, "é\n")
+    with pytest.raises(FileExistsError):
+        storage.write_text(spark, path, "x")
+    assert storage.read_text(spark, path) == "é\n" and storage.names(spark, str(tmp_path / "m")) == ["1"]

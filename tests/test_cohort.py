@@ -53,13 +53,33 @@ def test_known_answers(spark, sf, n):
     assert cohort.match_profiles(even, odd, keys).count() == n
 
 
-def test_pairs_of_a_common_key_come_from_several_lanes(spark, monkeypatch):
-    monkeypatch.setattr(cohort, "PAIRS_PER_LANE", 50)
+def test_pairs_of_a_common_key_come_from_a_grid(spark):
     keys = ["gender", "age"]
     left = spark.range(90).selectExpr("id", "if(id < 30, 'm', cast(id as string)) gender", "'20' age")
     right = spark.range(60).selectExpr("id", "if(id < 20, 'm', cast(id as string)) gender", "'20' age")
-    pairs = cohort.match_profiles(left, right, keys)
-    assert pairs.columns == ["a_id", "a_gender", "a_age", "b_id", "b_gender", "b_age"]
-    found = [(r.a_id, r.b_id) for r in pairs.collect()]
-    assert len(found) == len(set(found)) == 30 * 20 + 30
+    for limit in (1, 7, 50, 1000):
+        pairs = cohort.match_profiles(left, right, keys, limit)
+        assert pairs.columns == ["a_id", "a_gender", "a_age", "b_id", "b_gender", "b_age"]
+        found = [(r.a_id, r.b_id) for r in pairs.collect()]
+        assert len(found) == len(set(found)) == 30 * 20 + 30
     assert cohort.count_matches(left, right, keys).first()[0] == 630
+
+
+@pytest.mark.parametrize("m,n", [(1_000_000, 1_000_000), (3_000, 3_000), (10, 5_000_000), (1, 10_000_000), (2_000_000, 7)])
+def test_copies_of_a_hot_key_are_few(spark, m, n):
+    """Rows sent for one key of m x n pairs, and the largest number of pairs a cell holds."""
+    limit = 1_000_000
+    sizes = spark.createDataFrame([("m", m, n), ("f", 10, 10)], "gender string, n_left bigint, n_right bigint")
+    (row,) = cohort._grid(sizes, ["gender"], limit).collect()
+    assert (row.gender, 1 <= row._row <= m, 1 <= row._col <= n) == ("m", True, True)
+    copies = m * row._col + n * row._row
+    assert copies <= 2.2 * m * n / limit ** 0.5 + m + n
+    assert -(-m // row._row) * -(-n // row._col) <= 1.2 * limit + m / row._row + n / row._col
+
+
+def test_only_hot_keys_are_copied(spark):
+    """Rows that meet in the join: those of the hot key once for each cell of their side, others once."""
+    left = spark.range(1000).selectExpr("cast(id as string) id", "if(id < 400, 'hot', cast(id as string)) gender")
+    grid = cohort._grid(cohort._sizes(left, left, ["gender"]), ["gender"], 10_000).collect()
+    assert [(r.gender, r._row, r._col) for r in grid] == [("hot", 4, 4)]
+    assert cohort.match_profiles(left, left, ["gender"], 10_000).count() == 400 * 400 + 600
