@@ -5,12 +5,20 @@ signs in the place of letters into plain letters. Entries are word beginnings, s
 forms match; a match counts when no letter stands before it and it isn't inside an exception phrase.
 
 The lexicon is learned from labels. The beginnings of the words of at most ``most_rows`` labelled
-documents (those with the least hash of their id) are counted by label; of the ``candidates`` with
-the highest log odds times rows those are taken, one by one, that explain most toxic documents not
-yet explained by one before, while they explain enough of them. So a word that only keeps company
+documents (those with the least hash of their id; this bounds what the driver gathers) are counted by label. Candidates
+are those that occur ``least_odds`` times as often in toxic rows, and more often than chance explains: among the
+beginnings found in k rows, as many as have so many toxic ones are at least ``surplus`` times those expected if labels
+were dealt at random (for k up to FEW_ROWS; above, a likelihood ratio beyond that of the best of all beginnings by
+chance). So a rare word enters where the rare words of toxic rows are too many to be chance, and there is no least share
+of rows and no number of candidates. Of beginnings of one word that are in the same rows the longest is the candidate.
+Of the candidates those are taken, one by one, that explain most toxic documents not
+yet explained by one before, two at least. So a word that only keeps company
 with others is left out. An entry weighs the log of how much more often toxic words begin with it
 than others do.
 
+What this misses: words of fewer than four letters a to z after folding, other scripts, words in one toxic row only, and
+rare words where the language has so many that chance gives as many.
+
 The score is logistic in the summed weights w and in w per thousand words, both as log(1 + x),
 fitted to the same rows. A text without a match, and so a null or empty one, has the score of w = 0,
 below the threshold. A null id has no remainder and is held out of training. Rows repeat as given.
@@ -20,6 +28,7 @@ language and source are never read.
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -32,9 +41,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm.tables import by_batch, table, typed
+from playlens.session import pin
 
 MOST_ROWS = 20_000
-CANDIDATES = 400
+FEW_ROWS = 30
 BEGINNINGS = range(4, 10)
 THRESHOLD = 0.3
 
@@ -156,41 +166,73 @@ def _count(docs: DataFrame) -> DataFrame:
 
 def learn(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic",
-    most_rows: int = MOST_ROWS, candidates: int = CANDIDATES, least_share: float = 0.01, least_odds: float = 5,
+    most_rows: int = MOST_ROWS, least_odds: float = 5, surplus: float = 4,
 ) -> Lexicon:
-    """The lexicon of the labelled rows that aren't held out."""
+    """The lexicon of the labelled rows that aren't held out; of an id's texts the least counts."""
     known = (
         labels.where(F.col(toxic).isin(0, 1))
         .select(F.col(doc_id).cast("long").alias("doc_id"), F.col(toxic).cast("int").alias("toxic"))
         .where(~held_out(F.col("doc_id"))).distinct()
         .orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(most_rows)
     )
-    rows = typed(docs, doc_id, text).join(F.broadcast(known), "doc_id")  # at most most_rows rows
+    # At most most_rows rows are broadcast, and as many are kept: the corpus is read once.
+    rows = pin(typed(docs, doc_id, text).join(F.broadcast(known), "doc_id").groupBy("doc_id", "toxic").agg(
+        F.min("text").alias("text")), "labelled")
     n = {row["toxic"]: row["count"] for row in rows.groupBy("toxic").count().collect()}
     if not n.get(1) or not n.get(0):
         return Lexicon()
-    least = max(2, int(least_share * n[1]))
     sums = [
         F.sum(F.when(F.col("toxic") == kind, F.col(c)).otherwise(0)).alias(f"{c}_{kind}")
         for c in ("once", "twice", "hits") for kind in (0, 1)
     ]
+    counted = pin(_count(rows).groupBy("entry").agg(*sums), "beginnings")
 
     def odds(c: str) -> Column:
         return (F.col(f"{c}_1") + 0.5) / (n[1] + 1) / ((F.col(f"{c}_0") + 0.5) / (n[0] + 1))
 
-    def worth(c: str) -> Column:
-        return F.when(odds(c) >= least_odds, F.col(f"{c}_1") * F.log(odds(c))).otherwise(0.0)
-
-    best = (
-        _count(rows).groupBy("entry").agg(*sums).where(F.col("once_1") >= least)
-        .withColumn("worth", F.greatest(worth("once"), worth("twice"))).where("worth > 0")
-        .withColumn("log_odds", F.greatest(*(F.when(odds(c) >= least_odds, F.log(odds(c))) for c in ("once", "twice"))))
-        .orderBy(F.col("worth").desc(), F.length("entry").desc(), "entry").limit(candidates).collect()
-    )
-    return _choose(rows, best, least)
-
-
-def _choose(rows: DataFrame, best: list, least: int) -> Lexicon:
+    found = {c: (odds(c) >= least_odds) & _beyond_chance(counted, c, n, surplus) for c in ("once", "twice")}
+    log_odds = F.greatest(*(F.when(found[c], F.log(odds(c))) for c in found))
+    worth = F.greatest(*(F.when(found[c], F.col(f"{c}_1") * F.log(odds(c))).otherwise(0.0) for c in found))
+    best = counted.where((F.col("once_1") >= 2) & (found["once"] | found["twice"])).withColumn("log_odds", log_odds).withColumn(
+        "worth", worth)
+    # Another beginning of the same words, found in the same rows as often.
+    names = [f"{c}_{kind}" for c in ("once", "twice", "hits") for kind in (0, 1)]
+    longer = best.select(F.expr("left(entry, length(entry) - 1)").alias("entry"), *names).distinct()
+    best = best.join(longer, ["entry", *names], "left_anti").orderBy(
+        F.col("worth").desc(), F.length("entry").desc(), "entry").collect()
+    return _choose(rows, best)
+
+
+def _beyond_chance(counted: DataFrame, c: str, n: dict[int, int], surplus: float) -> Column:
+    """Is an entry's number of toxic rows, of all rows it is in, more than chance gives among so many entries?"""
+    toxic, all_ = F.col(f"{c}_1"), F.col(f"{c}_0") + F.col(f"{c}_1")
+    share = n[1] / (n[0] + n[1])
+    histogram = counted.select(all_.alias("k"), toxic.alias("toxic")).where(f"k BETWEEN 1 AND {FEW_ROWS}").groupBy(
+        "k", "toxic").count().collect()
+    least = []
+    for k in range(FEW_ROWS + 1):
+        held = np.zeros(k + 2)
+        for row in histogram:
+            if row["k"] == k:
+                held[row["toxic"]] = row["count"]
+        chance = np.array([math.comb(k, j) * share ** j * (1 - share) ** (k - j) for j in range(k + 1)])
+        observed, expected = held[:k + 1][::-1].cumsum()[::-1], held.sum() * chance[::-1].cumsum()[::-1]
+        enough = np.flatnonzero((observed > 0) & (observed >= surplus * expected))
+        least.append(int(enough[0]) if len(enough) else FEW_ROWS + 1)
+    # Of V entries the best by chance has a ratio of about 2 log V.
+    entries = max(2, counted.count())
+    clean, rest = F.col(f"{c}_0"), F.lit(float(n[0] + n[1])) - all_
+
+    def part(seen: Column, expected: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+
+    ratio = 2 * (part(toxic, all_ * share) + part(clean, all_ * (1 - share))
+                 + part(n[1] - toxic, rest * share) + part(n[0] - clean, rest * (1 - share)))
+    few = toxic >= F.get(F.array(*map(F.lit, least)), all_.cast("int"))
+    return F.when(all_ <= FEW_ROWS, few).otherwise(ratio > 2 * math.log(entries))
+
+
+def _choose(rows: DataFrame, best: list) -> Lexicon:
     """Greedy choice of entries, and the fit; of each of the at most most_rows rows a few numbers are gathered."""
     place = {row["entry"]: i for i, row in enumerate(best)}
 
@@ -208,26 +250,27 @@ def _choose(rows: DataFrame, best: list, least: int) -> Lexicon:
             names=["doc_id", "toxic", "words", "at", "times"])
 
     got = by_batch(rows.select("doc_id", "toxic", "text"),
-                   "doc_id long, toxic int, words long, at array<int>, times array<int>", make)
-    got = sorted(got.collect(), key=lambda r: (r["doc_id"], r["toxic"], r["words"], r["at"]))
-    toxic, words = np.array([r["toxic"] for r in got]), np.array([r["words"] for r in got], float)
-    times = np.zeros((len(got), len(best)), np.int32)
-    for i, row in enumerate(got):
-        times[i, row["at"]] = row["times"]
+                   "doc_id long, toxic int, words long, at array<int>, times array<int>", make).toArrow()
+    got = got.sort_by([("doc_id", "ascending"), ("toxic", "ascending")]).combine_chunks()
+    toxic, words = np.asarray(got["toxic"]), np.asarray(got["words"], float)
+    at = got["at"].combine_chunks()
+    row = np.repeat(np.arange(len(toxic)), np.asarray(at.value_lengths()))
+    entry, times = np.asarray(at.flatten()), np.asarray(got["times"].combine_chunks().flatten())
     # Unexplained toxic rows gained, times the log odds: by occurring, or by occurring twice.
-    log_odds = np.array([row["log_odds"] for row in best])
+    log_odds = np.array([r["log_odds"] for r in best])
+    of_toxic = toxic[row] == 1
     chosen: list[int] = []
     unexplained = toxic == 1
     while best:
-        gain = (times[unexplained] > 0).sum(0)
-        value = np.where(gain >= least, gain * log_odds, 0)
+        gain = np.bincount(entry[of_toxic & unexplained[row]], minlength=len(best))
+        value = np.where(gain >= 2, gain * log_odds, 0)
         k = int(value.argmax())
         if value[k] <= 0 or k in chosen:
             break
         chosen.append(k)
-        unexplained &= times[:, k] == 0
+        unexplained[row[entry == k]] = False
     # An entry that alone is in as many toxic rows as those chosen belongs to the lexicon too, unless it lengthens one.
-    support = (times[toxic == 1] > 0).sum(0)
+    support = np.bincount(entry[of_toxic], minlength=len(best))
     if chosen:
         floor = support[chosen].max() / 3
         for k in np.argsort(-support, kind="stable"):
@@ -238,7 +281,9 @@ def _choose(rows: DataFrame, best: list, least: int) -> Lexicon:
     base = [(best[k]["hits_0"] + 0.5) / (words[toxic == 0].sum() + 1) for k in chosen]
     weights = [float(np.clip(np.log(r / b), 0.5, 5)) for r, b in zip(rate, base, strict=True)]
     lexicon = Lexicon(tuple(best[k]["entry"] for k in chosen), tuple(weights))
-    return lexicon._replace(fit=_logistic(times[:, chosen] @ np.array(weights), words, toxic))
+    weight = np.zeros(len(best))
+    weight[chosen] = weights
+    return lexicon._replace(fit=_logistic(np.bincount(row, times * weight[entry], len(toxic)), words, toxic))
 
 
 def _logistic(weight: np.ndarray, words: np.ndarray, toxic: np.ndarray, ridge: float = 1e-2) -> tuple[float, ...]:
