@@ -26,7 +26,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.tables import table
+from llm.tables import CRC_SQL, crc_sql, table
 from playlens.operators.ids import dense_ids, numbered_in_order
 from playlens.session import pin, shuffle_partitions
 
@@ -235,3 +235,48 @@ def op13_merkle_manifest(spark, sf_dir: str) -> DataFrame:
         "doc_id", as_hex(F.col("leaf")).alias("leaf"), as_hex(F.col("subroot")).alias("subroot"), root.alias("root"),
         F.sha2(as_hex(proof(F.col("path"))), 256).alias("proof_sha256"), back.alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f})::VARCHAR || ':' || {f}, '-')" for f in fields) + ")"
+
+
+def _levels_sql(name: str, first: str) -> str:
+    return f"""{name} AS (
+  {first}
+  UNION ALL
+  SELECT tree, level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM {name} WHERE n > 1 GROUP BY tree, level, pos // 3, n
+)"""
+
+
+SQL = f"""
+WITH RECURSIVE {CRC_SQL}, leaves AS (
+  SELECT doc_id, source, {_leaf_sql("text")} AS leaf,
+    {_leaf_sql(f"(CASE WHEN {crc_sql('doc_id::VARCHAR')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END)")} AS other
+  FROM documents, crc
+), numbered AS (
+  SELECT *, (dense_rank() OVER (ORDER BY source NULLS FIRST) - 1)::BIGINT AS tree, count(*) OVER (PARTITION BY source) AS n,
+    (row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1)::BIGINT AS pos FROM leaves
+), {_levels_sql("nodes", "SELECT tree, 0::BIGINT AS level, pos, n, leaf AS digest FROM numbered")}, subroots AS (
+  SELECT tree, digest AS subroot FROM nodes WHERE n = 1
+), {_levels_sql("tops", "SELECT (-1)::BIGINT AS tree, 0::BIGINT AS level, tree AS pos, (SELECT count(*) FROM subroots) AS n, "
+                        "subroot AS digest FROM subroots")}, steps AS (
+  SELECT tree, level, pos,
+    coalesce(string_agg(digest, '') OVER (before ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(digest, '') OVER (before ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM (SELECT * FROM nodes UNION ALL SELECT * FROM tops) WHERE n > 1
+  WINDOW before AS (PARTITION BY tree, level, pos // 3 ORDER BY pos)
+), ways AS (
+  SELECT k.tree, k.pos, list(s.l || '|' || s.r ORDER BY s.tree < 0, s.level) AS way
+  FROM numbered k JOIN steps s ON (s.tree = k.tree AND s.pos = k.pos // (3 ** s.level)::BIGINT)
+    OR (s.tree = -1 AND s.pos = k.tree // (3 ** s.level)::BIGINT) GROUP BY k.tree, k.pos
+), proven AS (
+  SELECT doc_id, leaf, subroot, (SELECT digest FROM tops WHERE n = 1) AS root,
+    sha256(replace(array_to_string(coalesce(way, []), ''), '|', '')) AS proof_sha256,
+    list_reduce([other] || coalesce(way, []), lambda d, s: sha256(split_part(s, '|', 1) || d || split_part(s, '|', 2))) AS folded_root
+  FROM numbered JOIN subroots USING (tree) LEFT JOIN ways USING (tree, pos)
+)
+SELECT *, folded_root = root AS verified FROM proven
+"""

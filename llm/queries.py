@@ -39,4 +39,6 @@ QUERIES = {query.__name__: query for query in _QUERIES}
 SQL = {
     "op3_url_filters": blocklist.SQL,
     "op7_mixing": mixing.SQL,
+    "op12_conversation_repair": repair.SQL,
+    "op13_merkle_manifest": merkle.SQL,
 }

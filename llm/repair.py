@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.tables import table
+from llm.tables import CRC_SQL, crc_sql, table
 from playlens.session import pin
 
 SPACES = " \t\n\x0b\x0c\r"
@@ -182,10 +182,12 @@ def _coded(rows: DataFrame) -> DataFrame:
     slim = rows.select("conv_id", "turn", "role", "mark", role.alias("kind"), fault.alias("fault"))
     # One shuffle: what is partitioned by the conversation is so by conversation, role and text as well.
     same = Window.partitionBy("conv_id", "role", "mark").orderBy("turn")
-    fault = F.when((F.col("fault") != BLANK) & (F.row_number().over(same) > 1), DUPLICATE).otherwise(F.col("fault"))
+    fault = F.when((F.col("fault") != BLANK) & (F.col("seen") > 1), DUPLICATE).otherwise(F.col("fault"))
+    # Of equal rows of a turn the first seen comes first.
     return (
-        slim.repartition("conv_id").withColumn("code", (4 * F.col("kind") + fault).cast("int"))
-        .sortWithinPartitions("conv_id", "turn", "role", "mark").select("conv_id", "turn", "code")
+        slim.repartition("conv_id").withColumn("seen", F.row_number().over(same))
+        .withColumn("code", (4 * F.col("kind") + fault).cast("int"))
+        .sortWithinPartitions("conv_id", "turn", "role", "mark", "seen").select("conv_id", "turn", "code")
     )
 
 
@@ -349,3 +351,66 @@ def op12_conversation_repair(spark, sf_dir: str) -> DataFrame:
         .select("e.conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"),
                 F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"))
     )
+
+
+_SPACES_SQL = "(' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+
+SQL = f"""
+WITH RECURSIVE {CRC_SQL}, known AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations
+), kinds AS (
+  SELECT conv_id, turn, role, text, {crc_sql("k")} % 20 AS kind FROM known, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE kind WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM kinds WHERE kind <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS seen,
+    rtrim(text, {_SPACES_SQL}) AS trimmed, left(role, 1) AS kind
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM damaged)
+), judged AS (
+  SELECT *, CASE WHEN trimmed = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+    WHEN right(trimmed, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(kind) OVER (PARTITION BY conv_id ORDER BY i) || kind NOT IN ('su', 'ua', 'au') AS illegal
+  FROM placed
+), inserts(place, reached, letters, price, shown) AS (
+  VALUES (0, 0, '', 0, ''), (1, 1, '', 0, ''), (2, 2, '', 0, ''), (3, 3, '', 0, ''),
+    (0, 2, 'I', 3, chr(10) || 'user:'), (1, 2, 'I', 3, chr(10) || 'user:'), (3, 2, 'I', 3, chr(10) || 'user:'),
+    (2, 3, 'I', 3, chr(10) || 'assistant:'), (0, 3, 'II', 6, chr(10) || 'user:' || chr(10) || 'assistant:'),
+    (1, 3, 'II', 6, chr(10) || 'user:' || chr(10) || 'assistant:')
+), edits(place, kind, letter, price, following, role) AS (
+  VALUES (0, 's', 'K', 0, 1, NULL), (0, 'u', 'K', 0, 2, NULL), (1, 'u', 'K', 0, 2, NULL), (3, 'u', 'K', 0, 2, NULL),
+    (2, 'a', 'K', 0, 3, NULL), (0, NULL, 'R', 3, 2, 'user'), (1, NULL, 'R', 3, 2, 'user'), (2, NULL, 'R', 3, 3, 'assistant'),
+    (3, NULL, 'R', 3, 2, 'user'), (0, NULL, 'D', 4, 0, NULL), (1, NULL, 'D', 4, 1, NULL), (2, NULL, 'D', 4, 2, NULL),
+    (3, NULL, 'D', 4, 3, NULL)
+), states(conv_id, i, place, best) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, 0, {{'cost': 0::BIGINT, 'audit': '', 'shown': ''}} FROM judged
+  UNION ALL
+  SELECT s.conv_id, s.i + 1, e.following, min({{
+    'cost': s.best.cost + n.price + e.price + (CASE WHEN j.fault = 'truncated' AND e.letter <> 'D' THEN 3 ELSE 0 END),
+    'audit': s.best.audit || n.letters || e.letter,
+    'shown': s.best.shown || n.shown || (CASE WHEN e.letter = 'D' THEN ''
+      ELSE chr(10) || coalesce(e.role, j.role) || ':' || j.text END)}})
+  FROM states s JOIN inserts n ON n.place = s.place
+    JOIN judged j ON j.conv_id IS NOT DISTINCT FROM s.conv_id AND j.i = s.i + 1
+    JOIN edits e ON e.place = n.reached AND (e.kind IS NULL OR e.kind = j.kind)
+      AND (e.letter = 'D' OR j.fault NOT IN ('blank', 'duplicate'))
+  GROUP BY s.conv_id, s.i, e.following
+), totals AS (
+  SELECT conv_id, max(i) AS n, count(DISTINCT turn) AS turns, max(turn) - min(turn) + 1 AS span,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM judged GROUP BY conv_id
+), ends AS (
+  SELECT t.conv_id, min({{'cost': s.best.cost + n.price, 'audit': s.best.audit || n.letters, 'shown': s.best.shown || n.shown}}) AS best
+  FROM totals t JOIN states s ON s.conv_id IS NOT DISTINCT FROM t.conv_id AND s.i = t.n
+    JOIN inserts n ON n.place = s.place AND n.reached IN (0, 3) GROUP BY t.conv_id
+)
+SELECT c.conv_id, coalesce(span - turns, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+  coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal,
+  coalesce(best.cost, 0)::BIGINT AS cost, coalesce(best.audit, '') AS audit, sha256(coalesce(best.shown[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN totals t ON t.conv_id IS NOT DISTINCT FROM c.conv_id
+  LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+"""

@@ -32,3 +32,17 @@ def typed(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFram
 
 #: Splitting on this gives the words of a text and, at its ends, perhaps empty strings.
 WORD = r"[^\x20\x09-\x0D]+"
+
+
+#: DuckDB has no crc32: a table of remainders as the CTE ``crc (t)``, and the checksum of an ASCII text by it.
+CRC_SQL = """crc AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i] || range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) r(i))
+)"""
+
+
+def crc_sql(text: str) -> str:
+    codes = f"list_transform(range(1, length({text}) + 1), lambda p: ascii(substr({text}, p, 1))::BIGINT)"
+    return (f"xor(list_reduce([4294967295::BIGINT] || {codes}, "
+            "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)")
