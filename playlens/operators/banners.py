@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlens.functions.text import or_empty
@@ -30,6 +30,46 @@ def match_banners(users: DataFrame, banners: DataFrame) -> DataFrame:
         .groupBy(F.col("_gender").alias("_kind_gender"), F.col("_age").alias("_kind_age"))
         .agg(F.array_sort(F.collect_set("banner")).alias("banners"))
     )
+    return _offered(users, keyed, matched)
+
+
+def match_many_banners(users: DataFrame, banners: DataFrame) -> DataFrame:
+    """As ``match_banners``, for tables of so many banners that comparing each with every distinct age is too much.
+
+    The bounds of a gender cut the ages into elementary intervals (from, to]. Sorted by value, bounds and ages are numbered by
+    the bounds before them: an age lies in the interval of its number, and a banner covers those from its lower to its
+    upper bound. So banners meet ages by equality of (gender, interval), and only those meet that match. The numbering is
+    one window over the distinct bounds and ages of a gender, which are few beside the users.
+    """
+    keyed = users.withColumn("_gender", F.upper(or_empty(F.col("gender"))))
+    kinds = keyed.select("_gender", F.col("age").alias("_age")).distinct()
+    offers = banners.select("min_age", "max_age", F.col("gender").alias("_for"), "banner").distinct()
+    ranged = offers.filter("min_age < max_age")
+    bounds = ranged.select("_for", F.explode(F.array("min_age", "max_age")).alias("value")).distinct()
+    ages = kinds.filter("_age IS NOT NULL").select(F.col("_gender").alias("_for"), F.col("_age").alias("value"))
+    # Bounds below a value; the same for a bound and for an age of that value.
+    below = Window.partitionBy("_for").orderBy("value").rangeBetween(Window.unboundedPreceding, -1)
+    points = bounds.withColumn("bound", F.lit(1)).unionByName(ages.withColumn("bound", F.lit(0)))
+    numbered = pin(points.withColumn("number", F.coalesce(F.sum("bound").over(below), F.lit(0)).cast("int")), "points")
+    number = numbered.filter("bound = 1").select("_for", "value", "number")
+    low, high = (number.select("_for", F.col("value").alias(f"{end}_age"), F.col("number").alias(end)) for end in ("min", "max"))
+    # With i bounds below a lower bound, the first age above it has i + 1; an age at the upper bound has its number.
+    covered = ranged.join(low, ["_for", "min_age"]).join(high, ["_for", "max_age"]).select(
+        "_for", "banner", F.explode(F.sequence(F.col("min") + 1, F.col("max"))).alias("number"))
+    in_interval = numbered.filter("bound = 0").join(covered, ["_for", "number"]).select(
+        "_for", F.col("value").alias("_age"), "banner")
+    no_age = kinds.filter("_age IS NULL").join(
+        offers.filter("min_age IS NULL AND max_age IS NULL"), F.col("_gender") == F.col("_for")).select("_for", "_age", "banner")
+    matched = (
+        in_interval.unionByName(no_age)
+        .groupBy(F.col("_for").alias("_kind_gender"), F.col("_age").alias("_kind_age"))
+        .agg(F.array_sort(F.collect_set("banner")).alias("banners"))
+    )
+    return _offered(users, keyed, matched)
+
+
+def _offered(users: DataFrame, keyed: DataFrame, matched: DataFrame) -> DataFrame:
+    """``users`` with the banners of their kind."""
     matched = pin(matched, "banners-by-kind")
     same_kind = (F.col("_gender") == F.col("_kind_gender")) & F.col("age").eqNullSafe(
         F.col("_kind_age")

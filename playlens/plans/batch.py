@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from playlens import constants
 from playlens.functions.messages import payload
 from playlens.operators import cohort, counting, ids, ratings, recommend
-from playlens.operators.banners import match_banners
+from playlens.operators.banners import match_banners, match_many_banners
 from playlens.plans import standins as s
 from playlens.plans.registry import query
 from playlens.plans.standins import Tables
@@ -178,6 +178,31 @@ def banner_match(t: Tables) -> DataFrame:
     return match_banners(t.users, t.banners).select("user_id", "banner")
 
 
+PART_BANNERS_SQL = """part_banners AS (
+    SELECT CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE p_size END AS lo,
+           CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE p_size + p_partkey % 13 END AS hi,
+           ['BUILDING', 'MACHINERY', 'FURNITURE', 'AUTOMOBILE', 'HOUSEHOLD'][p_partkey % 5 + 1] AS gender,
+           'P' || p_partkey || ';' AS banner
+    FROM part)"""
+
+
+@query(f"""
+    WITH {PART_BANNERS_SQL}, {s.USERS_SQL}
+    SELECT u.user_id, coalesce(string_agg(DISTINCT b.banner, '' ORDER BY b.banner), '') AS banner
+    FROM users u LEFT JOIN part_banners b ON upper(u.gender) = b.gender
+         AND ((b.lo < u.age AND b.hi >= u.age) OR (u.age IS NULL AND b.lo IS NULL AND b.hi IS NULL))
+    GROUP BY u.user_id""")
+def banner_intervals(t: Tables) -> DataFrame:
+    """A banner for each part, matched by elementary intervals of age."""
+    key, size = F.col("p_partkey"), F.col("p_size")
+    genders = F.array(*map(F.lit, ("BUILDING", "MACHINERY", "FURNITURE", "AUTOMOBILE", "HOUSEHOLD")))
+    bounded = key % 9 != 0
+    banners = t.table("part").select(
+        F.when(bounded, size).alias("min_age"), F.when(bounded, size + key % 13).cast("int").alias("max_age"),
+        F.get(genders, (key % 5).cast("int")).alias("gender"), F.concat(F.lit("P"), key, F.lit(";")).alias("banner"))
+    return match_many_banners(t.users, banners).select("user_id", "banner")
+
+
 @query(f"WITH {s.PROFILES_SQL} SELECT * FROM pairs")
 def cohort_match(t: Tables) -> DataFrame:
     return cohort.match_profiles(t.supplier_profiles, t.customer_profiles)

@@ -1,6 +1,7 @@
 import random
 
-from playlens.operators.banners import match_banners
+import pytest
+from playlens.operators.banners import match_banners, match_many_banners
 
 BANNERS = [(18, 25, "M", "A"), (25, 40, "M", "B"), (20, 30, "M", "C"), (None, None, "M", "N"),
            (18, None, "M", "X"), (18, 25, "m", "Y"), (18, 25, "M", "A"), (30, 50, "", "E")]
@@ -8,17 +9,20 @@ BANNER_DDL = "min_age int, max_age int, gender string, banner string"
 USER_DDL = "user_id string, gender string, age int"
 
 
-def matches(spark, users, banners=BANNERS):
-    df = match_banners(spark.createDataFrame(users, USER_DDL),
-                       spark.createDataFrame(banners, BANNER_DDL))
+def matches(spark, users, banners=BANNERS, match=match_banners):
+    df = match(spark.createDataFrame(users, USER_DDL), spark.createDataFrame(banners, BANNER_DDL))
     return {row.user_id: row.banner for row in df.collect()}
 
 
-def test_edges(spark):
+BOTH = pytest.mark.parametrize("match", [match_banners, match_many_banners])
+
+
+@BOTH
+def test_edges(spark, match):
     users = [("18", "m", 18), ("19", "m", 19), ("22", "M", 22), ("25", "m", 25), ("26", "m", 26),
              ("40", "m", 40), ("41", "m", 41), ("none", "m", None), ("f", "f", 22), ("", "", 40),
              ("null", None, 40), ("fnone", "f", None)]
-    assert matches(spark, users) == {
+    assert matches(spark, users, match=match) == {
         "18": "", "19": "A", "22": "AC", "25": "AC", "26": "BC", "40": "B", "41": "", "none": "N",
         "f": "", "": "E", "null": "E", "fnone": ""}
 
@@ -33,12 +37,14 @@ def brute_force(users, banners):
     return answer
 
 
-def test_brute_force(spark):
+@BOTH
+def test_brute_force(spark, match):
     rng = random.Random(1)
     bound = lambda: rng.choice([None, *range(0, 60, 5)])
     banners = [(bound(), bound(), rng.choice("MF"), rng.choice("ABCDEFG")) for _ in range(40)]
     users = [(str(i), rng.choice("mfMF"), rng.choice([None, *range(60)])) for i in range(400)]
-    assert matches(spark, users, banners) == brute_force(users, banners)
+    assert matches(spark, users, banners, match) == brute_force(users, banners)
+    assert matches(spark, users, banners[:0], match) == {user: "" for user, _, _ in users}
 
 
 def test_users_are_not_shuffled(spark, capsys):
