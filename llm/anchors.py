@@ -48,7 +48,7 @@ def anchored(texts: Texts, size: int, gram: int) -> Anchored:
 
 def shared_keys(docs: DataFrame, size: int, gram: int, heavy: int, places: bool = False) -> DataFrame:
     """doc_id, keys, heavy: the anchors of each document that another has too, and which of them more than ``heavy`` have,
-    or with ``places`` stand in more than ``heavy`` places.
+    or with ``places`` stand in more than ``heavy`` places; then ``times`` tells in how many.
 
     One shuffle, of (key, doc_id); a document sends a key once.
     """
@@ -71,17 +71,35 @@ def shared_keys(docs: DataFrame, size: int, gram: int, heavy: int, places: bool
         rows.select("key", "doc_id", F.min("doc_id").over(same).alias("first"), F.max("doc_id").over(same).alias("last"),
                     (F.sum("times") if places else F.count("*")).over(same).alias("n"))
         .where("first < last")
-        .groupBy("doc_id").agg(F.collect_list("key").alias("keys"), F.collect_list(F.col("n") > heavy).alias("heavy"))
+        .groupBy("doc_id").agg(
+            F.collect_list("key").alias("keys"), F.collect_list(F.col("n") > heavy).alias("heavy"),
+            *([F.collect_list(F.col("n").cast("int")).alias("times")] if places else []))
     )
 
 
-def marked(found: Anchored, texts: Texts, keys: pa.Array, flags: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Per window: is its anchor's key among its row's ``keys``, and is it flagged there?"""
-    keys, flags = keys.slice(texts.first, len(texts)), flags.slice(texts.first, len(texts))
+def _by_row(found: Anchored, texts: Texts, keys: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The rows' ``keys``, and the anchors of the windows, told apart by row."""
+    keys = keys.slice(texts.first, len(texts))
     sizes = np.asarray(keys.value_lengths().fill_null(0))
     row = np.repeat(np.arange(len(sizes)), sizes).astype(np.uint64)
     salt = np.uint64(0x9E3779B97F4A7C15)
     known = np.asarray(keys.flatten()).view(np.uint64) ^ (row * salt)
-    own = found.keys ^ (found.words.row[found.window].astype(np.uint64) * salt)
-    flagged = known[np.asarray(flags.flatten(), bool)]
+    return known, found.keys ^ (found.words.row[found.window].astype(np.uint64) * salt)
+
+
+def marked(found: Anchored, texts: Texts, keys: pa.Array, flags: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Per window: is its anchor's key among its row's ``keys``, and is it flagged there?"""
+    known, own = _by_row(found, texts, keys)
+    flagged = known[np.asarray(flags.slice(texts.first, len(texts)).flatten(), bool)]
     return np.isin(own, known), np.isin(own, flagged)
+
+
+def numbers(found: Anchored, texts: Texts, keys: pa.Array, values: pa.Array) -> np.ndarray:
+    """Per window the value beside its anchor's key among its row's ``keys``, else 0."""
+    known, own = _by_row(found, texts, keys)
+    values = np.asarray(values.slice(texts.first, len(texts)).flatten(), np.int64)
+    if not len(known):
+        return np.zeros(len(own), np.int64)
+    order = np.argsort(known)
+    at = np.minimum(np.searchsorted(known, own, sorter=order), len(known) - 1)
+    return np.where(known[order[at]] == own, values[order[at]], 0)

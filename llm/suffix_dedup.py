@@ -15,7 +15,8 @@
 
 4. Where a k-gram stands in more than two places, others may be sorted between the two ends of a match in
    both orders. Windows of ``size`` words at such k-grams are grouped by the window itself as well, and each
-   is removed from all documents but the first that has it.
+   is removed from all documents but the first that has it. So the array of a k-gram of very many places
+   may be cut: its suffixes are dealt by document into lanes of some LANE places, each sorted by itself.
 
 A longer passage is covered by the matches at all its minimisers, each of which reaches at most
 ``size`` words to either side, so nothing is missed. What is removed always stands, in full, in a document
@@ -36,32 +37,37 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.anchors import anchored, marked, shared_keys
+from llm.anchors import anchored, marked, numbers, shared_keys
 from llm.spans import remove_spans, runs_of_words
 from llm.tables import by_batch, table, typed
-from llm.words import chunks, runs, signed
+from llm.words import chunks, mix, runs, signed
 from playlens.session import pin
 
 SIZE = 50
 GRAM = 8
+#: Places of one k-gram that are sorted together; this changes the cost, not the result.
+LANE = 4096
 
 
-def _suffixes(docs: DataFrame, size: int, gram: int) -> DataFrame:
-    """key, doc_id, at (minimiser's word), right and left (32-bit words; left ones nearest first)."""
+def _suffixes(docs: DataFrame, size: int, gram: int, lane: int) -> DataFrame:
+    """key, lane, doc_id, at (minimiser's word), right and left (32-bit words; left ones nearest first)."""
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids, keys, flags = np.asarray(batch.column(0)), batch.column(2), batch.column(3)
+        ids, keys, times = (batch.column(name) for name in ("doc_id", "keys", "times"))
+        ids = np.asarray(ids)
         for texts in chunks(batch.column(1)):
             found = anchored(texts, size, gram)
             if not len(found.window):
                 continue
             row = found.words.row[found.window]
-            shared, _ = marked(found, texts, keys, flags)
+            places = numbers(found, texts, keys, times)
             new = np.ones(len(row), bool)
             new[1:] = (found.anchor[1:] != found.anchor[:-1]) | (row[1:] != row[:-1])
-            head = np.flatnonzero(new & shared)
+            head = np.flatnonzero(new & (places > 0))
             at = found.anchor[head]
             row = row[head]
+            lanes = -(-places[head] // lane)
+            dealt = (mix(ids[texts.first + row].astype(np.uint64)) % lanes.astype(np.uint64)).astype(np.int32)
             bounds = found.words.offsets()
             # Big-endian, so that binaries sort as their words do.
             words = found.hashes.astype(np.uint32).astype(">u4")
@@ -71,13 +77,13 @@ def _suffixes(docs: DataFrame, size: int, gram: int) -> DataFrame:
             for low in range(0, len(head), 1 << 13):
                 part = slice(low, low + (1 << 13))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(found.keys[head[part]])), pa.array(ids[texts.first + row[part]]),
+                    [pa.array(signed(found.keys[head[part]])), pa.array(dealt[part]), pa.array(ids[texts.first + row[part]]),
                      pa.array((at[part] - bounds[row[part]]).astype(np.int32)),
                      runs_of_words(words, at[part], right[part]),
                      runs_of_words(back, len(words) - at[part], left[part])],
-                    names=["key", "doc_id", "at", "right", "left"])
+                    names=["key", "lane", "doc_id", "at", "right", "left"])
 
-    return by_batch(docs, "key long, doc_id long, at int, right binary, left binary", make)
+    return by_batch(docs, "key long, lane int, doc_id long, at int, right binary, left binary", make)
 
 
 def _padded(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -96,7 +102,7 @@ def _common(words: np.ndarray, lengths: np.ndarray, i: np.ndarray, j: np.ndarray
 
 
 def _neighbours(suffixes: DataFrame, size: int, gram: int) -> DataFrame:
-    """doc_id, at, n: the matches of neighbours, which come sorted by key, then right or left, then (doc_id, at)."""
+    """doc_id, at, n: the matches of neighbours, which come sorted by key, lane, then right or left, then (doc_id, at)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the last row, and the survivor of the run it is in
@@ -185,24 +191,23 @@ def _later(windows: DataFrame, size: int) -> DataFrame:
     return windows.join(held, "window").where("doc_id > first").select("doc_id", "at", F.lit(size).alias("n"))
 
 
-def repeated_passages(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
+def repeated_passages(docs: DataFrame, size: int = SIZE, gram: int = GRAM, lane: int = LANE) -> DataFrame:
     """doc_id, at, n: words of ``docs`` (doc_id, text) in passages that an earlier document has."""
     known = docs.where("doc_id IS NOT NULL")
     keys = pin(shared_keys(known, size, gram, heavy=2, places=True), "keys")
-    shared = known.join(keys, "doc_id").select("doc_id", "text", "keys", "heavy")
-    suffixes = _suffixes(shared, size, gram)
-    dealt = suffixes.repartition("key")
-    forward, backward = (dealt.sortWithinPartitions("key", side, "doc_id", "at") for side in ("right", "left"))
+    shared = known.join(keys, "doc_id").select("doc_id", "text", "keys", "heavy", "times")
+    dealt = _suffixes(shared, size, gram, lane).repartition("key", "lane")
+    forward, backward = (dealt.sortWithinPartitions("key", "lane", side, "doc_id", "at") for side in ("right", "left"))
     between = _later(_windows(shared.where("exists(heavy, x -> x)"), size, gram), size)
     return _neighbours(forward, size, gram).union(_neighbours(backward, size, gram)).union(between)
 
 
 def dedup_passages(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, gram: int = GRAM,
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, gram: int = GRAM, lane: int = LANE,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept, kept_sha256."""
     docs = typed(docs, doc_id, text)
-    return remove_spans(docs, repeated_passages(docs, size, gram))
+    return remove_spans(docs, repeated_passages(docs, size, gram, lane))
 
 
 def op10_suffix_dedup(spark, sf_dir: str) -> DataFrame:
