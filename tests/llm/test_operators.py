@@ -101,9 +101,10 @@ def test_ngram_join_large_groups(spark):
     assert {x.doc_id: (x.n_shingles, x.component_id) for x in got.collect()} == expected
 
 
-def test_html_extraction(spark):
-    got = {r.page_id: (r.text, r.n_chars) for r in QUERIES["op2_html_extraction"](spark, SMALL).collect()}
-    for page in rows_of(SMALL, "pages"):
+@pytest.mark.parametrize("sf_dir", [SMALL, LARGER])
+def test_html_extraction(spark, sf_dir):
+    got = {r.page_id: (r.text, r.n_chars) for r in QUERIES["op2_html_extraction"](spark, sf_dir).collect()}
+    for page in rows_of(sf_dir, "pages"):
         article = page["html"].partition("<article>")[2].partition("</article>")[0]
         blocks = re.sub("<[^>]*>", "", re.sub("<(p|h1)>", "\0", article.replace("<br>", " "))).split("\0")
         text = "\n".join(b for b in (" ".join(entities.unescape(b).split()) for b in blocks) if b)
@@ -163,17 +164,20 @@ def test_substring_dedup_repetitive(spark, heavy):
     assert {x.doc_id: (x.n_words, x.n_removed, x.kept_sha256) for x in got.collect()} == brute_windows(rows, 13)
 
 
-def test_suffix_dedup(spark):
+@pytest.mark.parametrize("lane", [3, suffix_dedup.LANE])
+def test_suffix_dedup(spark, lane):
+    """Also with k-grams of more than three places cut into lanes."""
     expected = brute_windows([(r["doc_id"], r["text"]) for r in rows_of(LARGER, "documents")], 50)
-    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in QUERIES["op10_suffix_dedup"](spark, LARGER).collect()}
+    got = suffix_dedup.dedup_passages(table(spark, LARGER, "documents"), lane=lane).collect()
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got}
     assert got.keys() == expected.keys()
     assert all(got[i][1] <= expected[i][1] for i in got)
     found, there = sum(x[1] for x in got.values()), sum(x[1] for x in expected.values())
     assert found >= 0.999 * there
 
 
-@pytest.mark.parametrize("kinds", [5, 10])
-def test_suffix_dedup_recombined(spark, kinds):
+@pytest.mark.parametrize("kinds,lane", [(5, suffix_dedup.LANE), (10, suffix_dedup.LANE), (5, 3)])
+def test_suffix_dedup_recombined(spark, kinds, lane):
     """Passages of 20 + 20 + 20 words whose ends are drawn from few: others lie between equal ones in both orders."""
     import random
 
@@ -189,7 +193,7 @@ def test_suffix_dedup_recombined(spark, kinds):
         after = r.choice(afters) if r.random() < 0.6 else fresh(20)
         rows.append((i, " ".join(fresh(30) + before + middle + after + fresh(30))))
     rows += [(300 + k, rows[k][1] + " " + " ".join(fresh(5)) + " " + rows[k + 1][1]) for k in range(20)]
-    got = suffix_dedup.dedup_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = suffix_dedup.dedup_passages(spark.createDataFrame(rows, "doc_id long, text string"), lane=lane)
     assert {x.doc_id: (x.n_words, x.n_removed, x.kept_sha256) for x in got.collect()} == brute_windows(rows, 50)
 
 
