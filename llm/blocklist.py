@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm.tables import table
+from playlens.session import shuffle_partitions
 
 LANES = 64
 
@@ -86,9 +87,13 @@ def stacks(rules: DataFrame) -> DataFrame:
 
 def filter_urls(
     pages: DataFrame, rules: DataFrame, page_id: str = "page_id", url: str = "url",
-    default: str = "allow", lanes: int = LANES,
+    default: str = "allow", lanes: int | None = None,
 ) -> DataFrame:
-    """One row per row of ``pages``: page_id, host, path, the rule that decides or null, verdict."""
+    """One row per row of ``pages``: page_id, host, path, the rule that decides or null, verdict.
+
+    ``lanes``: tasks that sweep; as many as there are shuffle partitions, LANES at least. Each takes all rule starts.
+    """
+    lanes = lanes or max(LANES, shuffle_partitions(pages.sparkSession))
     url_ = F.col(url).cast("string")
     points = pages.select(
         F.col(page_id).cast("long").alias("page_id"),
