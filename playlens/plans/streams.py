@@ -88,7 +88,8 @@ TURNS = 4
     FROM counted, range(1, (SELECT max(n) FROM counted) // 10 + 1) r(play_no) WHERE play_no * 10 <= n""")
 def stream_users_loaded_meanwhile(t: Tables) -> DataFrame:
     """One running stream; between its micro-batches a quarter of the users is loaded, then a quarter of the events comes.
-    A user's plays count from the turn in which the user is loaded."""
+    A user's plays count from the turn in which the user is loaded. The first load is a base, the next two are deltas that
+    the second of them merges."""
     spark = t.spark
     location, topic, path = (scratch_path(spark, name) for name in ("users", "topic", "banner-messages"))
     matched = pin(match_banners(t.users, t.banners), "matched")
@@ -99,7 +100,7 @@ def stream_users_loaded_meanwhile(t: Tables) -> DataFrame:
     try:
         for turn in range(TURNS):
             load = matched.filter(F.col("user_id").cast("bigint") % TURNS == turn)
-            user_table.upsert_users(spark, location, load, turn + 1, buckets=4)
+            user_table.upsert_users(spark, location, load, turn + 1, buckets=4, most_deltas=2, delta_share=100.0)
             lines = t.event_lines.filter(F.col("event_id") % TURNS == turn)
             replay.encode_lines(lines).write.mode("append").parquet(topic)
             running.processAllAvailable()
