@@ -169,9 +169,10 @@ def _deletions(pairs: DataFrame, least_words: int) -> DataFrame:
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids, versions, gone = [], [], []
-        columns = [
-            batch.column(c).to_pylist() for c in ("later", "version", "later_lines", "later_sizes", "earlier_lines")]
-        for later, version, own, sizes, other in zip(*columns, strict=True):
+        lists = [batch.column(c) for c in ("later_lines", "later_sizes", "earlier_lines")]
+        # Lines of one pair at a time become Python numbers.
+        for k, (later, version) in enumerate(zip(batch.column("later").to_pylist(), batch.column("version").to_pylist(), strict=True)):
+            own, sizes, other = (np.asarray(column[k].values).tolist() for column in lists)
             found = common_places(own, sizes, other, least_words)
             if found:
                 ids.append(later)
