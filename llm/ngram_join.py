@@ -360,14 +360,15 @@ def _off_diagonal(rows: DataFrame, narrow: DataFrame, percent: int, tile: int) -
         # Rounded down a little, so that no two sizes in range are two bands apart.
         .withColumn("band", F.floor(F.log(F.col("n").cast("double")) / (ratio * 1.0001)).cast("int"))
     )
-    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = banded.select("*", others.alias("other")).select(
-        "token", F.col("band").alias("low"), F.col("block").alias("i"), F.col("other").alias("j"), F.lit(0).alias("side"),
-        "doc", "n", "band", "component", "signature", "tokens")
-    right = banded.select("*", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("low")).select(
-        "*", others.alias("other")).where("low < band OR other <> block").select(
-        "token", "low", F.col("other").alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"),
-        "doc", "n", "band", "component", "signature", "tokens")
+    others = F.sequence(F.lit(0), F.col("blocks") - 1)
+    left = F.transform(others, lambda other: F.struct(
+        F.col("band").alias("low"), F.col("block").alias("i"), other.alias("j"), F.lit(0).alias("side")))
+    right = F.flatten(F.transform(F.array(F.col("band"), F.col("band") - 1), lambda low: F.transform(
+        others, lambda other: F.struct(low.alias("low"), other.alias("i"), F.col("block").alias("j"), F.lit(1).alias("side")))))
+    right = F.filter(right, lambda place: (place["low"] < F.col("band")) | (place["i"] != F.col("block")))
+    # Both sides from one pass, so that the bitmaps are joined once.
+    placed = banded.withColumn("place", F.explode(F.concat(left, right))).select(
+        "token", "place.*", "doc", "n", "band", "component", "signature", "tokens")
 
     def compare(group: pa.Table) -> pa.Table:
         side, doc, n, band, part = (np.asarray(group.column(c)) for c in ("side", "doc", "n", "band", "component"))
@@ -391,7 +392,7 @@ def _off_diagonal(rows: DataFrame, narrow: DataFrame, percent: int, tile: int) -
             b.append(np.maximum(doc[js], doc[i]))
         return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
-    return left.union(right).groupBy("token", "low", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    return placed.groupBy("token", "low", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(
