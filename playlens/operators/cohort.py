@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlens.constants import PROFILE_KEYS
-from playlens.session import pin
+from playlens.session import pin, shuffle_partitions
 
-# Pairs of one key that a task makes before the key is dealt over a grid of tasks.
+# Pairs of one key that a task makes before the key is dealt over a grid of tasks, and pairs for which there is a task.
 PAIRS_PER_CELL = 1_000_000
 
 
@@ -31,9 +32,13 @@ def match_profiles(left: DataFrame, right: DataFrame, keys: Sequence[str] = PROF
     Each left row goes to the c cells of its grid row and each right row to the r cells of its column. r and c
     are chosen so that these copies, m x c + n x r, are fewest: about 2 m n / sqrt(pairs_per_cell). Other
     keys have one cell, and their rows are not copied.
+
+    The rows of a key are few beside its pairs: by the bytes that are read, all would go to a few tasks. So where
+    there are more pairs than ``pairs_per_cell``, both sides go by cell to as many partitions as the pairs need.
     """
-    grid = pin(_grid(_sizes(left, right, keys), keys, pairs_per_cell), "grid")
-    one = F.lit(1)
+    sizes = pin(_sizes(left, right, keys), "sizes")
+    grid, one = _grid(sizes, keys, pairs_per_cell), F.lit(1)
+    partitions = _partitions(sizes, pairs_per_cell)
 
     def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
         """Each row with its place on its own side, and a copy for each place on the other."""
@@ -44,7 +49,19 @@ def match_profiles(left: DataFrame, right: DataFrame, keys: Sequence[str] = PROF
 
     on = [*_on(keys), F.col("a__row") == F.col("b__row"), F.col("a__col") == F.col("b__col")]
     columns = [f"a_{name}" for name in left.columns] + [f"b_{name}" for name in right.columns]
-    return _renamed(dealt(left, "_row", "_col"), "a_").join(_renamed(dealt(right, "_col", "_row"), "b_"), on).select(columns)
+    sides = _renamed(dealt(left, "_row", "_col"), "a_"), _renamed(dealt(right, "_col", "_row"), "b_")
+    if partitions > 1:
+        cell = [*keys, "_row", "_col"]
+        sides = tuple(side.repartition(partitions, *(letter + "_" + name for name in cell)) for side, letter in zip(sides, "ab"))
+    return sides[0].join(sides[1], on).select(columns)
+
+
+def _partitions(sizes: DataFrame, pairs_per_cell: int) -> int:
+    """Partitions of about ``pairs_per_cell`` pairs, at least those of a shuffle; 1 where so few pairs are all."""
+    pairs = sizes.agg(F.sum(F.col("n_left").cast("double") * F.col("n_right").cast("double"))).first()[0] or 0
+    if pairs <= pairs_per_cell:
+        return 1
+    return max(shuffle_partitions(sizes.sparkSession), math.ceil(pairs / pairs_per_cell))
 
 
 def _grid(sizes: DataFrame, keys: Sequence[str], pairs_per_cell: int) -> DataFrame:

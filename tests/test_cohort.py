@@ -83,3 +83,14 @@ def test_only_hot_keys_are_copied(spark):
     grid = cohort._grid(cohort._sizes(left, left, ["gender"]), ["gender"], 10_000).collect()
     assert [(r.gender, r._row, r._col) for r in grid] == [("hot", 4, 4)]
     assert cohort.match_profiles(left, left, ["gender"], 10_000).count() == 400 * 400 + 600
+
+
+def test_tasks_grow_with_the_pairs(spark):
+    """Few rows make many pairs: a task for each limit of pairs, whatever the bytes of the rows; one cell or several."""
+    hot = spark.range(400).selectExpr("cast(id as string) id", "'hot' gender")
+    even = spark.range(400).selectExpr("cast(id as string) id", "cast(id % 8 as string) gender")
+    for rows, tasks in ((hot, 16), (even, 4)):
+        pairs = cohort.match_profiles(rows, rows, ["gender"], 10_000)
+        sizes = [len(part) for part in pairs.rdd.glom().collect()]
+        assert len(sizes) == tasks and max(sizes) < sum(sizes) and sum(size > 0 for size in sizes) > tasks // 4
+        assert sum(sizes) == cohort.count_matches(rows, rows, ["gender"]).first()[0]
