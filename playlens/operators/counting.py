@@ -72,7 +72,9 @@ def number_plays(events: DataFrame, order: list[str], hot_events: int = HOT_EVEN
     """``events`` with ``play_no``: 1, 2, ... within ``user_id`` in the given order.
 
     Most users fit a task and take one shuffle. Users above ``hot_events`` are cut into ranges
-    of (user, order), numbered within each, and shifted by what the earlier ranges hold. Ties of
+    of (user, order), numbered within each, and shifted by what the earlier ranges hold. A range holds
+    about ``hot_events`` rows; where that is little, there are as many ranges as a shuffle has
+    partitions, or more, of ``HOT_EVENTS`` rows, so that tasks and files don't grow with the users. Ties of
     the order are broken by the other columns, so both ways give the same numbers; rows equal in
     all columns are interchangeable. Events without user are numbered as those of one user.
     """
@@ -85,7 +87,7 @@ def number_plays(events: DataFrame, order: list[str], hot_events: int = HOT_EVEN
     is_hot = events["user_id"].eqNullSafe(hot["user_id"])
     cold = events.join(hot, is_hot, "left_anti").withColumn("play_no", ranked.cast("bigint"))
 
-    partitions = -(-total // hot_events)
+    partitions = min(-(-total // hot_events), max(shuffle_partitions(events.sparkSession), -(-total // HOT_EVENTS)))
     placed = numbered_in_order(
         events.join(hot, is_hot, "left_semi"), ["user_id", *order], partitions, "hot-events"
     )

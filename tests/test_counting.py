@@ -2,6 +2,7 @@ import random
 
 import pytest
 from playlens.operators import counting
+from playlens.operators.ids import numbered_in_order
 from pyspark.sql import functions as F
 
 
@@ -54,6 +55,18 @@ def test_numbering(spark, hot_events):
     assert tenth == {(e, p) for e, _, p in expected if p % 10 == 0}
 
 
+def test_ranges_do_not_grow_with_the_users(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(counting, "numbered_in_order",
+                        lambda df, order, n, label: made.append(n) or numbered_in_order(df, order, n, label))
+    df, rows = events(spark)
+    assert counting.number_plays(df, ["ts", "event_id"], 20).count() == len(rows)
+    monkeypatch.setattr(counting, "HOT_EVENTS", 500)
+    counting.number_plays(df, ["ts", "event_id"], 20)
+    # As many as shuffle partitions; more where a range would hold more than HOT_EVENTS rows.
+    assert made == [4, 6]
+
+
 def test_counts_since(spark):
     df, rows = events(spark)
     later = counting.since(df, F.lit(5000))
