@@ -102,7 +102,7 @@ def hit_documents(
     docs: DataFrame, items: DataFrame, size: int = SIZE, most_bits: int = MOST_BITS,
     doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
-    """One row per document: doc_id, text_hash, n_words, n_hit, n_items, items_sha256, contaminated, spans [from, to)."""
+    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans [from, to), text_hash."""
     items = items.select(
         F.col(item_id).cast("string").alias("item_id"), F.col(item_text).cast("string").alias("text")
     ).where(F.col("item_id").isNotNull())
@@ -152,9 +152,9 @@ def hit_documents(
         ),
     )["n"]
     return met.select(
-        "doc_id", "text_hash", "n_words", merged.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        "doc_id", "n_words", merged.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"),
-        F.col("hits").alias("spans"),
+        F.col("hits").alias("spans"), "text_hash",
     )
 
 
