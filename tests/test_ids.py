@@ -2,6 +2,8 @@ import random
 
 import pytest
 from playlens.operators import ids
+from playlens.plans import batch, streams
+from playlens.plans.standins import Tables
 from playlens.sources import files, lines
 
 
@@ -81,3 +83,32 @@ def test_catalogue_keeps_missing_names(spark, tmp_path):
     rows = [("a1", 1, None), ("a2", 2, "Two")]
     files.write_catalogue(spark.createDataFrame(rows, "artist_id string, item bigint, artist_name string"), path)
     assert sorted(tuple(r) for r in lines.read_catalogue(spark, path).collect()) == rows
+
+
+def test_catalogue_does_not_join_the_lines_again(spark, tmp_path, monkeypatch):
+    """Names of a part of two rows, of one without name, none of parts that nobody plays."""
+    for name, rows, schema in (
+            ("orders", [(1, 7), (2, 8), (2, 9), (3, None), (None, 7)], "o_orderkey long, o_custkey long"),
+            ("part", [(1, "one"), (1, "uno"), (1, "one"), (2, None), (3, "three"), (4, "four"), (None, "none")],
+             "p_partkey long, p_name string"),
+            ("lineitem", [(1, 1), (1, 1), (2, 2), (3, 3), (5, 4), (None, 4), (1, None), (2, 6)], "l_orderkey long, l_partkey long")):
+        df = spark.createDataFrame(rows, schema)
+        if name == "lineitem":
+            df = df.selectExpr("*", "1 l_quantity", "'N' l_returnflag", "1 l_linenumber")
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    t, written = Tables(spark, str(tmp_path)), {}
+    found, plain = batch.catalogue(t), ids.artist_catalogue(t.plays, ids.dense_ids(t.plays, "artist_id", "item"))
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, plain.collect())) and plain.count() == 4
+    assert not any("lineitem" in path for path in found.inputFiles())
+
+    def pin(df, label):
+        written[label] = df
+        return df
+
+    monkeypatch.setattr(streams, "pin", pin)
+    monkeypatch.setattr(streams.recommend, "train", lambda rated: None)
+    monkeypatch.setattr(streams, "emitted", lambda *args, **settings: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        streams.stream_als_top_item(t)
+    assert sorted(map(repr, written["catalogue"].collect())) == sorted(map(repr, plain.collect()))
+    assert not any("lineitem" in path for path in written["catalogue"].inputFiles())
